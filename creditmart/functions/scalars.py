@@ -1,178 +1,149 @@
-"""Domain column functions: validation, standardisation, bands, dates."""
+"""Domain expressions: validation, standardisation, bands, dates, keyed hashes."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from itertools import chain
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from creditmart import rules
-
-ColumnLike = Column | str
-
-
-def _col(c: ColumnLike) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _literal_map(mapping: dict) -> Column:
-    return F.create_map(*(F.lit(x) for x in chain.from_iterable(mapping.items())))
-
+from creditmart.functions import in_list, lookup, quote
 
 # --- predicates -----------------------------------------------------------------
 
 
-def valid_state(state: ColumnLike) -> Column:
-    return _col(state).isin(*rules.VALID_STATES)
+def valid_state(state: str) -> str:
+    return in_list(state, rules.VALID_STATES)
 
 
-def valid_employment(label: ColumnLike) -> Column:
+def valid_employment(label: str) -> str:
     """One of the eleven labels. Empty and NULL do not qualify, nor do padded labels."""
-    return _col(label).isin(*rules.EMPLOYMENT_YEARS)
+    return in_list(label, rules.EMPLOYMENT_YEARS)
 
 
-def in_range(value: ColumnLike, low: float, high: float, keep_null: bool) -> Column:
+def in_range(value: str, low: float, high: float, keep_null: bool) -> str:
     """``low <= value <= high``; ``keep_null`` decides whether a missing value passes."""
-    inside = _col(value).between(low, high)
-    return (_col(value).isNull() | inside) if keep_null else inside
+    inside = f"({value} BETWEEN {low} AND {high})"
+    return f"({value} IS NULL OR {inside})" if keep_null else inside
 
 
-def conforms(value: ColumnLike, pattern: str) -> Column:
-    return _col(value).rlike(pattern)
+def conforms(value: str, pattern: str) -> str:
+    return f"rlike({value}, {quote(pattern)})"
 
 
-def is_blank(value: ColumnLike) -> Column:
+def is_blank(value: str) -> str:
     """NULL or the empty string."""
-    return _col(value).isNull() | (_col(value).cast("string") == "")
+    return f"({value} IS NULL OR CAST({value} AS string) = '')"
 
 
-def owns_or_rents(home: ColumnLike) -> Column:
-    return _col(home).isNotNull() & ~_col(home).isin(*rules.EXCLUDED_HOME_OWNERSHIP)
+def owns_or_rents(home: str) -> str:
+    return f"({home} IS NOT NULL AND NOT {in_list(home, rules.EXCLUDED_HOME_OWNERSHIP)})"
 
 
 # --- standardisation ------------------------------------------------------------
 
 
-def purpose_key(text: ColumnLike) -> Column:
-    return F.lower(F.trim(text))
+def purpose_key(text: str) -> str:
+    return f"lower(trim({text}))"
 
 
-def purpose_of_key(key: ColumnLike) -> Column:
+def purpose_of_key(key: str) -> str:
     """Purpose class of text already passed through :func:`purpose_key`.
 
-    The key is read up to two dozen times, so callers compute it in a projection of its
-    own (see ``operators.clean.with_purpose``) rather than inline.
+    The key is read up to two dozen times, so it should be a column of its own (see
+    ``operators.clean.with_purpose``) rather than an inlined expression.
     """
-    key = _col(key)
-    first, *others = (
-        (reduce(lambda a, b: a | b, [key.contains(n) for n in needles]), purpose)
+    cases = (
+        f"WHEN {' OR '.join(f'contains({key}, {quote(n)})' for n in needles)} THEN {quote(purpose)}"
         for purpose, needles in rules.PURPOSE_RULES
     )
-    case = F.when(first[0], first[1])
-    for condition, purpose in others:
-        case = case.when(condition, purpose)
-    return case.otherwise(rules.PURPOSE_OTHER)
+    return f"CASE {' '.join(cases)} ELSE {quote(rules.PURPOSE_OTHER)} END"
 
 
-def normalize_purpose(text: ColumnLike) -> Column:
+def normalize_purpose(text: str) -> str:
     return purpose_of_key(purpose_key(text))
 
 
-def employment_years(label: ColumnLike) -> Column:
-    return _literal_map(rules.EMPLOYMENT_YEARS)[_col(label)]
+def employment_years(label: str) -> str:
+    return lookup(rules.EMPLOYMENT_YEARS, label)
 
 
-def employment_label(years: ColumnLike) -> Column:
+def employment_label(years: str) -> str:
     """Years back to a label. One year reads "1 years": the published reports do."""
-    years = _col(years)
     return (
-        F.when(years.isNull(), "Unknown")
-        .when(years == 0, "< 1 year")
-        .when(years == 10, "10+ years")
-        .otherwise(F.concat(years.cast("int").cast("string"), F.lit(" years")))
+        f"CASE WHEN {years} IS NULL THEN 'Unknown' WHEN {years} = 0 THEN '< 1 year' "
+        f"WHEN {years} = 10 THEN '10+ years' ELSE concat(CAST({years} AS int), ' years') END"
     )
 
 
-def zip_prefix(zip_code: ColumnLike) -> Column:
-    return F.substring(zip_code, 1, 3)
+def zip_prefix(zip_code: str) -> str:
+    return f"substring({zip_code}, 1, 3)"
 
 
-def simplify_status(status: ColumnLike) -> Column:
+def simplify_status(status: str) -> str:
     """Four classes; every status not named, NULL too, counts as past due."""
-    status = _col(status)
     return (
-        F.when(status == rules.STATUS_PAID, rules.STATUS_PAID)
-        .when(status == rules.STATUS_CURRENT, rules.STATUS_CURRENT)
-        .when(status.isin(*rules.DEFAULTED_STATUSES), rules.STATUS_CHARGED_OFF)
-        .otherwise(rules.STATUS_LATE)
+        f"CASE WHEN {status} = {quote(rules.STATUS_PAID)} THEN {quote(rules.STATUS_PAID)} "
+        f"WHEN {status} = {quote(rules.STATUS_CURRENT)} THEN {quote(rules.STATUS_CURRENT)} "
+        f"WHEN {in_list(status, rules.DEFAULTED_STATUSES)} THEN {quote(rules.STATUS_CHARGED_OFF)} "
+        f"ELSE {quote(rules.STATUS_LATE)} END"
     )
 
 
-def is_charged_off(status: ColumnLike) -> Column:
-    flag = _col(status).isin(*rules.DEFAULTED_STATUSES)
-    return F.coalesce(flag, F.lit(False)).cast("int")
+def is_charged_off(status: str) -> str:
+    return f"CASE WHEN {in_list(status, rules.DEFAULTED_STATUSES)} THEN 1 ELSE 0 END"
 
 
-def state_name(code: ColumnLike) -> Column:
-    return _literal_map(rules.STATE_NAMES)[_col(code)]
+def state_name(code: str) -> str:
+    return lookup(rules.STATE_NAMES, code)
 
 
 # --- bands ------------------------------------------------------------------------
 
 
-def band(value: ColumnLike, edges: Sequence[float], labels: Sequence[str]) -> Column:
+def band(value: str, edges: Sequence[float], labels: Sequence[str]) -> str:
     """Half-open bands ``[lower, upper)``. NULL lands in the top band; filter first."""
-    value = _col(value)
-    case = F.when(value < edges[0], labels[0])
-    for edge, label in zip(edges[1:], labels[1:-1], strict=True):
-        case = case.when(value < edge, label)
-    return case.otherwise(labels[-1])
+    cases = (f"WHEN {value} < {edge} THEN {quote(label)}" for edge, label in zip(edges, labels[:-1], strict=True))
+    return f"CASE {' '.join(cases)} ELSE {quote(labels[-1])} END"
 
 
-def dti_band(value: ColumnLike) -> Column:
+def dti_band(value: str) -> str:
     return band(value, *rules.DTI_BANDS)
 
 
-def amount_band(value: ColumnLike) -> Column:
+def amount_band(value: str) -> str:
     return band(value, *rules.AMOUNT_BANDS)
 
 
-def income_band(value: ColumnLike) -> Column:
+def income_band(value: str) -> str:
     return band(value, *rules.INCOME_BANDS)
 
 
-def score_band(value: ColumnLike) -> Column:
+def score_band(value: str) -> str:
     return band(value, *rules.SCORE_BANDS)
 
 
 # --- dates ------------------------------------------------------------------------
 
 
-def application_day(text: ColumnLike) -> Column:
-    return F.try_to_date(text, "yyyy-MM-dd")
+def application_day(text: str) -> str:
+    return f"try_to_date({text}, 'yyyy-MM-dd')"
 
 
-def issue_month(text: ColumnLike) -> Column:
-    return F.try_to_date(text, "MMM-yyyy")
+def issue_month(text: str) -> str:
+    return f"try_to_date({text}, 'MMM-yyyy')"
 
 
-def year_month(day: ColumnLike) -> Column:
-    month = F.lpad(F.month(day).cast("string"), 2, "0")
-    return F.concat(F.year(day).cast("string"), F.lit("-"), month)
+def year_month(day: str) -> str:
+    return f"concat(year({day}), '-', lpad(CAST(month({day}) AS string), 2, '0'))"
 
 
 # --- keyed hashing ------------------------------------------------------------------
 
 
-def keyed_hash(salt: str, *keys: ColumnLike) -> Column:
+def keyed_hash(salt: str, key: str) -> str:
     """Hex digest of ``salt:key``: the same for a row wherever and whenever it is read."""
-    parts = [F.coalesce(_col(k).cast("string"), F.lit("")) for k in keys]
-    return F.md5(F.concat_ws(":", F.lit(salt), *parts))
+    return f"md5(concat({quote(salt + ':')}, coalesce(CAST({key} AS string), '')))"
 
 
-def hash_slice(digest: ColumnLike, start: int, length: int) -> Column:
+def hash_slice(digest: str, start: int, length: int) -> str:
     """``length`` hex digits of a digest from 1-based ``start`` as a number."""
-    return F.conv(F.substring(digest, start, length), 16, 10).cast("bigint")
+    return f"CAST(conv(substring({digest}, {start}, {length}), 16, 10) AS bigint)"

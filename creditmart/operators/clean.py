@@ -4,84 +4,70 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from creditmart import rules
+from creditmart.functions import exprs
 from creditmart.functions import numbers as num
 from creditmart.functions import scalars as sc
 
-DETAIL_COLUMNS = ("loan_amnt", "purpose", "addr_state", "emp_length", "dti", "zip_code", "label")
 SHARED_REPORT_COLUMNS = ("loan_amnt", "purpose", "addr_state", "emp_length", "dti", "label")
 
 
 def with_purpose(source: str, target: str = "purpose") -> Callable[[DataFrame], DataFrame]:
-    """Add the purpose class of a text column.
+    """Set ``target`` to the purpose class of a text column.
 
     The lower-cased text is a projection of its own: Catalyst keeps it apart because it is
     read many times, so it is computed once per row and not once per rule.
     """
 
     def apply(df: DataFrame) -> DataFrame:
-        return (
-            df.withColumn("_purpose_key", sc.purpose_key(source))
-            .withColumn(target, sc.purpose_of_key("_purpose_key"))
-            .drop("_purpose_key")
+        others = [c for c in df.columns if c != target]
+        return df.selectExpr(*others, f"{sc.purpose_key(source)} AS _purpose_key").selectExpr(
+            *others, f"{sc.purpose_of_key('_purpose_key')} AS {target}"
         )
 
     return apply
 
 
-def _label(value: int) -> Column:
-    return F.lit(value).cast("int").alias("label")
-
-
 # --- warehouse detail ------------------------------------------------------------
 
 
-def _detail(df: DataFrame, label: int, carry: Sequence[str]) -> DataFrame:
+def _detail(typed: DataFrame, label: int, carry: Sequence[str]) -> DataFrame:
     low, high = rules.DETAIL_DTI_RANGE
     return (
-        df.where(sc.valid_state("addr_state") & sc.valid_employment("employment"))
-        .where(sc.in_range("dti", low, high, keep_null=True) & F.col("loan_amnt").isNotNull())
+        typed.where(f"loan_amnt IS NOT NULL AND {sc.in_range('dti', low, high, keep_null=True)}")
         .transform(with_purpose("title"))
-        .select(
-            *carry,
-            "loan_amnt",
-            "purpose",
-            "addr_state",
-            sc.employment_years("employment").alias("emp_length"),
-            "dti",
-            sc.zip_prefix("zip_code").alias("zip_code"),
-            _label(label),
+        .selectExpr(
+            *carry, "loan_amnt", "purpose", "addr_state", "emp_length", "dti", "zip_code", f"{label} AS label"
         )
     )
 
 
 def clean_rejected(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Rejected applications: known state and employment, DTI missing or 0..200."""
-    typed = raw.select(
+    typed = raw.where(f"{sc.valid_state('state')} AND {sc.valid_employment('employment_length')}").selectExpr(
         *carry,
-        num.to_number("loan_amnt_raw").alias("loan_amnt"),
-        F.col("loan_title").alias("title"),
-        F.col("state").alias("addr_state"),
-        F.col("employment_length").alias("employment"),
-        num.parse_percent("dti_raw").alias("dti"),
-        "zip_code",
+        f"{num.to_number('loan_amnt_raw')} AS loan_amnt",
+        "loan_title AS title",
+        "state AS addr_state",
+        f"{sc.employment_years('employment_length')} AS emp_length",
+        f"{num.parse_percent('dti_raw')} AS dti",
+        f"{sc.zip_prefix('zip_code')} AS zip_code",
     )
     return _detail(typed, label=0, carry=carry)
 
 
 def clean_accepted(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Accepted applications under the same rules; DTI carries no percent sign here."""
-    typed = raw.select(
+    typed = raw.where(f"{sc.valid_state('addr_state')} AND {sc.valid_employment('emp_length')}").selectExpr(
         *carry,
-        num.to_number("loan_amnt").alias("loan_amnt"),
-        F.col("purpose").alias("title"),
+        f"{num.to_number('loan_amnt')} AS loan_amnt",
+        "purpose AS title",
         "addr_state",
-        F.col("emp_length").alias("employment"),
-        num.to_number("dti").alias("dti"),
-        "zip_code",
+        f"{sc.employment_years('emp_length')} AS emp_length",
+        f"{num.to_number('dti')} AS dti",
+        f"{sc.zip_prefix('zip_code')} AS zip_code",
     )
     return _detail(typed, label=1, carry=carry)
 
@@ -93,6 +79,8 @@ def combine(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
 
 # --- reporting detail --------------------------------------------------------------
 
+_CALENDAR = ("year(day) AS year", "month(day) AS month", f"{sc.year_month('day')} AS year_month")
+
 
 def report_rejected(raw: DataFrame, require_date: bool = True) -> DataFrame:
     """Rejected applications for the marts: known state, DTI present and 0..100.
@@ -101,66 +89,55 @@ def report_rejected(raw: DataFrame, require_date: bool = True) -> DataFrame:
     applications without a readable date too, hence ``require_date``.
     """
     low, high = rules.REPORT_DTI_RANGE
-    typed = raw.where(sc.valid_state("state")).select(
-        num.to_number("loan_amnt_raw").alias("loan_amnt"),
-        "loan_title",
-        F.col("state").alias("addr_state"),
-        sc.employment_years("employment_length").alias("emp_length"),
-        num.parse_percent("dti_raw").alias("dti"),
-        sc.application_day("application_date").alias("day"),
-        num.to_number("risk_score").alias("risk_score"),
-    )
-    kept = typed.where(F.col("loan_amnt").isNotNull() & sc.in_range("dti", low, high, keep_null=False))
-    if require_date:
-        kept = kept.where(F.col("day").isNotNull())
-    return kept.transform(with_purpose("loan_title")).select(
-        "loan_amnt",
-        "purpose",
-        "addr_state",
-        "emp_length",
-        "dti",
-        F.year("day").alias("year"),
-        F.month("day").alias("month"),
-        sc.year_month("day").alias("year_month"),
-        "risk_score",
-        _label(0),
+    keep = f"loan_amnt IS NOT NULL AND {sc.in_range('dti', low, high, keep_null=False)}"
+    return (
+        raw.where(sc.valid_state("state"))
+        .selectExpr(
+            f"{num.to_number('loan_amnt_raw')} AS loan_amnt",
+            "loan_title",
+            "state AS addr_state",
+            f"{sc.employment_years('employment_length')} AS emp_length",
+            f"{num.parse_percent('dti_raw')} AS dti",
+            f"{sc.application_day('application_date')} AS day",
+            f"{num.to_number('risk_score')} AS risk_score",
+        )
+        .where(f"{keep} AND day IS NOT NULL" if require_date else keep)
+        .transform(with_purpose("loan_title"))
+        .selectExpr(
+            "loan_amnt", "purpose", "addr_state", "emp_length", "dti", *_CALENDAR, "risk_score", "0 AS label"
+        )
     )
 
 
 def report_accepted(raw: DataFrame, normalize: bool = False) -> DataFrame:
     """Accepted loans for the marts; ``purpose`` stays as given unless asked otherwise."""
     low, high = rules.REPORT_DTI_RANGE
-    typed = raw.where(sc.valid_state("addr_state")).select(
-        num.to_number("loan_amnt").alias("loan_amnt"),
-        "purpose",
-        "addr_state",
-        sc.employment_years("emp_length").alias("emp_length"),
-        num.to_number("dti").alias("dti"),
-        sc.issue_month("issue_d").alias("day"),
-        "grade",
-        "sub_grade",
-        sc.simplify_status("loan_status").alias("loan_status"),
-        sc.is_charged_off("loan_status").alias("is_charged_off"),
-        num.to_number("int_rate").alias("int_rate"),
-        num.to_number("annual_inc").alias("annual_inc"),
-        "home_ownership",
-        num.to_number("fico_range_low").alias("fico_range_low"),
-        "term",
-    )
-    kept = typed.where(
-        F.col("loan_amnt").isNotNull()
-        & F.col("day").isNotNull()
-        & sc.in_range("dti", low, high, keep_null=False)
+    kept = (
+        raw.where(sc.valid_state("addr_state"))
+        .selectExpr(
+            f"{num.to_number('loan_amnt')} AS loan_amnt",
+            "purpose",
+            "addr_state",
+            f"{sc.employment_years('emp_length')} AS emp_length",
+            f"{num.to_number('dti')} AS dti",
+            f"{sc.issue_month('issue_d')} AS day",
+            "grade",
+            "sub_grade",
+            f"{sc.simplify_status('loan_status')} AS loan_status",
+            f"{sc.is_charged_off('loan_status')} AS is_charged_off",
+            f"{num.to_number('int_rate')} AS int_rate",
+            f"{num.to_number('annual_inc')} AS annual_inc",
+            "home_ownership",
+            f"{num.to_number('fico_range_low')} AS fico_range_low",
+            "term",
+        )
+        .where(
+            f"loan_amnt IS NOT NULL AND day IS NOT NULL AND {sc.in_range('dti', low, high, keep_null=False)}"
+        )
     )
     if normalize:
         kept = kept.transform(with_purpose("purpose"))
-    return (
-        kept.withColumn("year", F.year("day"))
-        .withColumn("month", F.month("day"))
-        .withColumn("year_month", sc.year_month("day"))
-        .withColumn("label", _label(1))
-        .drop("day")
-    )
+    return kept.selectExpr(*(c for c in kept.columns if c != "day"), *_CALENDAR, "1 AS label")
 
 
 def report_combined(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
@@ -174,9 +151,5 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str
     costs one row per task; a ranking window would send them all to one task.
     """
     rest = [c for c in df.columns if c not in {*keys, *order}]
-    first = F.min(F.struct(*order, *rest)).alias("_first")
-    return (
-        df.groupBy(*keys)
-        .agg(first, F.count(F.lit(1)).alias(copies))
-        .select(*keys, *(F.col("_first")[c].alias(c) for c in (*order, *rest)), copies)
-    )
+    first = f"min(struct({', '.join((*order, *rest))})) AS _first"
+    return df.groupBy(*keys).agg(*exprs([first, f"count(1) AS {copies}"])).select(*keys, "_first.*", copies)

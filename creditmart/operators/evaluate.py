@@ -7,112 +7,92 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart import rules
+from creditmart.functions import exprs, rows_of
 from creditmart.functions import numbers as num
 
 METRIC_DIGITS = 6
 
+_PRECISION = num.ratio_or_zero("tp", "tp + fp")
+_RECALL = num.ratio_or_zero("tp", "tp + fn")
+_F1 = num.ratio_or_zero("2 * precision * recall", "precision + recall")
+_FIGURES = ("precision", "recall", "f1")
 
-def with_prediction(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
-    return scored.withColumn("prediction", (F.col("prob_1") >= threshold).cast("int"))
-
-
-def _cells(predicted: Column) -> list[Column]:
-    positive = F.col("label") == 1
-    return [
-        F.count_if(predicted & positive).alias("tp"),
-        F.count_if(predicted & ~positive).alias("fp"),
-        F.count_if(~predicted & positive).alias("fn"),
-        F.count_if(~predicted & ~positive).alias("tn"),
-    ]
 
-
-def _f1(precision: Column, recall: Column) -> Column:
-    return num.ratio_or_zero(2 * precision * recall, precision + recall)
+def with_prediction(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+    return scored.selectExpr("*", f"CAST(prob_1 >= {threshold}D AS int) AS prediction")
 
 
-def _precision_recall_f1(tp: Column, fp: Column, fn: Column) -> tuple[Column, Column, Column]:
-    precision = num.ratio_or_zero(tp, tp + fp)
-    recall = num.ratio_or_zero(tp, tp + fn)
-    return precision, recall, _f1(precision, recall)
+def _rounded(value: str, name: str) -> str:
+    return f"{num.round_half_up(value, METRIC_DIGITS)} AS {name}"
 
 
-def _rounded(value: Column, name: str) -> Column:
-    return num.round_half_up(value, METRIC_DIGITS).alias(name)
+def _with_figures(counts: DataFrame) -> DataFrame:
+    """Add precision, recall and F1 to rows holding ``tp``, ``fp`` and ``fn``."""
+    return counts.selectExpr("*", f"{_PRECISION} AS precision", f"{_RECALL} AS recall").selectExpr(
+        "*", f"{_F1} AS f1"
+    )
 
 
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
-    return predictions.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("cnt"))
+    return predictions.groupBy("label", "prediction").agg(F.expr("count(1) AS cnt"))
 
 
 def _per_class(predictions: DataFrame) -> DataFrame:
-    """One row per class with its counts, unfolded from a single confusion row."""
-    cells = predictions.agg(*_cells(F.col("prediction") == 1))
-
-    def row(label: int, hits: str, false_hits: str, misses: str) -> Column:
-        return F.struct(
-            F.lit(label).alias("label"),
-            F.col(hits).alias("hits"),
-            F.col(false_hits).alias("false_hits"),
-            F.col(misses).alias("misses"),
+    """One row per class, each seen as the positive one, from a single confusion row."""
+    cells = {
+        "c11": "prediction = 1 AND label = 1",
+        "c10": "prediction = 1 AND label = 0",
+        "c01": "prediction = 0 AND label = 1",
+        "c00": "prediction = 0 AND label = 0",
+    }
+    counted = predictions.agg(*exprs(f"count_if({test}) AS {name}" for name, test in cells.items()))
+    classes = counted.selectExpr(
+        rows_of(
+            {"label": "0", "tp": "c00", "fp": "c01", "fn": "c10"},
+            {"label": "1", "tp": "c11", "fp": "c10", "fn": "c01"},
         )
+    )
+    return _with_figures(classes).selectExpr("*", "tp + fn AS support")
+
 
-    return cells.select(F.inline(F.array(row(0, "tn", "fn", "fp"), row(1, "tp", "fp", "fn"))))
+def _weighted(figure: str) -> str:
+    return f"try_divide(sum({figure} * support), sum(support))"
 
 
 def classification_metrics(predictions: DataFrame) -> DataFrame:
     """Accuracy, support-weighted precision / recall / F1 and the positive-class figures."""
-    precision, recall, f1 = _precision_recall_f1(F.col("hits"), F.col("false_hits"), F.col("misses"))
-    support = F.col("hits") + F.col("misses")
-    classes = _per_class(predictions).select(
-        "label", "hits", support.alias("support"), precision.alias("p"), recall.alias("r"), f1.alias("f")
-    )
-    total = F.sum("support")
-
-    def weighted(name: str) -> Column:
-        return F.try_divide(F.sum(F.col(name) * F.col("support")), total)
-
-    def positive(name: str) -> Column:
-        return F.max(F.when(F.col("label") == 1, F.col(name)))
-
-    return classes.agg(
-        total.alias("n"),
-        _rounded(F.try_divide(F.sum("hits"), total), "accuracy"),
-        _rounded(weighted("p"), "weighted_precision"),
-        _rounded(weighted("r"), "weighted_recall"),
-        _rounded(weighted("f"), "weighted_f1"),
-        _rounded(positive("p"), "precision_1"),
-        _rounded(positive("r"), "recall_1"),
-        _rounded(positive("f"), "f1_1"),
+    return _per_class(predictions).agg(
+        *exprs(
+            [
+                "sum(support) AS n",
+                _rounded("try_divide(sum(tp), sum(support))", "accuracy"),
+                *(_rounded(_weighted(f), f"weighted_{f}") for f in _FIGURES),
+                *(_rounded(f"max({f}) FILTER (WHERE label = 1)", f"{f}_1") for f in _FIGURES),
+            ]
+        )
     )
 
 
 def class_report(predictions: DataFrame) -> DataFrame:
-    """Per-class precision, recall, F1 and support, with macro and weighted means."""
-    precision, recall, f1 = _precision_recall_f1(F.col("hits"), F.col("false_hits"), F.col("misses"))
-    classes = _per_class(predictions).select(
-        F.when(F.col("label") == 1, "Accepted").otherwise("Rejected").alias("class"),
-        precision.alias("precision"),
-        recall.alias("recall"),
-        f1.alias("f1"),
-        (F.col("hits") + F.col("misses")).alias("support"),
-    )
-    figures = ("precision", "recall", "f1")
-    macro = classes.agg(
-        F.lit("macro avg").alias("class"), *(F.avg(c).alias(c) for c in figures), F.sum("support").alias("support")
+    """Per-class precision, recall, F1 and support, with macro and weighted means.
+
+    The means come from the one row per class, as a window over both would.
+    """
+    classes = _per_class(predictions).selectExpr(
+        "CASE label WHEN 1 THEN 'Accepted' ELSE 'Rejected' END AS class", *_FIGURES, "support"
     )
+    macro = classes.agg(*exprs(["'macro avg' AS class", *(f"avg({f}) AS {f}" for f in _FIGURES), "sum(support) AS support"]))
     weighted = classes.agg(
-        F.lit("weighted avg").alias("class"),
-        *(F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in figures),
-        F.sum("support").alias("support"),
+        *exprs(["'weighted avg' AS class", *(f"{_weighted(f)} AS {f}" for f in _FIGURES), "sum(support) AS support"])
     )
     return (
         classes.unionByName(macro)
         .unionByName(weighted)
-        .select("class", *(_rounded(F.col(c), c) for c in figures), "support")
+        .selectExpr("class", *(_rounded(f, f) for f in _FIGURES), "support")
     )
 
 
@@ -122,37 +102,23 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float] = rules.REPOR
     The thresholds become columns of a single aggregation, so rows are not multiplied and
     one small partial row per task is all that is shuffled.
     """
-    positive = F.col("label") == 1
-    counts = []
+    counts, rows = [], []
     for i, t in enumerate(thresholds):
-        predicted = F.col("prob_1") >= t
         counts += [
-            F.count_if(predicted & positive).alias(f"tp{i}"),
-            F.count_if(predicted & ~positive).alias(f"fp{i}"),
-            F.count_if(~predicted & positive).alias(f"fn{i}"),
+            f"count_if(prob_1 >= {t}D AND label = 1) AS tp{i}",
+            f"count_if(prob_1 >= {t}D AND label = 0) AS fp{i}",
+            f"count_if(prob_1 < {t}D AND label = 1) AS fn{i}",
         ]
-    rows = [
-        F.struct(
-            F.lit(float(t)).alias("threshold"),
-            F.col(f"tp{i}").alias("tp"),
-            F.col(f"fp{i}").alias("fp"),
-            F.col(f"fn{i}").alias("fn"),
-        )
-        for i, t in enumerate(thresholds)
-    ]
-    precision, recall, f1 = _precision_recall_f1(F.col("tp"), F.col("fp"), F.col("fn"))
-    return (
-        scored.agg(*counts)
-        .select(F.inline(F.array(*rows)))
-        .select(
-            "threshold", "tp", "fp", "fn",
-            _rounded(precision, "precision"), _rounded(recall, "recall"), _rounded(f1, "f1"),
-        )
-    )
+        rows.append({"threshold": f"{t}D", "tp": f"tp{i}", "fp": f"fp{i}", "fn": f"fn{i}"})
+    swept = scored.agg(*exprs(counts)).selectExpr(rows_of(*rows))
+    return _with_figures(swept).selectExpr("threshold", "tp", "fp", "fn", *(_rounded(f, f) for f in _FIGURES))
 
 
 # Bins per level when ranking scores; two levels resolve a probability to 2**-32.
 _SCORE_BINS = 65536
+_SCORE_CELL = (
+    f"CAST(least(floor(greatest(least(prob_1, 1.0D), 0.0D) * {_SCORE_BINS**2}D), {_SCORE_BINS**2 - 1}) AS bigint)"
+)
 
 
 def score_counts_below(scored: DataFrame) -> DataFrame:
@@ -163,45 +129,36 @@ def score_counts_below(scored: DataFrame) -> DataFrame:
     distinct scores inside a fine bin. The bins only need to follow the score order, so a
     score outside [0, 1] costs balance, not correctness.
     """
-    cells = _SCORE_BINS * _SCORE_BINS
-    inside = F.greatest(F.least(F.col("prob_1"), F.lit(1.0)), F.lit(0.0))
-    cell = F.least(F.floor(inside * cells), F.lit(cells - 1))
-    fine = (
+    scores = (
         scored.groupBy("prob_1")
-        .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
-        .withColumn("_cell", cell.cast("bigint"))
-        .withColumn("_bin", F.floor(F.col("_cell") / _SCORE_BINS))
+        .agg(*exprs(["count_if(label = 1) AS pos", "count_if(label = 0) AS neg"]))
+        .selectExpr("*", f"{_SCORE_CELL} AS _cell", f"{_SCORE_CELL} DIV {_SCORE_BINS} AS _bin")
     )
-
-    def totals(df: DataFrame, *keys: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-
-    def before(df: DataFrame, within: Sequence[str], order: str, name: str) -> DataFrame:
-        w = Window.partitionBy(*(within or [F.lit(0)])).orderBy(order)
-        w = w.rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(f"pos_{name}", F.coalesce(F.sum("pos").over(w), F.lit(0))).withColumn(
-            f"neg_{name}", F.coalesce(F.sum("neg").over(w), F.lit(0))
-        )
-
-    by_cell = totals(fine, "_bin", "_cell")
-    everything = Window.partitionBy(F.lit(0))
-    bins = (
-        before(totals(by_cell, "_bin"), [], "_bin", "bins")
-        .withColumn("pos_total", F.sum("pos").over(everything))
-        .withColumn("neg_total", F.sum("neg").over(everything))
-        .drop("pos", "neg")
+    totals = exprs(["sum(pos) AS pos", "sum(neg) AS neg"])
+    by_cell = scores.groupBy("_bin", "_cell").agg(*totals)
+    by_bin = by_cell.groupBy("_bin").agg(*totals)  # at most 65,536 rows
+
+    def before(within: str, order: str, name: str) -> tuple[str, str]:
+        frame = f"(PARTITION BY {within} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        return f"sum(pos) OVER {frame} - pos AS pos_{name}", f"sum(neg) OVER {frame} - neg AS neg_{name}"
+
+    bins = by_bin.selectExpr(
+        "_bin",
+        *before("1", "_bin", "bins"),
+        "sum(pos) OVER (PARTITION BY 1) AS pos_total",
+        "sum(neg) OVER (PARTITION BY 1) AS neg_total",
     )
-    cells_before = before(by_cell, ["_bin"], "_cell", "cells").drop("pos", "neg")
-    ranked = before(fine, ["_bin", "_cell"], "prob_1", "scores")
+    cells = by_cell.selectExpr("_bin", "_cell", *before("_bin", "_cell", "cells"))
+    ranked = scores.selectExpr("*", *before("_bin, _cell", "prob_1", "scores"))
     return (
-        ranked.join(cells_before, on=["_bin", "_cell"])
-        .join(F.broadcast(bins), on="_bin")  # at most 65,536 rows
-        .select(
+        ranked.join(cells, on=["_bin", "_cell"])
+        .join(F.broadcast(bins), on="_bin")
+        .selectExpr(
             "prob_1",
             "pos",
             "neg",
-            (F.col("pos_bins") + F.col("pos_cells") + F.col("pos_scores")).alias("pos_below"),
-            (F.col("neg_bins") + F.col("neg_cells") + F.col("neg_scores")).alias("neg_below"),
+            "pos_bins + pos_cells + pos_scores AS pos_below",
+            "neg_bins + neg_cells + neg_scores AS neg_below",
             "pos_total",
             "neg_total",
         )
@@ -216,17 +173,20 @@ def auc_rank(scored: DataFrame) -> DataFrame:
     before a threshold is that threshold less its own rows, so no neighbour is looked up,
     and the curve starts level with its first point.
     """
-    wins = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2)
-    tp, fp = F.col("pos_total") - F.col("pos_below"), F.col("neg_total") - F.col("neg_below")
-    tp_before, fp_before = tp - F.col("pos"), fp - F.col("neg")
-    precision = tp / (tp + fp)
-    precision_before = F.coalesce(F.try_divide(tp_before, tp_before + fp_before), precision)
-    area = F.try_divide(F.col("pos"), F.col("pos_total")) * (precision + precision_before) / 2
-
-    n_pos, n_neg = F.sum("pos"), F.sum("neg")
-    return score_counts_below(scored).agg(
-        n_pos.alias("n_pos"),
-        n_neg.alias("n_neg"),
-        _rounded(F.try_divide(F.sum(wins), n_pos.cast("double") * n_neg), "auc_roc"),
-        _rounded(F.sum(area), "auc_pr"),
+    points = (
+        score_counts_below(scored)
+        .selectExpr("*", "pos_total - pos_below AS tp", "neg_total - neg_below AS fp")
+        .selectExpr("*", "tp / (tp + fp) AS prec", "try_divide(tp - pos, tp - pos + fp - neg) AS prec_before")
+    )
+    wins = "sum(CAST(pos AS double) * (neg_below + neg / 2))"
+    area = "sum(try_divide(pos, pos_total) * (prec + coalesce(prec_before, prec)) / 2)"
+    return points.agg(
+        *exprs(
+            [
+                "sum(pos) AS n_pos",
+                "sum(neg) AS n_neg",
+                _rounded(f"try_divide({wins}, CAST(sum(pos) AS double) * sum(neg))", "auc_roc"),
+                _rounded(area, "auc_pr"),
+            ]
+        )
     )

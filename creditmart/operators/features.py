@@ -5,55 +5,45 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmart import rules
+from creditmart import rules, schemas
+from creditmart.functions import exprs
 from creditmart.functions import numbers as num
 from creditmart.functions import scalars as sc
 from creditmart.operators import measures as m
 from creditmart.sources.stage import stage
 
-FEATURE_COLUMNS = (
-    "loan_amnt", "emp_length", "dti",
-    "state_approval_rate", "state_avg_dti",
-    "purpose_approval_rate", "purpose_avg_loan_amnt",
-    "zip_approval_rate",
-    "purpose", "addr_state", "zip_code",
-    "label",
-)
 FOLD_SALT = "fold-42"
 
 
 @dataclass(frozen=True)
 class RateTable:
-    """One lookup: its key, and the features it gives (name -> measure over detail rows)."""
+    """One lookup: its key, its rate, and further features (name -> aggregate)."""
 
     key: str
-    features: dict[str, Column]
+    rate: str
+    others: tuple[tuple[str, str], ...]
     # True where the cleaning rules admit only a fixed list of keys (51 states,
     # 14 purposes): the table is then small whatever the data. Zip prefixes come from
     # free text, so their table is sized before the join instead.
     bounded: bool
 
 
-def rate_tables() -> tuple[RateTable, ...]:
-    rate = num.ratio(m.n_where(m.APPROVED), m.n_rows())
-    return (
-        RateTable("addr_state", {"state_approval_rate": rate, "state_avg_dti": num.mean("dti", 4)}, True),
-        RateTable("purpose", {"purpose_approval_rate": rate, "purpose_avg_loan_amnt": num.mean("loan_amnt", 2)}, True),
-        RateTable("zip_code", {"zip_approval_rate": rate}, False),
-    )
+RATE_TABLES = (
+    RateTable("addr_state", "state_approval_rate", (("state_avg_dti", num.mean("dti", 4)),), True),
+    RateTable("purpose", "purpose_approval_rate", (("purpose_avg_loan_amnt", num.mean("loan_amnt", 2)),), True),
+    RateTable("zip_code", "zip_approval_rate", (), False),
+)
 
 
-def _lookup(detail: DataFrame, table: RateTable) -> DataFrame:
-    rates = detail.groupBy(table.key).agg(*(c.alias(name) for name, c in table.features.items()))
-    if table.bounded:
-        return F.broadcast(rates)
-    # Read back from files, its true size is known when the join is planned: Catalyst
-    # broadcasts it below spark.sql.autoBroadcastJoinThreshold and shuffles otherwise,
-    # where adaptive execution splits a hot key.
-    return stage(rates, f"rates-{table.key}")
+def _for_join(table: RateTable, rates: DataFrame) -> DataFrame:
+    """A bounded table is broadcast. The other is written and read back, so its true size
+    is known when the join is planned: Catalyst broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive
+    execution splits a hot key."""
+    return F.broadcast(rates) if table.bounded else stage(rates, f"rates-{table.key}")
 
 
 def attach_rates(rows: DataFrame, history: DataFrame) -> DataFrame:
@@ -63,18 +53,16 @@ def attach_rates(rows: DataFrame, history: DataFrame) -> DataFrame:
     ``history`` the same as ``rows`` this is plain target encoding (labels leak into the
     features); with a training part it is the leak-safe lookup for scoring new rows.
     """
-    for table in rate_tables():
-        rows = rows.join(_lookup(history, table), on=table.key, how="left")
+    for table in RATE_TABLES:
+        features = [f"{m.RATE} AS {table.rate}", *(f"{text} AS {name}" for name, text in table.others)]
+        rates = history.groupBy(table.key).agg(*exprs(features))
+        rows = rows.join(_for_join(table, rates), on=table.key, how="left")
     return rows.fillna(rules.FEATURE_DEFAULTS)
 
 
 def model_input(detail: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """The feature table: three raw numbers, five rates or means, three categories, label."""
-    return attach_rates(detail, detail).select(*carry, *FEATURE_COLUMNS)
-
-
-def fold_of(key: str, folds: int) -> Column:
-    return (sc.hash_slice(sc.keyed_hash(FOLD_SALT, key), 1, 8) % folds).cast("int")
+    return attach_rates(detail, detail).select(*carry, *schemas.FEATURES.names)
 
 
 def out_of_fold_rates(detail: DataFrame, key: str, folds: int = 5) -> DataFrame:
@@ -85,22 +73,20 @@ def out_of_fold_rates(detail: DataFrame, key: str, folds: int = 5) -> DataFrame:
     has the segment. Each lookup is one aggregation to (segment, fold) and a window over
     at most ``folds`` rows per segment.
     """
-    dealt = detail.withColumn("fold", fold_of(key, folds))
+    fold = f"CAST({sc.hash_slice(sc.keyed_hash(FOLD_SALT, key), 1, 8)} % {folds} AS int) AS fold"
+    dealt = detail.selectExpr("*", fold)
     rows = dealt
-    for table in rate_tables():
-        name = next(n for n in table.features if n.endswith("approval_rate"))
-        segment = Window.partitionBy(table.key)
-        others = F.sum("_n").over(segment) - F.col("_n")
-        approved_others = F.sum("_approved").over(segment) - F.col("_approved")
+    for table in RATE_TABLES:
+        name = f"oof_{table.rate}"
+        others = f"(sum(_n) OVER (PARTITION BY {table.key}) - _n)"
+        approved_others = f"(sum(_approved) OVER (PARTITION BY {table.key}) - _approved)"
         rates = (
             dealt.groupBy(table.key, "fold")
-            .agg(m.n_rows().alias("_n"), m.n_where(m.APPROVED).alias("_approved"))
-            .select(table.key, "fold", num.ratio(approved_others, others).alias(f"oof_{name}"))
-        )
-        rates = F.broadcast(rates) if table.bounded else stage(rates, f"oof-{table.key}")
-        rows = rows.join(rates, on=[table.key, "fold"], how="left").fillna(
-            {f"oof_{name}": rules.FEATURE_DEFAULTS[name]}
+            .agg(*exprs([f"{m.N} AS _n", f"{m.N_APPROVED} AS _approved"]))
+            .selectExpr(table.key, "fold", f"{num.ratio(approved_others, others)} AS {name}")
         )
+        rows = rows.join(_for_join(table, rates), on=[table.key, "fold"], how="left")
+        rows = rows.fillna({name: rules.FEATURE_DEFAULTS[table.rate]})
     return rows
 
 

@@ -1,42 +1,31 @@
-"""The measure family every summary shares: counts, rates and rounded means."""
+"""The measure family every summary shares: counts, rates and rounded means.
 
-from __future__ import annotations
+All return aggregate expressions as text, named where they are a report column.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from creditmart.functions import numbers as num
 
-APPROVED = "label = 1"
-REJECTED = "label = 0"
-
-
-def n_rows() -> Column:
-    return F.count(F.lit(1))
-
-
-def n_where(condition: str | Column) -> Column:
-    return F.count_if(F.expr(condition) if isinstance(condition, str) else condition)
-
-
-def approval_rate() -> Column:
-    return num.ratio(n_where(APPROVED), n_rows()).alias("approval_rate")
-
+N = "count(1)"
+N_APPROVED = "count_if(label = 1)"
+N_REJECTED = "count_if(label = 0)"
+RATE = num.ratio(N_APPROVED, N)
 
-def charged_off() -> list[Column]:
-    """Charge-off count and rate over a 0/1 ``is_charged_off`` column."""
-    return [
-        F.sum("is_charged_off").alias("charged_off_cnt"),
-        num.ratio(F.sum("is_charged_off"), n_rows()).alias("charged_off_rate"),
-    ]
+APPROVAL_RATE = f"{RATE} AS approval_rate"
+CHARGED_OFF = (
+    "sum(is_charged_off) AS charged_off_cnt",
+    f"{num.ratio('sum(is_charged_off)', N)} AS charged_off_rate",
+)
 
 
-def avg_of(name: str, digits: int, alias: str | None = None) -> Column:
-    return num.mean(name, digits).alias(alias or f"avg_{name}")
+def average(column: str, digits: int, name: str | None = None) -> str:
+    return f"{num.mean(column, digits)} AS {name or f'avg_{column}'}"
 
 
-AVG_AMOUNT = ("loan_amnt", 2)
-AVG_DTI = ("dti", 4)
-AVG_RATE = ("int_rate", 4)
-AVG_INCOME = ("annual_inc", 2)
-AVG_EMPLOYMENT = ("emp_length", 2)
+# Digits each figure is reported with.
+AVG_AMOUNT = average("loan_amnt", 2)
+AVG_DTI = average("dti", 4)
+AVG_RATE = average("int_rate", 4)
+AVG_INCOME = average("annual_inc", 2)
+AVG_EMPLOYMENT = average("emp_length", 2)

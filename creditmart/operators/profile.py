@@ -9,24 +9,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart import rules
+from creditmart.functions import exprs, field_rows, quote, rows_of
 from creditmart.functions import numbers as num
 from creditmart.functions import scalars as sc
+from creditmart.operators import measures as m
 from creditmart.operators import quantiles as qt
 
-
-def _n() -> Column:
-    return F.count(F.lit(1))
-
-
-def unfold(df: DataFrame, fields: dict[str, Column], name: str = "field", value: str = "value") -> DataFrame:
-    """Rows ``(name, value)`` for every row and field. Streams: nothing is shuffled."""
-    pairs = F.array(*(F.struct(F.lit(k).alias(name), c.alias(value)) for k, c in fields.items()))
-    return df.select(F.inline(pairs))
-
+_COUNT = f"{m.N} AS cnt"
 
 # --- schema --------------------------------------------------------------------------
 
@@ -41,39 +34,37 @@ def schema_report(df: DataFrame) -> DataFrame:
 # --- missing values --------------------------------------------------------------------
 
 
+def _missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    counts = [f"count_if({sc.is_blank(c)}) AS missing_{i}" for i, c in enumerate(columns)]
+    rows = [
+        {"column_name": quote(c), "n_rows": "n", "n_missing": f"missing_{i}"} for i, c in enumerate(columns)
+    ]
+    return (
+        df.agg(*exprs([f"{m.N} AS n", *counts]))
+        .selectExpr(rows_of(*rows))
+        .selectExpr("*", "try_divide(n_missing * 100.0D, n_rows) AS _pct")
+    )
+
+
 def missing_rates(df: DataFrame, columns: Sequence[str], alarm_pct: float = rules.MISSING_ALARM_PCT) -> DataFrame:
     """NULL-or-empty share of every column in percent, flagged above ``alarm_pct``."""
-    counted = df.agg(
-        _n().alias("n"), *(F.count_if(sc.is_blank(c)).alias(f"missing_{i}") for i, c in enumerate(columns))
-    )
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col("n").alias("n_rows"),
-                F.col(f"missing_{i}").alias("n_missing"),
-            )
-            for i, c in enumerate(columns)
-        )
-    )
-    share = F.try_divide(F.col("n_missing") * 100.0, F.col("n_rows"))
-    return counted.select(F.inline(rows)).select(
+    return _missing_counts(df, columns).selectExpr(
         "column_name",
         "n_rows",
         "n_missing",
-        num.round_half_up(share, 2).alias("missing_pct"),
-        F.coalesce(share > alarm_pct, F.lit(False)).alias("is_high"),
+        f"{num.round_half_up('_pct', 2)} AS missing_pct",
+        f"coalesce(_pct > {alarm_pct}D, false) AS is_high",
     )
 
 
 def missing_bands(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns graded by missing rate: fit for use, to be assessed, to be dropped."""
     low, high = rules.MISSING_BANDS
-    share = F.try_divide(F.col("n_missing") * 100.0, F.col("n_rows"))
-    return missing_rates(df, columns).select(
+    return _missing_counts(df, columns).selectExpr(
         "column_name",
-        "missing_pct",
-        F.when(share <= low, "0-5%").when(share <= high, "5-50%").when(share > high, ">50%").alias("band"),
+        f"{num.round_half_up('_pct', 2)} AS missing_pct",
+        f"CASE WHEN _pct <= {low}D THEN '0-5%' WHEN _pct <= {high}D THEN '5-50%' "
+        f"WHEN _pct > {high}D THEN '>50%' END AS band",
     )
 
 
@@ -81,7 +72,7 @@ def missing_bands(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def value_frequency(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(_n().alias("cnt"))
+    return df.groupBy(column).agg(F.expr(_COUNT))
 
 
 def top_k(df: DataFrame, by: str, key: str, k: int) -> DataFrame:
@@ -97,8 +88,10 @@ def pct_of_total(df: DataFrame, column: str, k: int) -> DataFrame:
     """
     groups = value_frequency(df, column)
     total = groups.agg(F.sum("cnt")).scalar()
-    return top_k(groups, "cnt", column, k).select(
-        column, "cnt", num.round_half_up(F.col("cnt") * 100.0 / total, 2).alias("pct")
+    return (
+        top_k(groups, "cnt", column, k)
+        .withColumn("_total", total)
+        .selectExpr(column, "cnt", f"{num.percent('cnt', '_total')} AS pct")
     )
 
 
@@ -109,13 +102,12 @@ def top_values(values: DataFrame, k: int) -> DataFrame:
     shuffle by field (Spark plans a partial group limit for it), so a field with very many
     distinct values sends ``k`` rows per task and not all of them.
     """
-    w = Window.partitionBy("field").orderBy(F.desc("cnt"), F.asc_nulls_first("value"))
-    return (
-        values.groupBy("field", "value")
-        .agg(_n().alias("cnt"))
-        .withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= k)
-    )
+    return _ranked(values.groupBy("field", "value").agg(F.expr(_COUNT)), k)
+
+
+def _ranked(counts: DataFrame, k: int) -> DataFrame:
+    place = "row_number() OVER (PARTITION BY field ORDER BY cnt DESC, value ASC NULLS FIRST)"
+    return counts.selectExpr("*", f"{place} AS rank").where(f"rank <= {k}")
 
 
 def nonconforming_values(values: DataFrame, k: int = 20) -> DataFrame:
@@ -126,42 +118,32 @@ def nonconforming_values(values: DataFrame, k: int = 20) -> DataFrame:
     return top_values(values.where("is_bad").select("field", "value"), k)
 
 
-def _checked(fields: dict[str, tuple[Column, Column]]) -> Column:
-    """Unfolds to ``(field, value, is_bad)``."""
-    return F.inline(
-        F.array(
-            *(
-                F.struct(F.lit(name).alias("field"), value.alias("value"), bad.alias("is_bad"))
-                for name, (value, bad) in fields.items()
-            )
-        )
-    )
+def _checked(name: str, value: str, is_bad: str) -> dict[str, str]:
+    return {"field": quote(name), "value": value, "is_bad": is_bad}
 
 
 def rejected_conformance(raw: DataFrame) -> DataFrame:
-    dti, score = F.col("dti_raw"), F.col("risk_score")
-    odd = rules.PATTERN_NOT_NUMERIC
-    return raw.select(
-        _checked(
-            {
-                "rejected.dti": (dti, sc.conforms(dti, odd)),
-                "rejected.risk_score": (score, sc.conforms(score, odd) | sc.is_blank(score)),
-            }
+    odd_dti = sc.conforms("dti_raw", rules.PATTERN_NOT_NUMERIC)
+    odd_score = sc.conforms("risk_score", rules.PATTERN_NOT_NUMERIC)
+    return raw.selectExpr(
+        rows_of(
+            _checked("rejected.dti", "dti_raw", odd_dti),
+            _checked("rejected.risk_score", "risk_score", f"{odd_score} OR {sc.is_blank('risk_score')}"),
         )
     )
 
 
 def accepted_conformance(raw: DataFrame) -> DataFrame:
-    score, month = F.col("fico_range_low"), F.col("issue_d")
-    return raw.select(
-        _checked(
-            {
-                "accepted.fico_range_low": (
-                    score,
-                    ~sc.conforms(score, rules.PATTERN_INTEGER) | sc.is_blank(score),
-                ),
-                "accepted.issue_d": (month, ~sc.conforms(month, rules.PATTERN_MONTH_YEAR)),
-            }
+    plain_score = sc.conforms("fico_range_low", rules.PATTERN_INTEGER)
+    plain_month = sc.conforms("issue_d", rules.PATTERN_MONTH_YEAR)
+    return raw.selectExpr(
+        rows_of(
+            _checked(
+                "accepted.fico_range_low",
+                "fico_range_low",
+                f"NOT {plain_score} OR {sc.is_blank('fico_range_low')}",
+            ),
+            _checked("accepted.issue_d", "issue_d", f"NOT {plain_month}"),
         )
     )
 
@@ -171,16 +153,16 @@ def categorical_profile(df: DataFrame, columns: Sequence[str], k: int) -> DataFr
 
     Blank values are left out of the counts but stay in the share's divisor.
     """
-    fields = unfold(df, {c: F.col(c).cast("string") for c in columns}).where(~sc.is_blank("value"))
-    counts = fields.groupBy("field", "value").agg(_n().alias("cnt"))
-    distinct = counts.groupBy("field").agg(_n().alias("n_distinct"))  # one row per column
-    w = Window.partitionBy("field").orderBy(F.desc("cnt"), F.asc("value"))
-    total = df.agg(_n()).scalar()
+    fields = df.selectExpr(field_rows({c: f"CAST({c} AS string)" for c in columns}))
+    counts = fields.where(f"NOT {sc.is_blank('value')}").groupBy("field", "value").agg(F.expr(_COUNT))
+    distinct = counts.groupBy("field").agg(F.expr("count(1) AS n_distinct"))  # one row per column
     return (
-        counts.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= k)
+        _ranked(counts, k)
         .join(F.broadcast(distinct), on="field")
-        .withColumn("pct_of_rows", num.round_half_up(F.col("cnt") * 100.0 / total, 1))
+        .withColumn("_total", df.agg(F.expr(m.N)).scalar())
+        .selectExpr(
+            "field", "value", "cnt", "rank", "n_distinct", f"{num.percent('cnt', '_total', 1)} AS pct_of_rows"
+        )
     )
 
 
@@ -189,9 +171,8 @@ def crosstab(df: DataFrame, row: str, column: str, values: dict[str, str]) -> Da
 
     The list (value -> output name) is given, so no extra job finds it.
     """
-    return df.groupBy(row).agg(
-        *(F.count_if(F.col(column) == value).alias(name) for value, name in values.items())
-    )
+    cells = (f"count_if({column} = {quote(value)}) AS {name}" for value, name in values.items())
+    return df.groupBy(row).agg(*exprs(cells))
 
 
 # --- distributions --------------------------------------------------------------------------
@@ -199,18 +180,16 @@ def crosstab(df: DataFrame, row: str, column: str, values: dict[str, str]) -> Da
 
 def quantiles_by_label(detail: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, mean and valid count of each column, per class."""
-    numeric = detail.select("label", F.inline(_field_array({c: F.col(c) for c in columns})))
-    return distribution(numeric, ["label", "field"])
-
-
-def _field_array(fields: dict[str, Column]) -> Column:
-    return F.array(*(F.struct(F.lit(k).alias("field"), c.alias("value")) for k, c in fields.items()))
+    values = detail.selectExpr("label", field_rows({c: c for c in columns}))
+    return distribution(values, ["label", "field"])
 
 
 def distribution(values: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Exact p25 / p50 / p75 with mean and count, over rows ``(*groups, value)``."""
     quartiles = qt.exact_quantiles(values, groups, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    basics = values.groupBy(*groups).agg(num.mean("value", 2).alias("avg"), F.count("value").alias("n_valid"))
+    basics = values.groupBy(*groups).agg(
+        *exprs([f"{num.mean('value', 2)} AS avg", "count(value) AS n_valid"])
+    )
     return basics.join(F.broadcast(quartiles), on=list(groups), how="left")
 
 
@@ -221,7 +200,7 @@ def rejected_numbers(raw: DataFrame) -> DataFrame:
         "dti": num.parse_percent("dti_raw"),
         "credit_score": num.to_number("risk_score"),
     }
-    return raw.select(F.lit("rejected").alias("src"), F.inline(_field_array(fields)))
+    return raw.selectExpr("'rejected' AS src", field_rows(fields))
 
 
 def accepted_numbers(raw: DataFrame, income: bool = False) -> DataFrame:
@@ -232,7 +211,7 @@ def accepted_numbers(raw: DataFrame, income: bool = False) -> DataFrame:
     }
     if income:
         fields["annual_inc"] = num.to_number("annual_inc")
-    return raw.select(F.lit("accepted").alias("src"), F.inline(_field_array(fields)))
+    return raw.selectExpr("'accepted' AS src", field_rows(fields))
 
 
 def iqr_outliers(values: DataFrame, groups: Sequence[str]) -> DataFrame:
@@ -241,41 +220,35 @@ def iqr_outliers(values: DataFrame, groups: Sequence[str]) -> DataFrame:
     The fences come from every row, not a sample, and reach the counting pass as a
     broadcast of one row per group.
     """
-    numeric = values.where(F.col("value").isNotNull())
-    quartiles = qt.exact_quantiles(numeric, groups, "value", {"q1": 0.25, "p50": 0.5, "q3": 0.75})
-    iqr = F.col("q3") - F.col("q1")
-    fences = quartiles.withColumn("lower_bound", F.col("q1") - 1.5 * iqr).withColumn(
-        "upper_bound", F.col("q3") + 1.5 * iqr
+    numeric = values.where("value IS NOT NULL")
+    fences = qt.exact_quantiles(numeric, groups, "value", {"q1": 0.25, "p50": 0.5, "q3": 0.75}).selectExpr(
+        "*", "q1 - 1.5D * (q3 - q1) AS lower_bound", "q3 + 1.5D * (q3 - q1) AS upper_bound"
     )
-    limits = ["q1", "p50", "q3", "lower_bound", "upper_bound"]
-    outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
     return (
         numeric.join(F.broadcast(fences), on=list(groups))
-        .groupBy(*groups, *limits)
+        .groupBy(*groups, "q1", "p50", "q3", "lower_bound", "upper_bound")
         .agg(
-            F.count("value").alias("n_valid"),
-            F.min("value").alias("min_value"),
-            F.max("value").alias("max_value"),
-            num.mean("value", 2).alias("avg"),
-            F.count_if(outside).alias("n_outliers"),
+            *exprs(
+                [
+                    "count(value) AS n_valid",
+                    "min(value) AS min_value",
+                    "max(value) AS max_value",
+                    f"{num.mean('value', 2)} AS avg",
+                    "count_if(value < lower_bound OR value > upper_bound) AS n_outliers",
+                ]
+            )
         )
-        .withColumn("pct_outliers", num.ratio(F.col("n_outliers") * 100.0, F.col("n_valid"), 2))
+        .selectExpr("*", f"{num.percent('n_outliers', 'n_valid')} AS pct_outliers")
     )
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Minimum, interpolated quartiles, maximum, mean and non-blank share per field."""
-    values = df.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(c).alias("field"),
-                        num.to_number(c).alias("value"),
-                        (~sc.is_blank(c)).alias("is_given"),
-                    )
-                    for c in columns
-                )
+    values = df.selectExpr(
+        rows_of(
+            *(
+                {"field": quote(c), "value": num.to_number(c), "is_given": f"NOT {sc.is_blank(c)}"}
+                for c in columns
             )
         )
     )
@@ -283,17 +256,20 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         values, ["field"], "value", {"p25": 0.25, "median": 0.5, "p75": 0.75}, interpolate=True
     )
     basics = values.groupBy("field").agg(
-        num.ratio(F.count_if("is_given") * 100.0, _n(), 1).alias("non_null_pct"),
-        num.round_half_up(F.min("value"), 2).alias("min_value"),
-        num.round_half_up(F.max("value"), 2).alias("max_value"),
-        num.mean("value", 2).alias("avg"),
+        *exprs(
+            [
+                f"{num.percent('count_if(is_given)', m.N, 1)} AS non_null_pct",
+                f"{num.round_half_up('min(value)', 2)} AS min_value",
+                f"{num.round_half_up('max(value)', 2)} AS max_value",
+                f"{num.mean('value', 2)} AS avg",
+            ]
+        )
     )
-    joined = basics.join(F.broadcast(quartiles), on="field", how="left")
-    return joined.select(
+    return basics.join(F.broadcast(quartiles), on="field", how="left").selectExpr(
         "field",
         "non_null_pct",
         "min_value",
-        *(num.round_half_up(F.col(q), 2).alias(q) for q in ("p25", "median", "p75")),
+        *(f"{num.round_half_up(q, 2)} AS {q}" for q in ("p25", "median", "p75")),
         "max_value",
         "avg",
     )
@@ -301,24 +277,19 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Typed count / mean / stddev / min / max per column, in one pass."""
-    figures = {
-        "n": F.count,
-        "mean": lambda c: num.mean(c, digits),
-        "stddev": lambda c: num.round_half_up(F.stddev_samp(c), digits),
-        "min_value": F.min,
-        "max_value": F.max,
-    }
-    wide = df.agg(*(f(c).alias(f"{c}__{name}") for c in columns for name, f in figures.items()))
-    return wide.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(F.lit(c).alias("field"), *(F.col(f"{c}__{name}").alias(name) for name in figures))
-                    for c in columns
-                )
-            )
-        )
-    )
+
+    def figures(c: str) -> dict[str, str]:
+        return {
+            "n": f"count({c})",
+            "mean": num.mean(c, digits),
+            "stddev": num.round_half_up(f"stddev_samp({c})", digits),
+            "min_value": f"min({c})",
+            "max_value": f"max({c})",
+        }
+
+    wide = [f"{text} AS {c}__{name}" for c in columns for name, text in figures(c).items()]
+    rows = [{"field": quote(c)} | {name: f"{c}__{name}" for name in figures(c)} for c in columns]
+    return df.agg(*exprs(wide)).selectExpr(rows_of(*rows))
 
 
 # --- feed against feed -----------------------------------------------------------------------
@@ -326,17 +297,18 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFram
 
 def feed_volumes(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
     """Rows per feed and the overall reject rate, in one row."""
-    volumes = rejected.agg(F.lit("rejected").alias("src"), _n().alias("cnt")).unionByName(
-        accepted.agg(F.lit("accepted").alias("src"), _n().alias("cnt"))
+    volumes = rejected.agg(*exprs(["'rejected' AS src", _COUNT])).unionByName(
+        accepted.agg(*exprs(["'accepted' AS src", _COUNT]))
     )
-
-    def of(src: str) -> Column:
-        return F.sum(F.when(F.col("src") == src, F.col("cnt")).otherwise(0))
-
+    rej, acc = (f"sum(CASE WHEN src = '{src}' THEN cnt ELSE 0 END)" for src in ("rejected", "accepted"))
     return volumes.agg(
-        of("rejected").alias("rejected_rows"),
-        of("accepted").alias("accepted_rows"),
-        num.ratio(of("rejected") * 100.0, F.sum("cnt"), 2).alias("reject_rate_pct"),
+        *exprs(
+            [
+                f"{rej} AS rejected_rows",
+                f"{acc} AS accepted_rows",
+                f"{num.percent(rej, 'sum(cnt)')} AS reject_rate_pct",
+            ]
+        )
     )
 
 
@@ -347,36 +319,36 @@ def feed_compare(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
     percent sign is accepted.
     """
 
-    def numeric(text: Column) -> Column:
-        bare = F.regexp_replace(text, "%", "")
-        return F.when(sc.conforms(bare, rules.PATTERN_DECIMAL), num.to_number(bare))
+    def plain(text: str) -> str:
+        bare = f"replace({text}, '%', '')"
+        return f"CASE WHEN {sc.conforms(bare, rules.PATTERN_DECIMAL)} THEN {num.to_number(bare)} END"
 
-    rej = {
-        "amount": num.to_number("loan_amnt_raw"),
-        "dti": numeric(F.col("dti_raw")),
-        "credit_score": numeric(F.col("risk_score")),
-    }
+    rej = {"amount": num.to_number("loan_amnt_raw"), "dti": plain("dti_raw"), "credit_score": plain("risk_score")}
     acc = {
         "amount": num.to_number("loan_amnt"),
         "dti": num.to_number("dti"),
-        "credit_score": numeric(F.col("fico_range_low")),
+        "credit_score": plain("fico_range_low"),
     }
-    both = rejected.select(F.lit("rejected").alias("src"), F.inline(_field_array(rej))).unionByName(
-        accepted.select(F.lit("accepted").alias("src"), F.inline(_field_array(acc)))
+    both = rejected.selectExpr("'rejected' AS src", field_rows(rej)).unionByName(
+        accepted.selectExpr("'accepted' AS src", field_rows(acc))
     )
     return both.groupBy("src", "field").agg(
-        _n().alias("n_rows"),
-        F.count("value").alias("n_valid"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-        num.mean("value", 2).alias("avg"),
+        *exprs(
+            [
+                f"{m.N} AS n_rows",
+                "count(value) AS n_valid",
+                "min(value) AS min_value",
+                "max(value) AS max_value",
+                f"{num.mean('value', 2)} AS avg",
+            ]
+        )
     )
 
 
 def _feed_days(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
-    return rejected.select(
-        F.lit("rejected").alias("src"), sc.application_day("application_date").alias("day")
-    ).unionByName(accepted.select(F.lit("accepted").alias("src"), sc.issue_month("issue_d").alias("day")))
+    return rejected.selectExpr(
+        "'rejected' AS src", f"{sc.application_day('application_date')} AS day"
+    ).unionByName(accepted.selectExpr("'accepted' AS src", f"{sc.issue_month('issue_d')} AS day"))
 
 
 def date_span(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
@@ -384,20 +356,20 @@ def date_span(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
         _feed_days(rejected, accepted)
         .groupBy("src")
         .agg(
-            F.min("day").cast("string").alias("first_day"),
-            F.max("day").cast("string").alias("last_day"),
-            F.count_if(F.col("day").isNull()).alias("n_unreadable"),
+            *exprs(
+                [
+                    "CAST(min(day) AS string) AS first_day",
+                    "CAST(max(day) AS string) AS last_day",
+                    "count_if(day IS NULL) AS n_unreadable",
+                ]
+            )
         )
     )
 
 
 def year_counts(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
-    return (
-        _feed_days(rejected, accepted)
-        .where(F.col("day").isNotNull())
-        .groupBy("src", F.year("day").alias("yr"))
-        .agg(_n().alias("cnt"))
-    )
+    days = _feed_days(rejected, accepted).where("day IS NOT NULL")
+    return days.groupBy("src", F.expr("year(day) AS yr")).agg(F.expr(_COUNT))
 
 
 def state_compare(rejected: DataFrame, accepted: DataFrame, k: int = 15) -> DataFrame:
@@ -405,27 +377,33 @@ def state_compare(rejected: DataFrame, accepted: DataFrame, k: int = 15) -> Data
 
     Both sides are aggregated first; the shares divide by scalar-subquery totals.
     """
-    rej = rejected.groupBy("state").agg(_n().alias("r_cnt"))
-    acc = accepted.groupBy(F.col("addr_state").alias("state")).agg(_n().alias("a_cnt"))
-    r_total, a_total = rej.agg(F.sum("r_cnt")).scalar(), acc.agg(F.sum("a_cnt")).scalar()
-    joined = rej.join(acc, on="state", how="left")
-    return top_k(joined, "r_cnt", "state", k).select(
-        "state",
-        "r_cnt",
-        num.round_half_up(F.col("r_cnt") * 100.0 / r_total, 1).alias("r_pct"),
-        "a_cnt",
-        num.round_half_up(F.col("a_cnt") * 100.0 / a_total, 1).alias("a_pct"),
+    rej = rejected.groupBy("state").agg(F.expr("count(1) AS r_cnt"))
+    acc = accepted.groupBy(F.expr("addr_state AS state")).agg(F.expr("count(1) AS a_cnt"))
+    totals = {
+        "_r_total": rej.agg(F.sum("r_cnt")).scalar(),
+        "_a_total": acc.agg(F.sum("a_cnt")).scalar(),
+    }
+    return (
+        top_k(rej.join(acc, on="state", how="left"), "r_cnt", "state", k)
+        .withColumns(totals)
+        .selectExpr(
+            "state",
+            "r_cnt",
+            f"{num.percent('r_cnt', '_r_total', 1)} AS r_pct",
+            "a_cnt",
+            f"{num.percent('a_cnt', '_a_total', 1)} AS a_pct",
+        )
     )
 
 
 def state_ranking(geo: DataFrame) -> DataFrame:
-    """States ranked by volume and by approval rate; ``geo`` has one row per state."""
-    return geo.select(
+    """States ranked by volume and by approval rate; ``geo`` has one row per valid state."""
+    return geo.selectExpr(
         "addr_state",
         "total_cnt",
         "approval_rate",
-        F.dense_rank().over(Window.orderBy(F.desc("total_cnt"))).alias("volume_rank"),
-        F.dense_rank().over(Window.orderBy(F.desc("approval_rate"))).alias("rate_rank"),
+        "dense_rank() OVER (PARTITION BY 1 ORDER BY total_cnt DESC) AS volume_rank",
+        "dense_rank() OVER (PARTITION BY 1 ORDER BY approval_rate DESC) AS rate_rank",
     )
 
 
@@ -436,19 +414,20 @@ def quality_flags(raw: DataFrame) -> DataFrame:
     """One flag per check on every rejected application and the share of checks passed."""
     low, high = rules.DETAIL_DTI_RANGE
     checks = {
-        "amount_ok": num.to_number("loan_amnt_raw") > 0,
-        "date_ok": sc.application_day("application_date").isNotNull(),
+        "amount_ok": f"{num.to_number('loan_amnt_raw')} > 0",
+        "date_ok": f"{sc.application_day('application_date')} IS NOT NULL",
         "dti_ok": sc.in_range(num.parse_percent("dti_raw"), low, high, keep_null=False),
-        "score_ok": num.to_number("risk_score").isNotNull(),
+        "score_ok": f"{num.to_number('risk_score')} IS NOT NULL",
         "state_ok": sc.valid_state("state"),
         "employment_ok": sc.valid_employment("employment_length"),
     }
-    flagged = raw.select("app_id", *(F.coalesce(c, F.lit(False)).alias(name) for name, c in checks.items()))
-    passed = sum((F.col(name).cast("int") for name in checks), F.lit(0))
-    return flagged.withColumn("quality_score", F.round(passed / len(checks), 4))
+    passed = " + ".join(f"CAST({name} AS int)" for name in checks)
+    return raw.selectExpr(
+        "app_id", *(f"coalesce({test}, false) AS {name}" for name, test in checks.items())
+    ).selectExpr("*", f"round(({passed}) / {len(checks)}.0D, 4) AS quality_score")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table_name, cnt)`` over many tables, to reconcile what was published."""
-    parts = [df.agg(F.lit(name).alias("table_name"), _n().alias("cnt")) for name, df in tables.items()]
+    parts = [df.agg(*exprs([f"{quote(name)} AS table_name", _COUNT])) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)

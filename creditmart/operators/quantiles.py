@@ -22,47 +22,55 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditmart.functions import exprs
+
 FANOUT = 4096
+_CELLS = FANOUT * FANOUT
 # Bins are computed on the value clamped to this, which keeps infinities in the end bins.
-_BIN_LIMIT = 1e300
+_CLAMPED = "greatest(least(_v, 1e300D), -1e300D)"
+# Bin of a value among the FANOUT**2 equal slices of its group's range.
+_CELL = (
+    f"CAST(CASE WHEN _high > _low THEN least(floor(({_CLAMPED} - _low) / (_high - _low) * {_CELLS}), {_CELLS - 1}) "
+    "ELSE 0 END AS bigint)"
+)
 
 
-def _rank_plan(probabilities: Sequence[float], interpolate: bool) -> list[Column]:
-    """(position, 1-based rank) for every order statistic needed, as functions of ``n``."""
-    n = F.col("_n")
+def _wanted_ranks(probabilities: Sequence[float], interpolate: bool) -> str:
+    """Array of (slot, 1-based rank) of every order statistic needed, in terms of ``_n``."""
     wanted = []
     for i, p in enumerate(probabilities):
         if interpolate:
-            spot = F.lit(float(p)) * (n - 1)
-            ranks = (F.floor(spot) + 1, F.ceil(spot) + 1)
+            spot = f"{p}D * (_n - 1)"
+            ranks = (f"floor({spot}) + 1", f"ceil({spot}) + 1")
         else:
-            ranks = (F.greatest(F.ceil(F.lit(float(p)) * n), F.lit(1)),)
+            ranks = (f"greatest(ceil({p}D * _n), 1)",)
         for side, rank in enumerate(ranks):
-            wanted.append(F.struct(F.lit(2 * i + side).alias("slot"), rank.cast("bigint").alias("rank")))
-    return wanted
+            wanted.append(f"named_struct('slot', {2 * i + side}, 'rank', CAST({rank} AS bigint))")
+    return f"array({', '.join(wanted)})"
 
 
 def _located(histogram: DataFrame, within: Sequence[str], order: str) -> DataFrame:
     """Keep the histogram rows holding a wanted rank; ranks become relative to the row."""
-    upto = F.sum("_c").over(
-        Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    counted = histogram.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
-    here = F.filter("_want", lambda w: (w["rank"] > F.col("_before")) & (w["rank"] <= F.col("_upto")))
-    shifted = F.transform(
-        here,
-        lambda w: F.struct(w["slot"].alias("slot"), (w["rank"] - F.col("_before")).alias("rank")),
+    others = [c for c in histogram.columns if c != "_want"]
+    frame = f"PARTITION BY {', '.join(within)} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return (
+        histogram.selectExpr("*", f"sum(_c) OVER ({frame}) - _c AS _before")
+        .selectExpr(
+            *others,
+            "transform(filter(_want, w -> w.rank > _before AND w.rank <= _before + _c), "
+            "w -> named_struct('slot', w.slot, 'rank', w.rank - _before)) AS _want",
+        )
+        .where("size(_want) > 0")
     )
-    return counted.withColumn("_want", shifted).where(F.size("_want") > 0)
 
 
-def _per_group(located: DataFrame, groups: Sequence[str], bin_key: str) -> DataFrame:
+def _bins_in_play(located: DataFrame, groups: Sequence[str], bin_key: str) -> DataFrame:
     """One row per group: a map from the bins still in play to the ranks wanted there."""
     return located.groupBy(*groups, "_low", "_high", "_n").agg(
-        F.map_from_entries(F.collect_list(F.struct(bin_key, "_want"))).alias("_bins")
+        F.expr(f"map_from_entries(collect_list(struct({bin_key}, _want))) AS _bins")
     )
 
 
@@ -72,49 +80,37 @@ def order_statistics(
     """Rows ``(*groups, _n, _slot, _value)``: slot ``2i`` is the lower order statistic of
     ``probabilities[i]`` and ``2i + 1`` the upper one (interpolated form only)."""
     groups = list(groups)
-    base = df.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    clamped = F.greatest(F.least(F.col("_v"), F.lit(_BIN_LIMIT)), F.lit(-_BIN_LIMIT))
-
-    low, high = F.col("_low"), F.col("_high")
-    cells = FANOUT * FANOUT
-    cell = F.when(
-        high > low,
-        F.least(F.floor((clamped - low) / (high - low) * cells), F.lit(cells - 1)),
-    ).otherwise(F.lit(0)).cast("bigint")
+    count = F.expr("count(1) AS _c")
+    base = df.selectExpr(*groups, f"CAST({value} AS double) AS _v").where("_v IS NOT NULL")
 
     span = base.groupBy(*groups).agg(
-        F.min(clamped).alias("_low"), F.max(clamped).alias("_high"), F.count("_v").alias("_n")
+        *exprs([f"min({_CLAMPED}) AS _low", f"max({_CLAMPED}) AS _high", "count(1) AS _n"])
     )
     coarse = (
         base.join(F.broadcast(span), on=groups)
-        .withColumn("_bin", F.floor(cell / FANOUT))
-        .groupBy(*groups, "_low", "_high", "_n", "_bin")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_want", F.array(*_rank_plan(probabilities, interpolate)))
+        .groupBy(*groups, "_low", "_high", "_n", F.expr(f"{_CELL} DIV {FANOUT} AS _bin"))
+        .agg(count)
+        .selectExpr("*", f"{_wanted_ranks(probabilities, interpolate)} AS _want")
     )
-    coarse_bins = _per_group(_located(coarse, groups, "_bin"), groups, "_bin")
-
     fine = (
-        base.join(F.broadcast(coarse_bins), on=groups)
-        .withColumn("_cell", cell)
-        .withColumn("_bin", F.floor(F.col("_cell") / FANOUT))
-        .withColumn("_want", F.try_element_at("_bins", F.col("_bin")))
-        .where(F.col("_want").isNotNull())
-        .groupBy(*groups, "_low", "_high", "_n", "_bin", "_cell", "_want")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        base.join(F.broadcast(_bins_in_play(_located(coarse, groups, "_bin"), groups, "_bin")), on=groups)
+        .selectExpr(*groups, "_low", "_high", "_n", "_bins", f"{_CELL} AS _cell")
+        .selectExpr(*groups, "_low", "_high", "_n", "_cell", f"try_element_at(_bins, _cell DIV {FANOUT}) AS _want")
+        .where("_want IS NOT NULL")
+        .groupBy(*groups, "_low", "_high", "_n", "_cell", "_want")
+        .agg(count)
     )
-    fine_bins = _per_group(_located(fine, [*groups, "_bin"], "_cell"), groups, "_cell")
-
+    in_bin = [*groups, f"_cell DIV {FANOUT}"]
     values = (
-        base.join(F.broadcast(fine_bins), on=groups)
-        .withColumn("_cell", cell)
-        .withColumn("_want", F.try_element_at("_bins", F.col("_cell")))
-        .where(F.col("_want").isNotNull())
+        base.join(F.broadcast(_bins_in_play(_located(fine, in_bin, "_cell"), groups, "_cell")), on=groups)
+        .selectExpr(*groups, "_n", "_v", "_bins", f"{_CELL} AS _cell")
+        .selectExpr(*groups, "_n", "_v", "_cell", "try_element_at(_bins, _cell) AS _want")
+        .where("_want IS NOT NULL")
         .groupBy(*groups, "_n", "_cell", "_want", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(count)
     )
-    return _located(values, [*groups, "_cell"], "_v").select(
-        *groups, "_n", F.explode("_want.slot").alias("_slot"), F.col("_v").alias("_value")
+    return _located(values, [*groups, "_cell"], "_v").selectExpr(
+        *groups, "_n", "explode(_want.slot) AS _slot", "_v AS _value"
     )
 
 
@@ -131,19 +127,16 @@ def exact_quantiles(
     at or below it; with it, the linear interpolation between neighbouring values.
     Missing values are left out, and a group without values yields no row.
     """
-    shares = list(probabilities.values())
-    found = order_statistics(df, groups, value, shares, interpolate)
+    found = order_statistics(df, groups, value, list(probabilities.values()), interpolate)
 
-    def at(slot: int) -> Column:
-        return F.max(F.when(F.col("_slot") == slot, F.col("_value")))
+    def at(slot: int) -> str:
+        return f"max(_value) FILTER (WHERE _slot = {slot})"
 
     columns = []
     for i, (name, p) in enumerate(probabilities.items()):
+        quantile = at(2 * i)
         if interpolate:
-            spot = F.lit(float(p)) * (F.first("_n") - 1)
-            weight = spot - F.floor(spot)
-            quantile = at(2 * i) + (at(2 * i + 1) - at(2 * i)) * weight
-        else:
-            quantile = at(2 * i)
-        columns.append(quantile.alias(name))
-    return found.groupBy(*groups).agg(*columns)
+            spot = f"{p}D * (first(_n) - 1)"
+            quantile = f"{quantile} + ({at(2 * i + 1)} - {quantile}) * ({spot} - floor({spot}))"
+        columns.append(f"{quantile} AS {name}")
+    return found.groupBy(*groups).agg(*exprs(columns))

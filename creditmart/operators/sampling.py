@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditmart.functions import exprs, rows_of
+from creditmart.functions import numbers as num
 from creditmart.functions import scalars as sc
+from creditmart.operators import measures as m
 
 # --- fixed values: salts and the 32-bit range a hash slice covers -----------------
 SPLIT_SALT = "42"
@@ -27,27 +30,21 @@ _SLICE_RANGE = 2**32
 _COPY_RUN = 1_000_000
 
 
-def _counts(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count_if(F.col("label") == 0).alias("n_rejected"),
-        F.count_if(F.col("label") == 1).alias("n_approved"),
-    )
+def _class_counts(df: DataFrame) -> DataFrame:
+    return df.agg(*exprs([f"{m.N_REJECTED} AS n_rejected", f"{m.N_APPROVED} AS n_approved"]))
 
 
 def class_balance(df: DataFrame) -> DataFrame:
     """Rows per class and the imbalance ratio, from one aggregation."""
-    return _counts(df).withColumn(
-        "imbalance_ratio",
-        F.round(F.try_divide(F.col("n_rejected"), F.col("n_approved")), 4),
-    )
+    return _class_counts(df).selectExpr("*", f"{num.ratio('n_rejected', 'n_approved')} AS imbalance_ratio")
 
 
 # --- Bernoulli forms ---------------------------------------------------------------
 
 
-def hash_share(salt: str, *keys: str) -> Column:
+def hash_share(salt: str, key: str) -> str:
     """A uniform number in [0, 1) fixed by the key."""
-    return sc.hash_slice(sc.keyed_hash(salt, *keys), 1, 8) / _SLICE_RANGE
+    return f"({sc.hash_slice(sc.keyed_hash(salt, key), 1, 8)} / {_SLICE_RANGE}.0D)"
 
 
 def undersample_hash(df: DataFrame, key: str, ratio: float = 2.0) -> DataFrame:
@@ -56,37 +53,32 @@ def undersample_hash(df: DataFrame, key: str, ratio: float = 2.0) -> DataFrame:
     The share is a scalar subquery, so the counting pass is part of the plan and nothing
     is collected.
     """
-    share = _counts(df).select(
-        F.least(F.lit(1.0), F.try_divide(F.col("n_approved") * ratio, F.col("n_rejected")))
-    )
-    keep = hash_share(UNDERSAMPLE_SALT, key) < share.scalar()
-    return df.where((F.col("label") == 1) | keep)
+    share = _class_counts(df).selectExpr(f"least(1.0D, try_divide(n_approved * {ratio}D, n_rejected))")
+    keep = F.expr(hash_share(UNDERSAMPLE_SALT, key)) < share.scalar()
+    return df.where(F.expr("label = 1") | keep)
 
 
 def split_hash(df: DataFrame, key: str, train_pct: int = 80) -> DataFrame:
     """Label every row ``train`` or ``test`` in column ``split``."""
-    digit = sc.hash_slice(sc.keyed_hash(SPLIT_SALT, key), 1, 8) % 100
-    return df.withColumn("split", F.when(digit < train_pct, "train").otherwise("test"))
+    bucket = f"{sc.hash_slice(sc.keyed_hash(SPLIT_SALT, key), 1, 8)} % 100"
+    return df.selectExpr("*", f"CASE WHEN {bucket} < {train_pct} THEN 'train' ELSE 'test' END AS split")
 
 
 def validation_flag(df: DataFrame, key: str, share: float = 0.2) -> DataFrame:
     """Mark a held-out part of the training rows, for early stopping."""
-    return df.withColumn("is_validation", hash_share(VALIDATION_SALT, key) < share)
+    return df.selectExpr("*", f"{hash_share(VALIDATION_SALT, key)} < {share}D AS is_validation")
 
 
 # --- exact sizes -------------------------------------------------------------------
 
 
-def _cutoff(counts: DataFrame, within: Sequence[str], bucket: str) -> DataFrame:
-    """The bucket in which the quota of each group is reached, and what is left for it."""
-    upto = F.sum("_c").over(
-        Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    before = F.col("_upto") - F.col("_c")
+def _cutoff(counts: DataFrame, within: str, bucket: str, keep: Sequence[str]) -> DataFrame:
+    """The bucket in which each group's quota is reached, and what is left for it there."""
+    frame = f"PARTITION BY {within} ORDER BY {bucket} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     return (
-        counts.withColumn("_upto", upto)
-        .where((before < F.col("_quota")) & (F.col("_quota") <= F.col("_upto")))
-        .withColumn("_quota", F.col("_quota") - before)
+        counts.selectExpr("*", f"sum(_c) OVER ({frame}) - _c AS _before")
+        .where("_before < _quota AND _quota <= _before + _c")
+        .selectExpr(*keep, "_quota - _before AS _quota")
     )
 
 
@@ -106,60 +98,54 @@ def mark_exactly(df: DataFrame, quotas: DataFrame, group: str, key: str, salt: s
     it first when it is costly.
     """
     columns = df.columns
-    digest = F.col("_digest")
-    hashed = (
-        df.withColumn("_digest", sc.keyed_hash(salt, key))
-        .withColumn("_b1", sc.hash_slice(digest, 1, 4))
-        .withColumn("_b2", sc.hash_slice(digest, 5, 4))
+    count = F.expr("count(1) AS _c")
+    hashed = df.selectExpr("*", f"{sc.keyed_hash(salt, key)} AS _digest").selectExpr(
+        "*", f"{sc.hash_slice('_digest', 1, 4)} AS _b1", f"{sc.hash_slice('_digest', 5, 4)} AS _b2"
     )
-    wanted = quotas.select(F.col(group), F.col("quota").cast("bigint").alias("_quota"))
+    wanted = quotas.selectExpr(group, "CAST(quota AS bigint) AS _quota")
 
     first = _cutoff(
-        hashed.groupBy(group, "_b1")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .join(F.broadcast(wanted), on=group),
-        [group],
+        hashed.groupBy(group, "_b1").agg(count).join(F.broadcast(wanted), on=group),
+        group,
         "_b1",
-    ).select(group, F.col("_b1").alias("_cut1"), "_quota")
-
+        [group, "_b1 AS _cut1"],
+    )
     second = _cutoff(
         hashed.join(F.broadcast(first), on=group)
-        .where(F.col("_b1") == F.col("_cut1"))
+        .where("_b1 = _cut1")
         .groupBy(group, "_cut1", "_quota", "_b2")
-        .agg(F.count(F.lit(1)).alias("_c")),
-        [group],
+        .agg(count),
+        group,
         "_b2",
-    ).select(group, "_cut1", F.col("_b2").alias("_cut2"), "_quota")
+        [group, "_cut1", "_b2 AS _cut2"],
+    )
 
-    same1 = F.col("_b1") == F.col("_cut1")
-    below = (F.col("_b1") < F.col("_cut1")) | (same1 & (F.col("_b2") < F.col("_cut2")))
-    boundary = same1 & (F.col("_b2") == F.col("_cut2"))
     placed = hashed.join(F.broadcast(second), on=group, how="left")
-
-    decided = placed.where(~F.coalesce(boundary, F.lit(False))).select(
-        *columns, F.coalesce(below, F.lit(False)).alias("picked")
+    boundary = "_b1 = _cut1 AND _b2 = _cut2"
+    below = "_b1 < _cut1 OR (_b1 = _cut1 AND _b2 < _cut2)"
+    decided = placed.where(f"NOT coalesce({boundary}, false)").selectExpr(
+        *columns, f"coalesce({below}, false) AS picked"
     )
 
-    order = Window.partitionBy(group).orderBy("_digest", *columns)
-    upto = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    taken = F.greatest(F.least(F.col("_c"), F.col("_quota") - F.col("_before")), F.lit(0))
+    order = f"PARTITION BY {group} ORDER BY _digest, {', '.join(columns)}"
+    taken = "greatest(least(_c, _quota - _before), 0)"
     ranked = (
         placed.where(boundary)
         .groupBy(*columns, "_digest", "_quota")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_before", upto - F.col("_c"))
-        .select(
+        .agg(count)
+        .selectExpr(
+            "*", f"sum(_c) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - _c AS _before"
+        )
+        .selectExpr(
             *columns,
-            F.inline(
-                F.array(
-                    F.struct(F.lit(True).alias("picked"), taken.alias("_copies")),
-                    F.struct(F.lit(False).alias("picked"), (F.col("_c") - taken).alias("_copies")),
-                )
+            rows_of(
+                {"picked": "true", "_copies": taken},
+                {"picked": "false", "_copies": f"_c - {taken}"},
             ),
         )
-        .where(F.col("_copies") > 0)
+        .where("_copies > 0")
     )
-    return decided.unionByName(_repeat(ranked, "_copies").drop("_copies"))
+    return decided.unionByName(_repeat(ranked, "_copies").select(*columns, "picked"))
 
 
 def take_exactly(df: DataFrame, quotas: DataFrame, group: str, key: str, salt: str) -> DataFrame:
@@ -169,26 +155,17 @@ def take_exactly(df: DataFrame, quotas: DataFrame, group: str, key: str, salt: s
 
 def _repeat(df: DataFrame, copies: str) -> DataFrame:
     """Each row ``copies`` times, in runs, so that a large count is not one large array."""
-    n = F.col(copies)
-    runs = F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / _COPY_RUN))
-    in_run = F.least(n - F.col("_run") * _COPY_RUN, F.lit(_COPY_RUN))
-    return (
-        df.withColumn("_run", F.explode(runs))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_run)))
-        .drop("_run", "_copy")
-    )
+    runs = f"explode(sequence(0L, ({copies} - 1) DIV {_COPY_RUN})) AS _run"
+    in_run = f"least({copies} - _run * {_COPY_RUN}, {_COPY_RUN}L)"
+    return df.selectExpr("*", runs).selectExpr("*", f"explode(sequence(1L, {in_run})) AS _copy")
 
 
 def undersample_exact(df: DataFrame, key: str, ratio: int = 2) -> DataFrame:
     """Every approval and exactly ``min(ratio * approvals, rejections)`` rejections."""
-    counts = _counts(df)
-    rejections = F.least(F.col("n_approved") * ratio, F.col("n_rejected"))
-    quotas = counts.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(0).alias("label"), rejections.alias("quota")),
-                F.struct(F.lit(1).alias("label"), F.col("n_approved").alias("quota")),
-            )
+    quotas = _class_counts(df).selectExpr(
+        rows_of(
+            {"label": "0", "quota": f"least(n_approved * {ratio}, n_rejected)"},
+            {"label": "1", "quota": "n_approved"},
         )
     )
     return take_exactly(df, quotas, "label", key, UNDERSAMPLE_SALT)
@@ -199,31 +176,33 @@ def train_quotas(df: DataFrame, test_share: float = 0.2) -> DataFrame:
 
     The test part has ``ceil(test_share * n)`` rows. Each class gets its proportional
     share of the rest rounded down, and the rows still missing go to the classes with
-    the largest fractions.
+    the largest fractions. The windows run over one row per class.
     """
-    classes = df.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy(F.lit(1))  # one row per class
-    shared = (
-        classes.withColumn("total", F.sum("n").over(everything))
-        .withColumn("train_total", F.col("total") - F.ceil(F.col("total") * test_share))
-        .withColumn("exact", F.col("n").cast("double") * F.col("train_total") / F.col("total"))
-        .withColumn("quota", F.floor("exact"))
-    )
-    by_fraction = Window.partitionBy(F.lit(1)).orderBy(F.desc(F.col("exact") - F.col("quota")), "label")
-    missing = F.col("train_total") - F.sum("quota").over(everything)
-    return shared.select(
-        "label", (F.col("quota") + (F.row_number().over(by_fraction) <= missing).cast("int")).alias("quota")
+    return (
+        df.groupBy("label")
+        .agg(F.expr("count(1) AS n"))
+        .selectExpr("label", "n", "sum(n) OVER (PARTITION BY 1) AS total")
+        .selectExpr("label", "n", "total", f"total - ceil(total * {test_share}D) AS train_total")
+        .selectExpr("label", "train_total", "CAST(n AS double) * train_total / total AS exact")
+        .selectExpr("label", "train_total", "exact", "floor(exact) AS base")
+        .selectExpr(
+            "label",
+            "base",
+            "train_total - sum(base) OVER (PARTITION BY 1) AS missing",
+            "row_number() OVER (PARTITION BY 1 ORDER BY exact - base DESC, label) AS place",
+        )
+        .selectExpr("label", "base + CASE WHEN place <= missing THEN 1 ELSE 0 END AS quota")
     )
 
 
 def split_stratified(df: DataFrame, key: str, test_share: float = 0.2) -> DataFrame:
     """Exact stratified split: the training rows of every class are an exact-size draw."""
     marked = mark_exactly(df, train_quotas(df, test_share), "label", key, STRATIFY_SALT)
-    return marked.withColumn("split", F.when(F.col("picked"), "train").otherwise("test")).drop("picked")
+    return marked.selectExpr(*df.columns, "CASE WHEN picked THEN 'train' ELSE 'test' END AS split")
 
 
 def sample_scan(df: DataFrame, key: str, n: int) -> DataFrame:
     """``n`` rows (all, if fewer) for a look at the data, independent of file order."""
-    one = df.withColumn("_all", F.lit(0))
-    quotas = one.groupBy("_all").agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("quota"))
+    one = df.selectExpr("*", "0 AS _all")
+    quotas = one.groupBy("_all").agg(F.expr(f"least(count(1), {n}) AS quota"))
     return take_exactly(one, quotas, "_all", key, SAMPLE_SALT).drop("_all")

@@ -6,60 +6,55 @@ third of all rows into one partial row per task, so no key makes a heavy reducer
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditmart.functions import exprs
 from creditmart.functions import numbers as num
+from creditmart.functions import scalars as sc
 from creditmart.operators import measures as m
 
-
-def _approved() -> Column:
-    return m.n_where(m.APPROVED).alias("approved_cnt")
-
-
-def _rejected() -> Column:
-    return m.n_where(m.REJECTED).alias("rejected_cnt")
-
-
-def _segment(detail: DataFrame, key: str, *measures: Column) -> DataFrame:
-    return detail.groupBy(key).agg(m.n_rows().alias("total_cnt"), _approved(), *measures)
+_TOTALS = (f"{m.N} AS total_cnt", f"{m.N_APPROVED} AS approved_cnt")
+_REJECTED = f"{m.N_REJECTED} AS rejected_cnt"
 
 
 def geo_stats(detail: DataFrame) -> DataFrame:
-    return _segment(
-        detail,
-        "addr_state",
-        _rejected(),
-        m.approval_rate(),
-        m.avg_of(*m.AVG_AMOUNT),
-        m.avg_of(*m.AVG_DTI),
-        m.avg_of(*m.AVG_EMPLOYMENT),
-        num.round_half_up(F.stddev_samp("loan_amnt"), 2).alias("std_loan_amnt"),
+    deviation = f"{num.round_half_up('stddev_samp(loan_amnt)', 2)} AS std_loan_amnt"
+    return detail.groupBy("addr_state").agg(
+        *exprs(
+            [*_TOTALS, _REJECTED, m.APPROVAL_RATE, m.AVG_AMOUNT, m.AVG_DTI, m.AVG_EMPLOYMENT, deviation]
+        )
     )
 
 
 def purpose_stats(detail: DataFrame) -> DataFrame:
-    return _segment(
-        detail,
-        "purpose",
-        _rejected(),
-        m.approval_rate(),
-        m.avg_of(*m.AVG_AMOUNT),
-        m.avg_of(*m.AVG_DTI),
-        m.avg_of(*m.AVG_EMPLOYMENT),
+    return detail.groupBy("purpose").agg(
+        *exprs([*_TOTALS, _REJECTED, m.APPROVAL_RATE, m.AVG_AMOUNT, m.AVG_DTI, m.AVG_EMPLOYMENT])
     )
 
 
 def zip_stats(detail: DataFrame) -> DataFrame:
-    return _segment(detail, "zip_code", m.approval_rate(), m.avg_of(*m.AVG_AMOUNT), m.avg_of(*m.AVG_DTI))
+    return detail.groupBy("zip_code").agg(*exprs([*_TOTALS, m.APPROVAL_RATE, m.AVG_AMOUNT, m.AVG_DTI]))
 
 
 def employment_stats(detail: DataFrame) -> DataFrame:
-    return _segment(detail, "emp_length", m.approval_rate(), m.avg_of(*m.AVG_AMOUNT), m.avg_of(*m.AVG_DTI))
+    return detail.groupBy("emp_length").agg(*exprs([*_TOTALS, m.APPROVAL_RATE, m.AVG_AMOUNT, m.AVG_DTI]))
+
+
+def kpi_metrics(detail: DataFrame) -> DataFrame:
+    """One row of headline figures. Distinct counts are exact and merge on the map side."""
+    distinct = ("count(DISTINCT addr_state) AS n_states", "count(DISTINCT zip_code) AS n_zips")
+    return detail.agg(
+        *exprs(
+            [*_TOTALS, _REJECTED, m.APPROVAL_RATE, m.AVG_AMOUNT, m.AVG_DTI, m.AVG_EMPLOYMENT, *distinct]
+        )
+    )
 
 
 # --- rejected-only summaries -------------------------------------------------------
 
+_REJ = f"{m.N} AS rej_cnt"
+
 
 def reject_by_time(rejected: DataFrame) -> DataFrame:
     """Counts and mean amount by year, quarter, month with subtotals and a grand total.
@@ -67,46 +62,25 @@ def reject_by_time(rejected: DataFrame) -> DataFrame:
     ``level`` is 0 for a month, 1 for a quarter, 3 for a year and 7 for the grand total.
     """
     return (
-        rejected.withColumn("quarter", F.ceil(F.col("month") / 3).cast("int"))
+        rejected.selectExpr("loan_amnt", "year", "CAST(ceil(month / 3) AS int) AS quarter", "month")
         .rollup("year", "quarter", "month")
-        .agg(
-            F.grouping_id().cast("int").alias("level"),
-            m.n_rows().alias("rej_cnt"),
-            m.avg_of(*m.AVG_AMOUNT),
-        )
+        .agg(*exprs(["CAST(grouping_id() AS int) AS level", _REJ, m.AVG_AMOUNT]))
     )
 
 
-def reject_by_risk(rejected: DataFrame, score_band: Column) -> DataFrame:
+def reject_by_risk(rejected: DataFrame) -> DataFrame:
     return (
-        rejected.where(F.col("risk_score").isNotNull())
-        .groupBy(score_band.alias("score_bucket"))
-        .agg(m.n_rows().alias("rej_cnt"), m.avg_of(*m.AVG_DTI), m.avg_of(*m.AVG_AMOUNT))
+        rejected.where("risk_score IS NOT NULL")
+        .groupBy(F.expr(f"{sc.score_band('risk_score')} AS score_bucket"))
+        .agg(*exprs([_REJ, m.AVG_DTI, m.AVG_AMOUNT]))
     )
 
 
-def reject_by_customer(rejected: DataFrame, employment_label: Column) -> DataFrame:
-    return rejected.groupBy(employment_label.alias("emp_length_label")).agg(
-        m.n_rows().alias("rej_cnt"), m.avg_of(*m.AVG_AMOUNT), m.avg_of(*m.AVG_DTI)
-    )
-
+def reject_by_customer(rejected: DataFrame) -> DataFrame:
+    label = F.expr(f"{sc.employment_label('emp_length')} AS emp_length_label")
+    return rejected.groupBy(label).agg(*exprs([_REJ, m.AVG_AMOUNT, m.AVG_DTI]))
 
-def reject_by_product(rejected: DataFrame, amount_band: Column) -> DataFrame:
-    return rejected.groupBy("purpose", amount_band.alias("amnt_bucket")).agg(
-        m.n_rows().alias("rej_cnt"), m.avg_of(*m.AVG_AMOUNT)
-    )
 
-
-def kpi_metrics(detail: DataFrame) -> DataFrame:
-    """One row of headline figures. Distinct counts are exact and merge on the map side."""
-    return detail.agg(
-        m.n_rows().alias("total_cnt"),
-        _approved(),
-        _rejected(),
-        m.approval_rate(),
-        m.avg_of(*m.AVG_AMOUNT),
-        m.avg_of(*m.AVG_DTI),
-        m.avg_of(*m.AVG_EMPLOYMENT),
-        F.count_distinct("addr_state").alias("n_states"),
-        F.count_distinct("zip_code").alias("n_zips"),
-    )
+def reject_by_product(rejected: DataFrame) -> DataFrame:
+    bucket = F.expr(f"{sc.amount_band('loan_amnt')} AS amnt_bucket")
+    return rejected.groupBy("purpose", bucket).agg(*exprs([_REJ, m.AVG_AMOUNT]))

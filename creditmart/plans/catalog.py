@@ -6,7 +6,6 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from creditmart import rules, schemas
 from creditmart.functions import scalars as sc
@@ -14,7 +13,7 @@ from creditmart.operators import clean, evaluate, features, marts, models, profi
 from creditmart.plans import training
 from creditmart.plans.warehouse import ReportInputs, lookup_marts, reporting_marts
 from creditmart.sources import publish
-from creditmart.sources.feeds import accepted_feed, rejected_feed, scored_applications
+from creditmart.sources.feeds import accepted_feed, rejected_feed, scored_applications, table
 from creditmart.sources.stage import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,11 +126,9 @@ for _name, _mart in reporting_marts().items():
     _on_reports(_name, _mart.build)
 _on_reports("geo_map_exact", lambda i: marts.geo_map_exact(i.rejected_any_date, i.accepted))
 _on_reports("reject_time_rollup", lambda i: summaries.reject_by_time(i.rejected))
-_on_reports("reject_risk", lambda i: summaries.reject_by_risk(i.rejected, sc.score_band("risk_score")))
-_on_reports(
-    "reject_customer", lambda i: summaries.reject_by_customer(i.rejected, sc.employment_label("emp_length"))
-)
-_on_reports("reject_product", lambda i: summaries.reject_by_product(i.rejected, sc.amount_band("loan_amnt")))
+_on_reports("reject_risk", lambda i: summaries.reject_by_risk(i.rejected))
+_on_reports("reject_customer", lambda i: summaries.reject_by_customer(i.rejected))
+_on_reports("reject_product", lambda i: summaries.reject_by_product(i.rejected))
 
 
 @query
@@ -143,16 +140,15 @@ def purpose_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def document_purpose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The purpose rules over whole free-text documents."""
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return documents.transform(clean.with_purpose("text")).select("doc_id", "purpose")
+    return table(spark, sf_dir, "documents").transform(clean.with_purpose("text")).select("doc_id", "purpose")
 
 
 @query
 def status_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return accepted_feed(spark, sf_dir).select(
+    return accepted_feed(spark, sf_dir).selectExpr(
         "app_id",
-        sc.simplify_status("loan_status").alias("status"),
-        sc.is_charged_off("loan_status").alias("is_charged_off"),
+        f"{sc.simplify_status('loan_status')} AS status",
+        f"{sc.is_charged_off('loan_status')} AS is_charged_off",
     )
 
 
@@ -280,7 +276,7 @@ def score_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows with the rates of the training rows, as new rows would be scored."""
     split = stage(sampling.split_hash(detail(spark, sf_dir), "app_id"), "split")
     train, test = split.where("split = 'train'"), split.where("split = 'test'").drop("split")
-    return features.attach_rates(test, train).select("app_id", *features.FEATURE_COLUMNS)
+    return features.attach_rates(test, train).select("app_id", *schemas.FEATURES.names)
 
 
 # --- sampling -------------------------------------------------------------------------------
@@ -296,6 +292,17 @@ def undersample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.undersample_exact(staged_detail(spark, sf_dir), "app_id")
 
 
+@query
+def undersample_hash_even(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with one rejection per approval."""
+    return sampling.undersample_hash(detail(spark, sf_dir), "app_id", ratio=1.0)
+
+
+@query
+def undersample_exact_even(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.undersample_exact(staged_detail(spark, sf_dir), "app_id", ratio=1)
+
+
 @query
 def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.split_hash(detail(spark, sf_dir), "app_id").select("app_id", "label", "split")
@@ -342,7 +349,7 @@ def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leak-safe feature rows: rates out of the training part only, all rows attached."""
     split = sampling.split_hash(staged_detail(spark, sf_dir), "app_id")
     rated = features.attach_rates(split, split.where("split = 'train'"))
-    return rated.select("app_id", *features.FEATURE_COLUMNS)
+    return rated.select("app_id", *schemas.FEATURES.names)
 
 
 @query

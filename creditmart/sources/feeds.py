@@ -6,12 +6,15 @@ CSV extract, and ``app_id`` identifies the application.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditmart import rules
+from creditmart.functions import array_of
 
 # --- fixed values: what the derived columns pick from, by position -----------------
 FEED_STATES: tuple[str | None, ...] = (*rules.VALID_STATES, "XX", "")
@@ -37,76 +40,83 @@ FEED_TITLES: tuple[str | None, ...] = (
 FEED_HOME: tuple[str, ...] = ("MORTGAGE", "RENT", "OWN", "ANY", "OTHER", "NONE")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+@cache
+def _schema_of(application_id: str, path: str) -> T.StructType:
+    return SparkSession.active().read.parquet(path).schema
 
 
-def _pick(values: Sequence[str | None], position: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(v) for v in values)), position.cast("int") + 1)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table. Its schema is looked up once per application, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema_of(spark.sparkContext.applicationId, path)).parquet(path)
+
+
+def _pick(values: Iterable[str | None], position: str) -> str:
+    return f"element_at({array_of(values)}, CAST({position} AS int) + 1)"
+
+
+_AMOUNT = "CAST(o_totalprice / 10 AS string)"
+_TITLE = _pick(FEED_TITLES, "o_orderkey % 16")
+_STATE = _pick(FEED_STATES, "c_custkey % 53")
+_EMPLOYMENT = _pick(FEED_EMPLOYMENT, "o_orderkey % 13")
+_ZIP = "concat(lpad(CAST(c_custkey % 1000 AS string), 3, '0'), 'xx')"
+_PRIORITY = "CAST(substring(o_orderpriority, 1, 1) AS int)"
+_GRADE = f"substring('ABCDE', {_PRIORITY}, 1)"
+
+_REJECTED = (
+    "o_orderkey AS app_id",
+    f"{_AMOUNT} AS loan_amnt_raw",
+    "date_format(o_orderdate, 'yyyy-MM-dd') AS application_date",
+    f"{_TITLE} AS loan_title",
+    "CASE WHEN o_orderkey % 5 <> 0 THEN CAST(500 + c_custkey % 350 AS string) END AS risk_score",
+    "CASE WHEN o_orderkey % 17 = 0 THEN 'n/a' ELSE concat(o_orderkey % 230 - 10, '%') END AS dti_raw",
+    f"{_ZIP} AS zip_code",
+    f"{_STATE} AS state",
+    f"{_EMPLOYMENT} AS employment_length",
+    "'0' AS policy_code",
+)
+_ACCEPTED = (
+    "o_orderkey AS app_id",
+    f"{_AMOUNT} AS loan_amnt",
+    "date_format(o_orderdate, 'MMM-yyyy') AS issue_d",
+    f"{_TITLE} AS purpose",
+    f"{_STATE} AS addr_state",
+    f"{_EMPLOYMENT} AS emp_length",
+    "CASE WHEN o_orderkey % 19 <> 0 THEN CAST(o_orderkey % 120 AS string) END AS dti",
+    f"{_ZIP} AS zip_code",
+    f"{_GRADE} AS grade",
+    f"concat({_GRADE}, 1 + o_orderkey % 5) AS sub_grade",
+    f"{_pick(rules.RAW_STATUSES, '(o_orderkey + c_custkey) % 6')} AS loan_status",
+    f"CAST(5 + 3 * {_PRIORITY} + o_orderkey % 4 AS string) AS int_rate",
+    "CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal * 25 AS string) END AS annual_inc",
+    f"{_pick(FEED_HOME, 'c_custkey % 6')} AS home_ownership",
+    "CAST(580 + c_custkey % 270 AS string) AS fico_range_low",
+    "CASE WHEN c_custkey % 5 < 2 THEN ' 60 months' ELSE ' 36 months' END AS term",
+)
 
 
-def _applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    # No hint: customer grows with the data. A hot customer is split at run time
-    # (adaptive skew join), since nothing downstream relies on this join's partitioning.
-    return orders.join(customer, orders.o_custkey == customer.c_custkey)
+def _applications(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """Orders of one kind with their customer.
+
+    No join hint: customer grows with the data. A hot customer is split at run time
+    (adaptive skew join), since nothing downstream relies on this join's partitioning.
+    """
+    orders = table(spark, sf_dir, "orders").where(status)
+    return orders.join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
 
 
 def rejected_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, customer = F.col("o_orderkey"), F.col("c_custkey")
-    return (
-        _applications(spark, sf_dir)
-        .where("o_orderstatus <> 'F'")
-        .select(
-            key.alias("app_id"),
-            (F.col("o_totalprice") / 10).cast("string").alias("loan_amnt_raw"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("application_date"),
-            _pick(FEED_TITLES, key % 16).alias("loan_title"),
-            F.when(key % 5 != 0, 500 + customer % 350).cast("string").alias("risk_score"),
-            F.when(key % 17 == 0, "n/a")
-            .otherwise(F.concat((key % 230 - 10).cast("string"), F.lit("%")))
-            .alias("dti_raw"),
-            F.concat(F.lpad((customer % 1000).cast("string"), 3, "0"), F.lit("xx")).alias("zip_code"),
-            _pick(FEED_STATES, customer % 53).alias("state"),
-            _pick(FEED_EMPLOYMENT, key % 13).alias("employment_length"),
-            F.lit("0").alias("policy_code"),
-        )
-    )
+    return _applications(spark, sf_dir, "o_orderstatus <> 'F'").selectExpr(*_REJECTED)
 
 
 def accepted_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, customer = F.col("o_orderkey"), F.col("c_custkey")
-    priority = F.substring("o_orderpriority", 1, 1).cast("int")
-    grade = F.substring(F.lit("ABCDE"), priority, F.lit(1))
-    return (
-        _applications(spark, sf_dir)
-        .where("o_orderstatus = 'F'")
-        .select(
-            key.alias("app_id"),
-            (F.col("o_totalprice") / 10).cast("string").alias("loan_amnt"),
-            F.date_format("o_orderdate", "MMM-yyyy").alias("issue_d"),
-            _pick(FEED_TITLES, key % 16).alias("purpose"),
-            _pick(FEED_STATES, customer % 53).alias("addr_state"),
-            _pick(FEED_EMPLOYMENT, key % 13).alias("emp_length"),
-            F.when(key % 19 != 0, key % 120).cast("string").alias("dti"),
-            F.concat(F.lpad((customer % 1000).cast("string"), 3, "0"), F.lit("xx")).alias("zip_code"),
-            grade.alias("grade"),
-            F.concat(grade, (1 + key % 5).cast("string")).alias("sub_grade"),
-            _pick(rules.RAW_STATUSES, (key + customer) % 6).alias("loan_status"),
-            (5 + 3 * priority + key % 4).cast("string").alias("int_rate"),
-            F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal") * 25).cast("string").alias("annual_inc"),
-            _pick(FEED_HOME, customer % 6).alias("home_ownership"),
-            (580 + customer % 270).cast("string").alias("fico_range_low"),
-            F.when(customer % 5 < 2, " 60 months").otherwise(" 36 months").alias("term"),
-        )
-    )
+    return _applications(spark, sf_dir, "o_orderstatus = 'F'").selectExpr(*_ACCEPTED)
 
 
 def scored_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applications with a deterministic score, to check evaluation against SQL."""
-    key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
-        key.alias("app_id"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("label"),
-        ((key * 37) % 100 / 100.0).alias("prob_1"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS app_id",
+        "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label",
+        "(o_orderkey * 37) % 100 / 100.0D AS prob_1",
     )

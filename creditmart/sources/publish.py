@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from creditmart import schemas
 
@@ -14,15 +13,15 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     """Declared columns, order and types. A missing column or an unsafe cast is an error,
     and so is text longer than declared (checked while the rows stream through)."""
     schema = schemas.PUBLISHED[name]
-    return df.select(*schema.names).to(schema).select(*(_within_length(name, c) for c in schema.names))
+    return df.select(*schema.names).to(schema).selectExpr(*(_within_length(name, c) for c in schema.names))
 
 
-def _within_length(table: str, column: str) -> Column:
+def _within_length(table: str, column: str) -> str:
     limit = schemas.TEXT_LENGTHS.get(column)
     if limit is None:
-        return F.col(column)
-    complaint = F.raise_error(F.lit(f"{table}.{column} is longer than {limit}")).cast("string")
-    return F.when(F.length(column) > limit, complaint).otherwise(F.col(column)).alias(column)
+        return column
+    complaint = f"CAST(raise_error('{table}.{column} is longer than {limit}') AS string)"
+    return f"CASE WHEN length({column}) > {limit} THEN {complaint} ELSE {column} END AS {column}"
 
 
 def publish_parquet(df: DataFrame, name: str, folder: str, order_by: Sequence = ()) -> str:

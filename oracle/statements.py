@@ -397,6 +397,16 @@ def _features_and_samples() -> dict[str, str]:
         for key, name in (("addr_state", "state"), ("purpose", "purpose"), ("zip_code", "zip"))
     }
     size = "SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1 FROM dwd"
+
+    def drawn(ratio: int) -> str:
+        return with_ctes("dwd", extra={"size": size}) + f"""SELECT dwd.* FROM dwd, size WHERE label = 1
+          OR {_hash('under-42')} / 4294967296.0::DOUBLE < least(1.0::DOUBLE, n1 * {ratio}.0::DOUBLE / n0)"""
+
+    def exactly(ratio: int) -> str:
+        return with_ctes("dwd", extra={"size": size}) + f"""SELECT * EXCLUDE (pos, n0, n1) FROM (
+          SELECT dwd.*, size.*, row_number() OVER (PARTITION BY label ORDER BY md5('under-42:' || app_id)) AS pos
+          FROM dwd, size) WHERE label = 1 OR pos <= least({ratio} * n1, n0)"""
+
     quota = """SELECT label, n, n::DOUBLE * train_total / total AS exact, train_total,
         floor(n::DOUBLE * train_total / total) AS base FROM (
         SELECT label, count(*) AS n, sum(count(*)) OVER () AS total,
@@ -411,13 +421,10 @@ def _features_and_samples() -> dict[str, str]:
         + f"""SELECT app_id, label, fold, {out_of_fold('addr_state', 'state')},
           {out_of_fold('purpose', 'purpose')}, {out_of_fold('zip_code', 'zip')} FROM folded d""",
         "split_hash": with_ctes("dwd", extra={"split_rows": split}) + "SELECT app_id, label, split FROM split_rows",
-        "undersample_hash": with_ctes("dwd", extra={"size": size})
-        + f"""SELECT dwd.* FROM dwd, size WHERE label = 1
-          OR {_hash('under-42')} / 4294967296.0::DOUBLE < least(1.0::DOUBLE, n1 * 2.0::DOUBLE / n0)""",
-        "undersample_exact": with_ctes("dwd", extra={"size": size})
-        + """SELECT * EXCLUDE (pos, n0, n1) FROM (
-          SELECT dwd.*, size.*, row_number() OVER (PARTITION BY label ORDER BY md5('under-42:' || app_id)) AS pos
-          FROM dwd, size) WHERE label = 1 OR pos <= least(2 * n1, n0)""",
+        "undersample_hash": drawn(2),
+        "undersample_hash_even": drawn(1),
+        "undersample_exact": exactly(2),
+        "undersample_exact_even": exactly(1),
         "split_stratified": with_ctes("dwd", extra={"quota": quota, "quotas": quotas})
         + """SELECT app_id, label, CASE WHEN pos <= take THEN 'train' ELSE 'test' END AS split FROM (
           SELECT app_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('strata-42:' || app_id)) AS pos
