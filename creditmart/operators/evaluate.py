@@ -114,10 +114,13 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float] = rules.REPOR
     return _with_figures(swept).selectExpr("threshold", "tp", "fp", "fn", *(_rounded(f, f) for f in _FIGURES))
 
 
-# Bins per level when ranking scores; two levels resolve a probability to 2**-32.
-_SCORE_BINS = 65536
+# Scores are ranked in 2**16 bins, each cut into 2**16 cells: resolution 2**-32.
+_BIN_BITS = 16
+_CELLS = 2 ** (2 * _BIN_BITS)
+# Never NULL by form, so that no join adds a filter to one reader of the score counts only
+# and all of them share one shuffle.
 _SCORE_CELL = (
-    f"CAST(least(floor(greatest(least(prob_1, 1.0D), 0.0D) * {_SCORE_BINS**2}D), {_SCORE_BINS**2 - 1}) AS bigint)"
+    f"coalesce(CAST(least(floor(greatest(least(prob_1, 1.0D), 0.0D) * {_CELLS}.0D), {_CELLS - 1}) AS bigint), 0L)"
 )
 
 
@@ -130,9 +133,10 @@ def score_counts_below(scored: DataFrame) -> DataFrame:
     score outside [0, 1] costs balance, not correctness.
     """
     scores = (
-        scored.groupBy("prob_1")
+        scored.where("prob_1 IS NOT NULL")
+        .groupBy("prob_1")
         .agg(*exprs(["count_if(label = 1) AS pos", "count_if(label = 0) AS neg"]))
-        .selectExpr("*", f"{_SCORE_CELL} AS _cell", f"{_SCORE_CELL} DIV {_SCORE_BINS} AS _bin")
+        .selectExpr("*", f"{_SCORE_CELL} AS _cell", f"shiftright({_SCORE_CELL}, {_BIN_BITS}) AS _bin")
     )
     totals = exprs(["sum(pos) AS pos", "sum(neg) AS neg"])
     by_cell = scores.groupBy("_bin", "_cell").agg(*totals)

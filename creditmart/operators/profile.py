@@ -149,19 +149,32 @@ def accepted_conformance(raw: DataFrame) -> DataFrame:
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
-    """Top values per column with their share of all rows and the column's distinct count.
+    """Top values per column with their share of all rows, the column's distinct count and
+    the number of rows with a value.
 
-    Blank values are left out of the counts but stay in the share's divisor.
+    Blank values are not ranked but count as rows. Everything follows from one count per
+    (field, value): the per-field totals use the same figures, so Spark reuses the shuffle
+    and the table is read once.
     """
     fields = df.selectExpr(field_rows({c: f"CAST({c} AS string)" for c in columns}))
-    counts = fields.where(f"NOT {sc.is_blank('value')}").groupBy("field", "value").agg(F.expr(_COUNT))
-    distinct = counts.groupBy("field").agg(F.expr("count(1) AS n_distinct"))  # one row per column
+    # Whether a value is given is an output of the count: a filter on the key itself would
+    # be pushed below it and make the two readers of the count differ.
+    given = f"bool_and(NOT {sc.is_blank('value')}) AS is_given"
+    counts = fields.groupBy("field", "value").agg(*exprs([_COUNT, given]))
+    totals = counts.groupBy("field").agg(
+        *exprs(
+            [
+                "count_if(is_given) AS n_distinct",
+                "coalesce(sum(cnt) FILTER (WHERE is_given), 0) AS n_given",
+                "sum(cnt) AS _n",
+            ]
+        )
+    )
     return (
-        _ranked(counts, k)
-        .join(F.broadcast(distinct), on="field")
-        .withColumn("_total", df.agg(F.expr(m.N)).scalar())
+        _ranked(counts.where("is_given"), k)
+        .join(F.broadcast(totals), on="field")  # one row per column
         .selectExpr(
-            "field", "value", "cnt", "rank", "n_distinct", f"{num.percent('cnt', '_total', 1)} AS pct_of_rows"
+            "field", "value", "cnt", "rank", "n_distinct", "n_given", f"{num.percent('cnt', '_n', 1)} AS pct_of_rows"
         )
     )
 

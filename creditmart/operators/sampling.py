@@ -88,9 +88,9 @@ def mark_exactly(df: DataFrame, quotas: DataFrame, group: str, key: str, salt: s
     ``quotas`` has one row ``(group, quota)`` per class, with ``quota`` at most the size
     of the group; no row in a group without quota is picked.
 
-    Two 65,536-way histograms of the hash find where each quota is reached. Rows below or
+    Two 4,096-way histograms of the hash find where each quota is reached. Rows below or
     above that point are decided as they stream by; only the rows that share the same
-    first 32 hash bits with it are ranked. Identical rows are counted, not listed, so a
+    first 24 hash bits with it are ranked. Identical rows are counted, not listed, so a
     pile of copies at the boundary cannot overload the ranking, and since the order is by
     content a recomputed task decides the same way.
 
@@ -100,7 +100,7 @@ def mark_exactly(df: DataFrame, quotas: DataFrame, group: str, key: str, salt: s
     columns = df.columns
     count = F.expr("count(1) AS _c")
     hashed = df.selectExpr("*", f"{sc.keyed_hash(salt, key)} AS _digest").selectExpr(
-        "*", f"{sc.hash_slice('_digest', 1, 4)} AS _b1", f"{sc.hash_slice('_digest', 5, 4)} AS _b2"
+        "*", f"{sc.hash_slice('_digest', 1, 3)} AS _b1", f"{sc.hash_slice('_digest', 4, 3)} AS _b2"
     )
     wanted = quotas.selectExpr(group, "CAST(quota AS bigint) AS _quota")
 

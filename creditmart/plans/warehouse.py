@@ -9,8 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from creditmart.operators import clean, features, marts, summaries
 from creditmart.sources import files, publish
@@ -34,38 +33,44 @@ class ReportInputs:
         if staged:
             rejected_any = stage(rejected_any, "report-rejected")
             accepted = stage(accepted, "report-accepted")
-        rejected = rejected_any.where(F.col("year").isNotNull())
+        rejected = rejected_any.where("year IS NOT NULL")
         return cls(rejected, rejected_any, accepted, clean.report_combined(rejected, accepted))
 
 
 @dataclass(frozen=True)
 class Mart:
     build: Callable[[ReportInputs], DataFrame]
-    order_by: tuple[str | Column, ...]
+    # Column -> ascending, in sorting order.
+    order_by: dict[str, bool]
 
 
-def _by_count(key: str) -> tuple[str | Column, ...]:
-    return (F.desc("total_cnt"), key)
+def _by_count(key: str) -> dict[str, bool]:
+    """Most rows first, the key breaking ties."""
+    return {"total_cnt": False, key: True}
+
+
+def _by(*keys: str) -> dict[str, bool]:
+    return dict.fromkeys(keys, True)
 
 
 def reporting_marts() -> dict[str, Mart]:
-    """The marts with the order their rows are written in (key as the tie-breaker)."""
+    """The marts with the order their rows are written in."""
     return {
-        "trend_monthly": Mart(lambda i: marts.trend_monthly(i.rejected, i.accepted), ("year", "month")),
+        "trend_monthly": Mart(lambda i: marts.trend_monthly(i.rejected, i.accepted), _by("year", "month")),
         "approval_by_purpose": Mart(lambda i: marts.approval_by_purpose(i.combined), _by_count("purpose")),
         "approval_by_emp": Mart(lambda i: marts.approval_by_emp(i.combined), _by_count("emp_length_label")),
         "approval_by_dti": Mart(lambda i: marts.approval_by_dti(i.combined), _by_count("dti_bucket")),
         "approval_by_amnt": Mart(lambda i: marts.approval_by_amnt(i.combined), _by_count("amnt_bucket")),
-        "risk_grade_status": Mart(lambda i: marts.risk_grade_status(i.accepted), ("grade", "loan_status")),
-        "risk_grade_summary": Mart(lambda i: marts.risk_grade_summary(i.accepted), ("grade",)),
-        "borrower_income": Mart(lambda i: marts.borrower_income(i.accepted), ("income_bucket",)),
+        "risk_grade_status": Mart(lambda i: marts.risk_grade_status(i.accepted), _by("grade", "loan_status")),
+        "risk_grade_summary": Mart(lambda i: marts.risk_grade_summary(i.accepted), _by("grade")),
+        "borrower_income": Mart(lambda i: marts.borrower_income(i.accepted), _by("income_bucket")),
         "borrower_home": Mart(lambda i: marts.borrower_home(i.accepted), _by_count("home_ownership")),
-        "borrower_fico": Mart(lambda i: marts.borrower_fico(i.rejected, i.accepted), ("score_bucket",)),
-        "purpose_term_detail": Mart(lambda i: marts.purpose_term_detail(i.accepted), ("purpose", "term")),
-        "int_rate_trend": Mart(lambda i: marts.int_rate_trend(i.accepted), ("year", "grade")),
+        "borrower_fico": Mart(lambda i: marts.borrower_fico(i.rejected, i.accepted), _by("score_bucket")),
+        "purpose_term_detail": Mart(lambda i: marts.purpose_term_detail(i.accepted), _by("purpose", "term")),
+        "int_rate_trend": Mart(lambda i: marts.int_rate_trend(i.accepted), _by("year", "grade")),
         "geo_map": Mart(lambda i: marts.geo_map(i.rejected_any_date, i.accepted), _by_count("state_code")),
-        "heatmap_purpose_grade": Mart(lambda i: marts.heatmap_purpose_grade(i.accepted), ("purpose", "grade")),
-        "year_risk_trend": Mart(lambda i: marts.year_risk_trend(i.accepted), ("year",)),
+        "heatmap_purpose_grade": Mart(lambda i: marts.heatmap_purpose_grade(i.accepted), _by("purpose", "grade")),
+        "year_risk_trend": Mart(lambda i: marts.year_risk_trend(i.accepted), _by("year")),
     }
 
 
@@ -92,12 +97,15 @@ def build_detail(raw_rejected: DataFrame, raw_accepted: DataFrame, folder: str)
 
 def build_summaries(detail: DataFrame, folder: str) -> dict[str, int]:
     tables = {
-        "geo_stats": summaries.geo_stats(detail).orderBy(*_by_count("addr_state")),
-        "purpose_stats": summaries.purpose_stats(detail).orderBy(*_by_count("purpose")),
-        "zip_stats": summaries.zip_stats(detail).orderBy(*_by_count("zip_code")),
-        "emp_stats": summaries.employment_stats(detail).orderBy("emp_length"),
+        "geo_stats": (summaries.geo_stats, _by_count("addr_state")),
+        "purpose_stats": (summaries.purpose_stats, _by_count("purpose")),
+        "zip_stats": (summaries.zip_stats, _by_count("zip_code")),
+        "emp_stats": (summaries.employment_stats, _by("emp_length")),
+    }
+    return {
+        name: files.write_layer(files.sorted_by(summarise(detail), order), f"{folder}/{name}")
+        for name, (summarise, order) in tables.items()
     }
-    return {name: files.write_layer(df, f"{folder}/{name}") for name, df in tables.items()}
 
 
 def build_features(detail: DataFrame, folder: str) -> int:

@@ -76,6 +76,11 @@ def jdbc_scan(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 # --- writing --------------------------------------------------------------------------
 
 
+def sorted_by(df: DataFrame, order_by: dict[str, bool]) -> DataFrame:
+    """Sort by column -> ascending. Only sinks sort: elsewhere it is a shuffle for nothing."""
+    return df.orderBy(*order_by, ascending=list(order_by.values())) if order_by else df
+
+
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Overwrite a Parquet layer table and return its row count.
 

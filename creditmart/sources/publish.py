@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 
 from creditmart import schemas
+from creditmart.sources import files
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -24,11 +23,10 @@ def _within_length(table: str, column: str) -> str:
     return f"CASE WHEN length({column}) > {limit} THEN {complaint} ELSE {column} END AS {column}"
 
 
-def publish_parquet(df: DataFrame, name: str, folder: str, order_by: Sequence = ()) -> str:
+def publish_parquet(df: DataFrame, name: str, folder: str, order_by: dict[str, bool] | None = None) -> str:
     """Overwrite ``folder/name``: publishing twice does not double the rows."""
     path = f"{folder.rstrip('/')}/{name}"
-    conformed = conform(df, name)
-    (conformed.orderBy(*order_by) if order_by else conformed).write.mode("overwrite").parquet(path)
+    files.sorted_by(conform(df, name), order_by or {}).write.mode("overwrite").parquet(path)
     return path
 
 

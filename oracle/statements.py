@@ -298,9 +298,10 @@ def _profiles() -> dict[str, str]:
           row_number() OVER (PARTITION BY field ORDER BY count(*) DESC, value ASC NULLS FIRST) AS rank
           FROM bad GROUP BY field, value) WHERE rank <= 20""",
         "categorical_profile": with_ctes("acc", extra={"cats": category_rows})
-        + f"""SELECT field, value, cnt, CAST(rank AS INTEGER) AS rank, n_distinct,
+        + f"""SELECT field, value, cnt, CAST(rank AS INTEGER) AS rank, n_distinct, n_given,
           {rnd('cnt * 100.0::DOUBLE / (SELECT count(*) FROM acc)', 1)} AS pct_of_rows FROM (
           SELECT field, value, {N} AS cnt, CAST(count(*) OVER (PARTITION BY field) AS BIGINT) AS n_distinct,
+          CAST(sum(count(*)) OVER (PARTITION BY field) AS BIGINT) AS n_given,
           row_number() OVER (PARTITION BY field ORDER BY count(*) DESC, value) AS rank
           FROM cats WHERE value IS NOT NULL AND value <> '' GROUP BY field, value) WHERE rank <= 10""",
         "crosstab_grade_status": acc
