@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -72,9 +72,15 @@ def one_hot_features(features: FeatureSet) -> Pipeline:
 
 
 def ordinal_features(features: FeatureSet) -> Pipeline:
-    """Categories as alphabetical codes instead of one-hot slots."""
+    """Categories as plain numbers, their alphabetical position, instead of one-hot slots.
+
+    The codes are recomputed as expressions, which drops the nominal tag of the indexed
+    columns: trees then split them as numbers and need no bin per category.
+    """
     check_no_leakage(features.columns)
     index = [f"{c}_idx" for c in features.categorical]
+    codes = [f"{c}_code" for c in features.categorical]
+    plain = ", ".join(f"{i} + 0.0D AS {c}" for i, c in zip(index, codes, strict=True))
     return Pipeline(
         stages=[
             StringIndexer(
@@ -83,8 +89,9 @@ def ordinal_features(features: FeatureSet) -> Pipeline:
                 handleInvalid="keep",
                 stringOrderType="alphabetAsc",
             ),
+            SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"),
             VectorAssembler(
-                inputCols=[*features.numeric, *index], outputCol="features", handleInvalid="keep"
+                inputCols=[*features.numeric, *codes], outputCol="features", handleInvalid="keep"
             ),
         ]
     )

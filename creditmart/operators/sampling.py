@@ -203,6 +203,8 @@ def split_stratified(df: DataFrame, key: str, test_share: float = 0.2) -> DataFr
 
 def sample_scan(df: DataFrame, key: str, n: int) -> DataFrame:
     """``n`` rows (all, if fewer) for a look at the data, independent of file order."""
-    one = df.selectExpr("*", "0 AS _all")
+    # One group for all rows. It is 0 for every key but no literal, which Catalyst would fold
+    # out of the joins with the quota, leaving nested loops instead of hash joins.
+    one = df.selectExpr("*", f"coalesce(length(substring(CAST({key} AS string), 1, 0)), 0) AS _all")
     quotas = one.groupBy("_all").agg(F.expr(f"least(count(1), {n}) AS quota"))
     return take_exactly(one, quotas, "_all", key, SAMPLE_SALT).drop("_all")
