@@ -124,12 +124,28 @@ def score_band(value: str) -> str:
 # --- dates ------------------------------------------------------------------------
 
 
+# The formatter behind try_to_date costs several times a plain parse. Text of exactly the
+# usual shape, where both agree, takes the plain one; anything else goes to the formatter.
+
+_MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
 def application_day(text: str) -> str:
-    return f"try_to_date({text}, 'yyyy-MM-dd')"
+    """``yyyy-MM-dd`` text to a date, NULL when unreadable."""
+    return (
+        f"CASE WHEN {conforms(text, '^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}$')} THEN try_cast({text} AS date) "
+        f"ELSE try_to_date({text}, 'yyyy-MM-dd') END"
+    )
 
 
 def issue_month(text: str) -> str:
-    return f"try_to_date({text}, 'MMM-yyyy')"
+    """``MMM-yyyy`` text to the first day of the month, NULL when unreadable."""
+    month = f"(instr({quote(''.join(_MONTHS))}, substring({text}, 1, 3)) + 2) DIV 3"
+    usual = conforms(text, f"^({'|'.join(_MONTHS)})-[1-9][0-9]{{3}}$")
+    return (
+        f"CASE WHEN {usual} THEN make_date(CAST(substring({text}, 5, 4) AS int), CAST({month} AS int), 1) "
+        f"ELSE try_to_date({text}, 'MMM-yyyy') END"
+    )
 
 
 def year_month(day: str) -> str:

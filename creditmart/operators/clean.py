@@ -30,28 +30,41 @@ def with_purpose(source: str, target: str = "purpose") -> Callable[[DataFrame],
     return apply
 
 
+# Each cleaning is three steps: type the columns, keep the valid rows, derive the rest.
+# Catalyst pushes the row test below the typing, and keeps the purpose key, which the
+# derivation reads many times, as a computed column.
+
 # --- warehouse detail ------------------------------------------------------------
 
 
 def _detail(typed: DataFrame, label: int, carry: Sequence[str]) -> DataFrame:
     low, high = rules.DETAIL_DTI_RANGE
-    return (
-        typed.where(f"loan_amnt IS NOT NULL AND {sc.in_range('dti', low, high, keep_null=True)}")
-        .transform(with_purpose("title"))
-        .selectExpr(
-            *carry, "loan_amnt", "purpose", "addr_state", "emp_length", "dti", "zip_code", f"{label} AS label"
-        )
+    valid = (
+        sc.valid_state("addr_state"),
+        sc.valid_employment("_employment"),
+        "loan_amnt IS NOT NULL",
+        sc.in_range("dti", low, high, keep_null=True),
+    )
+    return typed.where(" AND ".join(valid)).selectExpr(
+        *carry,
+        "loan_amnt",
+        f"{sc.purpose_of_key('_purpose_key')} AS purpose",
+        "addr_state",
+        f"{sc.employment_years('_employment')} AS emp_length",
+        "dti",
+        "zip_code",
+        f"{label} AS label",
     )
 
 
 def clean_rejected(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Rejected applications: known state and employment, DTI missing or 0..200."""
-    typed = raw.where(f"{sc.valid_state('state')} AND {sc.valid_employment('employment_length')}").selectExpr(
+    typed = raw.selectExpr(
         *carry,
         f"{num.to_number('loan_amnt_raw')} AS loan_amnt",
-        "loan_title AS title",
+        f"{sc.purpose_key('loan_title')} AS _purpose_key",
         "state AS addr_state",
-        f"{sc.employment_years('employment_length')} AS emp_length",
+        "employment_length AS _employment",
         f"{num.parse_percent('dti_raw')} AS dti",
         f"{sc.zip_prefix('zip_code')} AS zip_code",
     )
@@ -60,12 +73,12 @@ def clean_rejected(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 
 def clean_accepted(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Accepted applications under the same rules; DTI carries no percent sign here."""
-    typed = raw.where(f"{sc.valid_state('addr_state')} AND {sc.valid_employment('emp_length')}").selectExpr(
+    typed = raw.selectExpr(
         *carry,
         f"{num.to_number('loan_amnt')} AS loan_amnt",
-        "purpose AS title",
+        f"{sc.purpose_key('purpose')} AS _purpose_key",
         "addr_state",
-        f"{sc.employment_years('emp_length')} AS emp_length",
+        "emp_length AS _employment",
         f"{num.to_number('dti')} AS dti",
         f"{sc.zip_prefix('zip_code')} AS zip_code",
     )
@@ -79,6 +92,12 @@ def combine(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
 
 # --- reporting detail --------------------------------------------------------------
 
+_LOW, _HIGH = rules.REPORT_DTI_RANGE
+_REPORTABLE = (
+    f"{sc.valid_state('addr_state')} AND loan_amnt IS NOT NULL "
+    f"AND {sc.in_range('dti', _LOW, _HIGH, keep_null=False)}"
+)
+_DATED = f"{_REPORTABLE} AND day IS NOT NULL"
 _CALENDAR = ("year(day) AS year", "month(day) AS month", f"{sc.year_month('day')} AS year_month")
 
 
@@ -88,56 +107,53 @@ def report_rejected(raw: DataFrame, require_date: bool = True) -> DataFrame:
     Employment is not filtered: an unknown label is NULL years. The state map counts
     applications without a readable date too, hence ``require_date``.
     """
-    low, high = rules.REPORT_DTI_RANGE
-    keep = f"loan_amnt IS NOT NULL AND {sc.in_range('dti', low, high, keep_null=False)}"
-    return (
-        raw.where(sc.valid_state("state"))
-        .selectExpr(
-            f"{num.to_number('loan_amnt_raw')} AS loan_amnt",
-            "loan_title",
-            "state AS addr_state",
-            f"{sc.employment_years('employment_length')} AS emp_length",
-            f"{num.parse_percent('dti_raw')} AS dti",
-            f"{sc.application_day('application_date')} AS day",
-            f"{num.to_number('risk_score')} AS risk_score",
-        )
-        .where(f"{keep} AND day IS NOT NULL" if require_date else keep)
-        .transform(with_purpose("loan_title"))
-        .selectExpr(
-            "loan_amnt", "purpose", "addr_state", "emp_length", "dti", *_CALENDAR, "risk_score", "0 AS label"
-        )
+    typed = raw.selectExpr(
+        f"{num.to_number('loan_amnt_raw')} AS loan_amnt",
+        f"{sc.purpose_key('loan_title')} AS _purpose_key",
+        "state AS addr_state",
+        f"{sc.employment_years('employment_length')} AS emp_length",
+        f"{num.parse_percent('dti_raw')} AS dti",
+        f"{sc.application_day('application_date')} AS day",
+        f"{num.to_number('risk_score')} AS risk_score",
+    )
+    return typed.where(_DATED if require_date else _REPORTABLE).selectExpr(
+        "loan_amnt",
+        f"{sc.purpose_of_key('_purpose_key')} AS purpose",
+        "addr_state",
+        "emp_length",
+        "dti",
+        *_CALENDAR,
+        "risk_score",
+        "0 AS label",
     )
 
 
 def report_accepted(raw: DataFrame, normalize: bool = False) -> DataFrame:
     """Accepted loans for the marts; ``purpose`` stays as given unless asked otherwise."""
-    low, high = rules.REPORT_DTI_RANGE
-    kept = (
-        raw.where(sc.valid_state("addr_state"))
-        .selectExpr(
-            f"{num.to_number('loan_amnt')} AS loan_amnt",
-            "purpose",
-            "addr_state",
-            f"{sc.employment_years('emp_length')} AS emp_length",
-            f"{num.to_number('dti')} AS dti",
-            f"{sc.issue_month('issue_d')} AS day",
-            "grade",
-            "sub_grade",
-            f"{sc.simplify_status('loan_status')} AS loan_status",
-            f"{sc.is_charged_off('loan_status')} AS is_charged_off",
-            f"{num.to_number('int_rate')} AS int_rate",
-            f"{num.to_number('annual_inc')} AS annual_inc",
-            "home_ownership",
-            f"{num.to_number('fico_range_low')} AS fico_range_low",
-            "term",
-        )
-        .where(
-            f"loan_amnt IS NOT NULL AND day IS NOT NULL AND {sc.in_range('dti', low, high, keep_null=False)}"
-        )
+    typed = raw.selectExpr(
+        f"{num.to_number('loan_amnt')} AS loan_amnt",
+        f"{sc.purpose_key('purpose') if normalize else 'purpose'} AS _purpose",
+        "addr_state",
+        f"{sc.employment_years('emp_length')} AS emp_length",
+        f"{num.to_number('dti')} AS dti",
+        f"{sc.issue_month('issue_d')} AS day",
+        "grade",
+        "sub_grade",
+        f"{sc.simplify_status('loan_status')} AS loan_status",
+        f"{sc.is_charged_off('loan_status')} AS is_charged_off",
+        f"{num.to_number('int_rate')} AS int_rate",
+        f"{num.to_number('annual_inc')} AS annual_inc",
+        "home_ownership",
+        f"{num.to_number('fico_range_low')} AS fico_range_low",
+        "term",
+    )
+    derived = [c for c in typed.columns if c not in ("_purpose", "day")]
+    return typed.where(_DATED).selectExpr(
+        *derived,
+        f"{sc.purpose_of_key('_purpose') if normalize else '_purpose'} AS purpose",
+        *_CALENDAR,
+        "1 AS label",
     )
-    if normalize:
-        kept = kept.transform(with_purpose("purpose"))
-    return kept.selectExpr(*(c for c in kept.columns if c != "day"), *_CALENDAR, "1 AS label")
 
 
 def report_combined(rejected: DataFrame, accepted: DataFrame) -> DataFrame:

@@ -4,18 +4,17 @@ Spark's exact ``percentile`` keeps every distinct value of a group in one buffer
 ``percentile_approx`` tight enough to be exact ships a sketch per task that grows with
 its accuracy. Here the wanted ranks are located by refinement instead:
 
-1. the value range of each group is cut into ``FANOUT`` equal bins and counted;
-2. the bins that hold a wanted rank are cut again and counted;
-3. in the bins that still hold one, the distinct values are counted and ranked.
-
-Each pass is a scan whose shuffle is a histogram of at most ``FANOUT`` rows per group and
-bin, pre-aggregated on the map side, so neither a group nor a single value with a third
-of all rows makes a heavy task. The last pass ranks the distinct values inside one
-``FANOUT**-2`` slice of the range.
-
-Groups are labels or column names, a few by construction: the per-group helper rows
-(one per group) are what gets broadcast. The input is read four times, so stage it first
-when it is costly (``sources.stage``).
+1. values are counted in logarithmic bins, about 1.6 % wide, with each bin's range;
+2. the bins that hold a wanted rank are cut into ``FANOUT`` equal cells and counted;
+3. in the cells that still hold one, the distinct values are counted and ranked.
+
+Each pass is a scan whose shuffle is a histogram, pre-aggregated on the map side, so
+neither a group nor a single value with a third of all rows makes a heavy task, and far
+outliers only add bins. The last pass ranks the distinct values of one narrow cell.
+
+Groups are labels or column names, a few by construction. What is broadcast is the value
+ranges still in play: at most two per group and quantile. The input is read three times,
+so stage it first when it is costly (``sources.stage``).
 """
 
 from __future__ import annotations
@@ -28,13 +27,18 @@ from pyspark.sql import functions as F
 from creditmart.functions import exprs
 
 FANOUT = 4096
-_CELLS = FANOUT * FANOUT
-# Bins are computed on the value clamped to this, which keeps infinities in the end bins.
-_CLAMPED = "greatest(least(_v, 1e300D), -1e300D)"
-# Bin of a value among the FANOUT**2 equal slices of its group's range.
+
+
+def _clamped(value: str) -> str:
+    """Bins are computed on this, which keeps infinities and NaN in the end bins."""
+    return f"greatest(least({value}, 1e300D), -1e300D)"
+
+
+_BIN = f"CAST(floor(64 * sign({_clamped('_v')}) * ln(1 + 1e6D * abs({_clamped('_v')}))) AS int)"
+_WIDTH = f"({_clamped('_high')} - {_clamped('_low')})"
 _CELL = (
-    f"CAST(CASE WHEN _high > _low THEN least(floor(({_CLAMPED} - _low) / (_high - _low) * {_CELLS}), {_CELLS - 1}) "
-    "ELSE 0 END AS bigint)"
+    f"CASE WHEN {_WIDTH} > 0 THEN CAST(least(floor(({_clamped('_v')} - {_clamped('_low')}) / {_WIDTH} * {FANOUT}), "
+    f"{FANOUT - 1}) AS int) ELSE 0 END"
 )
 
 
@@ -52,26 +56,24 @@ def _wanted_ranks(probabilities: Sequence[float], interpolate: bool) -> str:
     return f"array({', '.join(wanted)})"
 
 
-def _located(histogram: DataFrame, within: Sequence[str], order: str) -> DataFrame:
-    """Keep the histogram rows holding a wanted rank; ranks become relative to the row."""
-    others = [c for c in histogram.columns if c != "_want"]
+def _located(histogram: DataFrame, within: Sequence[str], order: str, keep: Sequence[str]) -> DataFrame:
+    """The histogram rows holding a wanted rank; ranks become relative to the row."""
     frame = f"PARTITION BY {', '.join(within)} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    return (
-        histogram.selectExpr("*", f"sum(_c) OVER ({frame}) - _c AS _before")
-        .selectExpr(
-            *others,
-            "transform(filter(_want, w -> w.rank > _before AND w.rank <= _before + _c), "
-            "w -> named_struct('slot', w.slot, 'rank', w.rank - _before)) AS _want",
-        )
-        .where("size(_want) > 0")
+    here = (
+        "transform(filter(_want, w -> w.rank > _before AND w.rank <= _before + _c), "
+        "w -> named_struct('slot', w.slot, 'rank', w.rank - _before)) AS _want"
     )
+    counted = histogram.selectExpr("*", f"sum(_c) OVER ({frame}) - _c AS _before")
+    return counted.selectExpr(*keep, here).where("size(_want) > 0")
 
 
-def _bins_in_play(located: DataFrame, groups: Sequence[str], bin_key: str) -> DataFrame:
-    """One row per group: a map from the bins still in play to the ranks wanted there."""
-    return located.groupBy(*groups, "_low", "_high", "_n").agg(
-        F.expr(f"map_from_entries(collect_list(struct({bin_key}, _want))) AS _bins")
+def _inside(base: DataFrame, ranges: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Rows whose value lies in one of their group's ranges, which are disjoint and few."""
+    same_group = " AND ".join(f"b.{g} = r.{g}" for g in groups)
+    joined = base.alias("b").join(
+        F.broadcast(ranges).alias("r"), F.expr(f"{same_group} AND _v BETWEEN _low AND _high")
     )
+    return joined.selectExpr(*(f"b.{g} AS {g}" for g in groups), "_v", "_n", "_low", "_high", "_want")
 
 
 def order_statistics(
@@ -80,36 +82,29 @@ def order_statistics(
     """Rows ``(*groups, _n, _slot, _value)``: slot ``2i`` is the lower order statistic of
     ``probabilities[i]`` and ``2i + 1`` the upper one (interpolated form only)."""
     groups = list(groups)
-    count = F.expr("count(1) AS _c")
+    tally = exprs(["count(1) AS _c", "min(_v) AS _low", "max(_v) AS _high"])
     base = df.selectExpr(*groups, f"CAST({value} AS double) AS _v").where("_v IS NOT NULL")
 
-    span = base.groupBy(*groups).agg(
-        *exprs([f"min({_CLAMPED}) AS _low", f"max({_CLAMPED}) AS _high", "count(1) AS _n"])
-    )
     coarse = (
-        base.join(F.broadcast(span), on=groups)
-        .groupBy(*groups, "_low", "_high", "_n", F.expr(f"{_CELL} DIV {FANOUT} AS _bin"))
-        .agg(count)
+        base.groupBy(*groups, F.expr(f"{_BIN} AS _bin"))
+        .agg(*tally)
+        .selectExpr("*", f"sum(_c) OVER (PARTITION BY {', '.join(groups)}) AS _n")
         .selectExpr("*", f"{_wanted_ranks(probabilities, interpolate)} AS _want")
     )
+    ranges = _located(coarse, groups, "_bin", [*groups, "_n", "_low", "_high"])
+
     fine = (
-        base.join(F.broadcast(_bins_in_play(_located(coarse, groups, "_bin"), groups, "_bin")), on=groups)
-        .selectExpr(*groups, "_low", "_high", "_n", "_bins", f"{_CELL} AS _cell")
-        .selectExpr(*groups, "_low", "_high", "_n", "_cell", f"try_element_at(_bins, _cell DIV {FANOUT}) AS _want")
-        .where("_want IS NOT NULL")
-        .groupBy(*groups, "_low", "_high", "_n", "_cell", "_want")
-        .agg(count)
+        _inside(base, ranges, groups)
+        .selectExpr(*groups, "_n", "_low AS _from", "_want", f"{_CELL} AS _cell", "_v")
+        .groupBy(*groups, "_n", "_from", "_want", "_cell")
+        .agg(*tally)
     )
-    in_bin = [*groups, f"_cell DIV {FANOUT}"]
+    narrow = _located(fine, [*groups, "_from"], "_cell", [*groups, "_n", "_low", "_high"])
+
     values = (
-        base.join(F.broadcast(_bins_in_play(_located(fine, in_bin, "_cell"), groups, "_cell")), on=groups)
-        .selectExpr(*groups, "_n", "_v", "_bins", f"{_CELL} AS _cell")
-        .selectExpr(*groups, "_n", "_v", "_cell", "try_element_at(_bins, _cell) AS _want")
-        .where("_want IS NOT NULL")
-        .groupBy(*groups, "_n", "_cell", "_want", "_v")
-        .agg(count)
+        _inside(base, narrow, groups).groupBy(*groups, "_n", "_low", "_want", "_v").agg(F.expr("count(1) AS _c"))
     )
-    return _located(values, [*groups, "_cell"], "_v").selectExpr(
+    return _located(values, [*groups, "_low"], "_v", [*groups, "_n", "_v"]).selectExpr(
         *groups, "_n", "explode(_want.slot) AS _slot", "_v AS _value"
     )
 

@@ -86,14 +86,27 @@ def test_status_classes(spark):
 
 
 def test_bad_dates_are_null_not_errors(spark):
-    texts = ["2015-03-01", "2015-13-01", "bad", "", None]
+    texts = ["2015-03-01", "2015-13-01", "2015-02-30", "bad", "", None]
     days = evaluate(spark, sc.application_day("x"), texts)
-    assert [d and d.isoformat() for d in days] == ["2015-03-01", None, None, None, None]
+    assert [d and d.isoformat() for d in days] == ["2015-03-01", None, None, None, None, None]
     months = evaluate(spark, sc.issue_month("x"), ["Dec-2015", "2015-12", None])
     assert [d and d.isoformat() for d in months] == ["2015-12-01", None, None]
     assert evaluate(spark, sc.year_month("CAST(x AS date)"), ["2015-03-09", None]) == ["2015-03", None]
 
 
+def test_short_cut_dates_equal_the_formatter(spark):
+    def as_text(expression, values):
+        return evaluate(spark, f"CAST({expression} AS string)", values)
+
+    days = ["2015-03-01", "2015-3-1", "0000-01-01", "0001-01-01", " 2015-01-01", "2015-01-01T00", "12015-01-01",
+            "2016-02-29", "2015-02-29", "2015-00-10", "2015/01/01", "", None]
+    assert as_text(sc.application_day("x"), days) == as_text("try_to_date(x, 'yyyy-MM-dd')", days)
+    names = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+    months = [f"{m}-2015" for m in names] + ["dec-2015", "DEC-2015", "Foo-2015", "anF-2015", "Dec-0000", "Dec-0100",
+              "Dec-15", "Dec-12015", "December-2015", "Dec 2015", "", None]
+    assert as_text(sc.issue_month("x"), months) == as_text("try_to_date(x, 'MMM-yyyy')", months)
+
+
 def test_two_dti_rules(spark):
     values = [-0.1, 0.0, 100.0, 200.0, 200.1, None]
     lenient = evaluate(spark, sc.in_range("x", 0, 200, keep_null=True), values, "double")
