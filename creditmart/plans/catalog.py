@@ -13,7 +13,7 @@ from creditmart.operators import clean, evaluate, features, marts, models, profi
 from creditmart.plans import training
 from creditmart.plans.warehouse import ReportInputs, lookup_marts, reporting_marts
 from creditmart.sources import publish
-from creditmart.sources.feeds import accepted_feed, rejected_feed, scored_applications, table
+from creditmart.sources.feeds import accepted_feed, feeds, rejected_feed, scored_applications, table
 from creditmart.sources.stage import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +45,10 @@ def detail_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.combine(detail_rejected(spark, sf_dir), detail_accepted(spark, sf_dir))
+    rejected, accepted = feeds(spark, sf_dir)
+    return clean.combine(
+        clean.clean_rejected(rejected, carry=["app_id"]), clean.clean_accepted(accepted, carry=["app_id"])
+    )
 
 
 def staged_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,11 +57,7 @@ def staged_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_inputs(spark: SparkSession, sf_dir: str, staged: bool = False) -> ReportInputs:
-    return ReportInputs.of(rejected_feed(spark, sf_dir), accepted_feed(spark, sf_dir), staged)
-
-
-def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return rejected_feed(spark, sf_dir), accepted_feed(spark, sf_dir)
+    return ReportInputs.of(*feeds(spark, sf_dir), staged)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,22 +95,36 @@ _ACCEPTED = (
 )
 
 
-def _applications(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    """Orders of one kind with their customer.
+def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer: the source of both feeds.
 
     No join hint: customer grows with the data. A hot customer is split at run time
     (adaptive skew join), since nothing downstream relies on this join's partitioning.
     """
-    orders = table(spark, sf_dir, "orders").where(status)
-    return orders.join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    return orders.join(customer, F.expr("o_custkey = c_custkey"))
+
+
+def _rejected(source: DataFrame) -> DataFrame:
+    return source.where("o_orderstatus <> 'F'").selectExpr(*_REJECTED)
+
+
+def _accepted(source: DataFrame) -> DataFrame:
+    return source.where("o_orderstatus = 'F'").selectExpr(*_ACCEPTED)
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The rejected and the accepted feed. The status test is pushed into each scan."""
+    source = applications(spark, sf_dir)
+    return _rejected(source), _accepted(source)
 
 
 def rejected_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _applications(spark, sf_dir, "o_orderstatus <> 'F'").selectExpr(*_REJECTED)
+    return _rejected(applications(spark, sf_dir))
 
 
 def accepted_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _applications(spark, sf_dir, "o_orderstatus = 'F'").selectExpr(*_ACCEPTED)
+    return _accepted(applications(spark, sf_dir))
 
 
 def scored_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
