@@ -17,8 +17,9 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 @cache
-def _local_root(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="creditmart-")
+def _local_folder(application_id: str) -> tempfile.TemporaryDirectory:
+    """Removed again when the Python process ends."""
+    return tempfile.TemporaryDirectory(prefix="creditmart-", ignore_cleanup_errors=True)
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -28,7 +29,7 @@ def stage_root(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    return _local_root(spark.sparkContext.applicationId)
+    return _local_folder(spark.sparkContext.applicationId).name
 
 
 def _application_folder(spark: SparkSession) -> str:
