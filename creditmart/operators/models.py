@@ -146,6 +146,15 @@ def standard_classifiers() -> dict[str, Estimator]:
     }
 
 
+def raw_only_classifiers() -> dict[str, Estimator]:
+    """Larger trees with full bins, as used where no rate features help."""
+    return {
+        "LogisticRegression": logistic_regression(),
+        "RandomForest": random_forest(numTrees=100, maxDepth=8, maxBins=32),
+        "GBT": boosted_trees(maxIter=50, maxDepth=6, maxBins=32, subsamplingRate=1.0),
+    }
+
+
 # --- fitting ----------------------------------------------------------------------------------
 
 

@@ -101,9 +101,10 @@ SINGLE_FILE_ROWS = 1_000_000
 def export_csv(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> bool:
     """Headered CSV export; returns whether it is a single file.
 
-    Size is checked by looking at no more than ``single_file_rows + 1`` rows.
+    The size check is a plain count: one partial row per task, where a ``limit`` of many
+    rows would gather that many from every task.
     """
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
+    small = df.count() <= single_file_rows
     (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).csv(path)
     return small
 

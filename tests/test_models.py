@@ -41,6 +41,25 @@ def test_leaderboard_finds_the_signal(run):
     assert max(board, key=lambda r: r.auc_roc).is_best
 
 
+def test_exact_areas_agree_with_the_binned_evaluator(run):
+    board = {r.model: r for r in run[1].leaderboard.collect()}
+    areas = models.evaluator_areas(run[1].fitted["GBT"].score(run[1].test))
+    assert board["GBT"].auc_roc == pytest.approx(areas["areaUnderROC"], abs=1e-5)
+    assert board["GBT"].auc_pr == pytest.approx(areas["areaUnderPR"], abs=1e-5)
+
+
+def test_classifier_settings(spark):
+    standard, raw = models.standard_classifiers(), models.raw_only_classifiers()
+    assert (standard["RandomForest"].getNumTrees(), standard["RandomForest"].getMaxDepth()) == (50, 6)
+    assert (standard["GBT"].getMaxIter(), standard["GBT"].getMaxBins(), standard["GBT"].getSubsamplingRate()) == (
+        20, 16, 0.8,
+    )
+    assert (raw["RandomForest"].getNumTrees(), raw["RandomForest"].getMaxDepth(), raw["GBT"].getMaxIter()) == (
+        100, 8, 50,
+    )
+    assert standard["LogisticRegression"].getRegParam() == raw["LogisticRegression"].getRegParam() == 0.01
+
+
 def test_train_and_test_parts_are_disjoint(run):
     train, test = run[1].train, run[1].test
     assert train.join(test, "app_id", "left_semi").count() == 0
