@@ -31,6 +31,11 @@ def test_every_oracle_has_a_query():
     assert set(QUERIES) - set(ORACLES) == {"model_leaderboard", "tree_importance"}
 
 
+def test_flagship_query(spark):
+    flagship = contract.entry(spark)
+    assert flagship.columns[0] == "addr_state" and 0 < flagship.count() <= 51
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SMALL)
