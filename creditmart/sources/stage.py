@@ -1,48 +1,81 @@
 """Staged tables: cut a plan that several passes read, without pinning it to executors.
 
-A staged table is written once as Parquet in the cluster's shared checkpoint folder and
-read back, so later passes scan only the columns they need, Catalyst knows the size when
-it picks a join, and a lost executor costs a re-read rather than a recomputation.
+A staged table is written once as Parquet in a folder that the whole cluster shares and read back,
+so later passes scan only the columns they need, Catalyst knows the size when it picks a join, and
+a lost executor costs a re-read rather than a recomputation.
+
+The folder is ``spark.checkpoint.dir``, or one below the session's warehouse folder where that is
+unset. Staged tables live until ``clear_stage``, or the end of a ``with staging(spark):`` block
+for those made in it; within such a block, staging the same plan twice writes one table.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
-
-@cache
-def _local_folder(application_id: str) -> tempfile.TemporaryDirectory:
-    """Removed again when the Python process ends."""
-    return tempfile.TemporaryDirectory(prefix="creditmart-", ignore_cleanup_errors=True)
+_runs: list[dict] = []
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The folder the session names; a temporary one only for a local, unset session."""
+    """The folder the session names for checkpoints, else one in its warehouse folder."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    return _local_folder(spark.sparkContext.applicationId).name
+    return configured or f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/_stage"
 
 
 def _application_folder(spark: SparkSession) -> str:
     return f"{stage_root(spark).rstrip('/')}/creditmart-{spark.sparkContext.applicationId}"
 
 
+def stage_folder(spark: SparkSession, name: str) -> str:
+    """A new path for a staged table, or for other files that live as long."""
+    path = f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _runs:
+        _runs[-1]["paths"].append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    path = f"{_application_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    if _runs:
+        for plan, staged in _runs[-1]["staged"]:
+            if plan.schema == df.schema and plan.sameSemantics(df):
+                return staged
+    path = stage_folder(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    if _runs:
+        _runs[-1]["staged"].append((df, staged))
+    return staged
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are shared by equal plans and removed at the end.
+
+    Results must be written or collected before the block ends.
+    """
+    run: dict = {"paths": [], "staged": []}
+    _runs.append(run)
+    try:
+        yield
+    finally:
+        _runs.remove(run)
+        for path in run["paths"]:
+            _delete(spark, path)
 
 
 def clear_stage(spark: SparkSession) -> bool:
     """Remove this application's staged tables; call it after the last action."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return _delete(spark, _application_folder(spark))
