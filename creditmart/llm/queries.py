@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, mixing
+from creditmart.llm import exact_dedup, mixing, token_counts
 from creditmart.llm.common import read
 
 
@@ -14,9 +14,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(read(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op6_exact_dedup)}
+    return {f.__name__: f for f in (op3_mixing, op5_token_counts, op6_exact_dedup)}
