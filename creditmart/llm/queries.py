@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, mixing, token_counts
+from creditmart.llm import exact_dedup, mixing, token_counts, warc
 from creditmart.llm.common import read
 
 
@@ -22,5 +22,9 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op5_token_counts, op6_exact_dedup)}
+    return {f.__name__: f for f in (op3_mixing, op5_token_counts, op6_exact_dedup, op8_warc)}
