@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, mixing, token_counts, warc
+from creditmart.llm import exact_dedup, mixing, token_counts, toxicity, warc
 from creditmart.llm.common import read
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(read(spark, sf_dir, "documents"))
 
@@ -27,4 +32,4 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op5_token_counts, op6_exact_dedup, op8_warc)}
+    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op5_token_counts, op6_exact_dedup, op8_warc)}
