@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, mixing, token_counts, toxicity, warc
+from creditmart.llm import exact_dedup, mixing, quality_knn, token_counts, toxicity, warc
 from creditmart.llm.common import read
 
 
@@ -31,5 +31,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_knn.quality(docs, quality_knn.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op5_token_counts, op6_exact_dedup, op8_warc)}
+    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op5_token_counts, op6_exact_dedup, op8_warc, op9_quality_classifier)}
