@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, mixing, quality_knn, token_counts, toxicity, warc
+from creditmart.llm import exact_dedup, mixing, quality_knn, quality_rules, token_counts, toxicity, warc
 from creditmart.llm.common import read
 
 
@@ -27,6 +27,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
@@ -37,4 +41,4 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op5_token_counts, op6_exact_dedup, op8_warc, op9_quality_classifier)}
+    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc, op9_quality_classifier)}
