@@ -50,10 +50,18 @@ def filter_bits(rows: int) -> int:
 def repeat_filter(digests: DataFrame, digest: str, bits: int) -> DataFrame:
     """(which, bucket, bitmap): the slots that more than one row fills."""
     slots = F.array(*(F.struct(F.lit(k).alias("which"), _slot(F.col(digest), k, bits).alias("slot")) for k in range(HASHES)))
-    repeated = digests.select(F.inline(slots)).groupBy("which", "slot").agg(F.count("*").alias("n")).filter("n > 1")
+    return _bitmaps(digests.select(F.inline(slots)).groupBy("which", "slot").agg(F.count("*").alias("n")).filter("n > 1"))
+
+
+def slots_as_bitmaps(rows: DataFrame, value: Column, bits: int) -> DataFrame:
+    """The same for a plain Bloom filter: the slots that any row's value fills."""
+    return _bitmaps(rows.select(F.inline(F.array(*(F.struct(F.lit(k).alias("which"), _slot(value, k, bits).alias("slot")) for k in range(HASHES))))))
+
+
+def _bitmaps(slots: DataFrame) -> DataFrame:
     # The bitmap functions count buckets from 1 and positions from 0 for values from 1.
     value = F.col("slot") + 1
-    return repeated.groupBy("which", F.bitmap_bucket_number(value).alias("bucket")).agg(
+    return slots.groupBy("which", F.bitmap_bucket_number(value).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bitmap")
     )
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, mixing, quality_knn, quality_rules, token_counts, toxicity, warc
+from creditmart.llm import exact_dedup, mixing, ngram_join, quality_knn, quality_rules, token_counts, toxicity, warc
 from creditmart.llm.common import read
 
 
@@ -19,6 +19,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(read(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(read(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
@@ -41,4 +45,4 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc, op9_quality_classifier)}
+    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op4_ngram_join, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc, op9_quality_classifier)}
