@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, mixing, ngram_join, quality_knn, quality_rules, token_counts, toxicity, warc
+from creditmart.llm import exact_dedup, mixing, ngram_join, packing, quality_knn, quality_rules, token_counts, toxicity, warc
 from creditmart.llm.common import read
 
 
@@ -44,5 +44,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.quality(docs, quality_knn.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op4_ngram_join, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc, op9_quality_classifier)}
+    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op4_ngram_join, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc, op9_quality_classifier, op10_packing)}

@@ -30,7 +30,7 @@ from creditmart.llm.token_units import MAX_CACHED_UNIT, UnitCache, byte_counter,
 
 TABLE_SIZE = 32_768
 SUMMARY_SIZE = 65_536
-CACHE_SIZE = 600_000
+CACHE_SIZE = 1_000_000
 
 
 def summaries(capacity: int) -> Callable:

@@ -90,21 +90,24 @@ def unit_of(key: str) -> str:
 
 
 class UnitCache(dict):
-    """key -> value; keys not yet there are encoded and kept, and all but the first are dropped when it is full.
+    """key -> value; keys not yet there are encoded and kept.
 
-    Long keys are encoded anew each time, so the cache's memory is bounded by ``capacity``.
+    At half the capacity the cache becomes the old generation and a new one begins; what is asked again
+    moves to the new one. Long keys are encoded anew each time, so ``capacity`` bounds the memory.
     """
 
     def __init__(self, encode: Callable, first: dict, capacity: int):
         super().__init__(first)
-        self.encode, self.first, self.capacity = encode, first, capacity
+        self.encode, self.old, self.half = encode, {}, max(1, capacity // 2)
 
     def __missing__(self, key: str):
-        value = self.encode(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.encode(key)
         if len(key) <= MAX_CACHED_UNIT:
-            if len(self) >= self.capacity:
+            if len(self) >= self.half:
+                self.old = dict(self)
                 self.clear()
-                self.update(self.first)
             self[key] = value
         return value
 
@@ -125,19 +128,32 @@ def byte_counter(tokenizer) -> Callable[[str], int]:
     return count
 
 
-def word_encoder(tokenizer) -> Callable[[str], bytes]:
+def word_encoder(tokenizer, capacity: int = 400_000) -> Callable[[str], bytes]:
     """Ids of a non-white unit as little-endian 32-bit numbers, for the word tokenizer."""
-    import numpy as np
+    from array import array
+    from sys import byteorder
+
     import tiktoken
 
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     fast = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks(tokenizer), special_tokens={})
+    merge = fast._encode_single_piece
+
+    def packed(numbers: list[int]) -> bytes:
+        out = array("I", numbers)
+        if byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    # Many units differ only in case or punctuation; their words share an entry here.
+    words = UnitCache(lambda word: packed(merge(word.encode() + WORD_END)), {}, capacity)
 
     def ids(unit: str) -> bytes:
         if PLAIN.fullmatch(unit) and not any(a in unit for a in added):
-            found = [i for w in WORD_PATTERN.findall(unit.lower()) for i in fast._encode_single_piece(w.encode() + WORD_END)]
-        else:
-            found = tokenizer.encode(unit, add_special_tokens=False).ids
-        return np.array(found, dtype="<u4").tobytes()
+            low = unit.lower()
+            if low.isascii() and low.isalpha():
+                return words[low]
+            return b"".join(map(words.__getitem__, WORD_PATTERN.findall(low)))
+        return packed(tokenizer.encode(unit, add_special_tokens=False).ids)
 
     return ids
