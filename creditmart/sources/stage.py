@@ -55,6 +55,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return staged
 
 
+def stage_table(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
+    """Staged, and bucketed by a key: later groupings by it read each bucket in one task, without a shuffle.
+
+    The key should be one for all rows of a writing task, or few, so that a task writes few files.
+    """
+    spark = df.sparkSession
+    df.write.format("parquet").bucketBy(buckets, key).option("path", stage_folder(spark, name)).saveAsTable(name)
+    return spark.table(name)
+
+
 def _delete(spark: SparkSession, path: str) -> bool:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
