@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, mixing, ngram_join, packing, quality_knn, quality_rules, token_counts, toxicity, warc
+from creditmart.llm import exact_dedup, mixing, ngram_join, packing, quality_knn, quality_rules, suffix_dedup, token_counts, toxicity, warc
 from creditmart.llm.common import read
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
@@ -49,4 +53,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_mixing, op4_ngram_join, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc, op9_quality_classifier, op10_packing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_toxicity, op3_mixing, op4_ngram_join, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc, op9_quality_classifier, op10_packing)}
