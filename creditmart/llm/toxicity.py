@@ -236,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
             yield pd.DataFrame({"label": batch["label"], "x": [evidence(t, lexicon).tolist() for t in batch["text"]]})
 
     data = rows.mapInPandas(measured, "label int, x array<double>").toPandas()
-    model.weights = logistic(np.array(data["x"].tolist()).reshape(len(data), -1), data["label"].to_numpy(float))
+    model.weights = logistic(np.array(data["x"].tolist()).reshape(len(data), 2 * len(PATTERNS)), data["label"].to_numpy(float))
     return model
 
 
