@@ -42,6 +42,7 @@ from creditmart.sources.stage import stage
 MAX_SOURCES = 10_000
 MAX_SHARDS = 4_096
 ROUNDS = 24
+SLOTS_PER_TASK = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -150,8 +151,9 @@ def _pieces(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     counts = np.array([p[1] for p in plan], dtype=np.int64)
     per_shard = max(mix.shard_blocks, -(-int(counts.sum()) // MAX_SHARDS))
     draws = spark.createDataFrame(draw(counts, per_shard, mix.seed), "shard int, s int, first long, n long")
+    parts = max(1, -(-int(counts.sum()) // SLOTS_PER_TASK))
     slots = (
-        draws.repartition("shard", "s").join(F.broadcast(sources), "s")
+        draws.repartition(parts, "shard", "s").join(F.broadcast(sources), "s")
         .select("s", "source_size", "blocks", "slots", "cut", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("j"))
     )
     key = F.xxhash64(F.lit(mix.seed), "s", F.floor(F.col("j") / F.col("blocks")))
