@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from creditmart.llm.common import whole_text
 from creditmart.llm.token_units import MAX_CACHED_UNIT, UnitCache, byte_counter, keyed_units, load, public_path
+from creditmart.sources.stage import stage
 
 TABLE_SIZE = 32_768
 SUMMARY_SIZE = 65_536
@@ -52,8 +53,20 @@ def summaries(capacity: int) -> Callable:
 def frequent_units(docs: DataFrame, text: str, table_size: int, summary_size: int) -> list[str]:
     """The units to broadcast: at most ``table_size``, most frequent first."""
     found = docs.select(whole_text(text).alias("text")).mapInPandas(summaries(summary_size), "unit string, n long")
-    top = found.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(table_size)
-    return [r["unit"] for r in top.collect()]
+    summed = stage(found.groupBy("unit").agg(F.sum("n").alias("n")), "token-units")
+    # The driver reads a histogram (32 bins a power of two), then only the units above the bin where the table is full.
+    bin_ = F.floor(F.log2("n") * 32)
+    bins = summed.groupBy(bin_.alias("bin")).agg(F.count("*").alias("units")).collect()
+    cut, held = None, 0
+    for r in sorted(bins, key=lambda r: -r["bin"]):
+        held += r["units"]
+        if held > table_size:
+            break
+        cut = r["bin"]
+    if cut is None:
+        return []
+    top = summed.filter(bin_ >= cut).collect()
+    return [r["unit"] for r in sorted(top, key=lambda r: (-r["n"], r["unit"]))]
 
 
 def counter(path: str, table, capacity: int) -> Callable:
