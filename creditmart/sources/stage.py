@@ -61,7 +61,8 @@ def stage_table(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
     The key should be one for all rows of a writing task, or few, so that a task writes few files.
     """
     spark = df.sparkSession
-    df.write.format("parquet").bucketBy(buckets, key).option("path", stage_folder(spark, name)).saveAsTable(name)
+    writer = df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, key)
+    writer.option("path", stage_folder(spark, name)).saveAsTable(name)
     return spark.table(name)
 
 
