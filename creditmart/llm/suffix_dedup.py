@@ -109,10 +109,10 @@ class Block:
         every = (base[:, None] + np.array(COVER)).ravel()
         return self.fitting(every[every < len(self.data)], SAMPLE)
 
-    def sample_names(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def sample_names(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sample positions, the distinct names ascending, each sample's place among them, and which names two documents have."""
         at = self.samples()
-        names, place = np.unique(self.hashes(at, SAMPLE) >> np.uint64(16), return_inverse=True)
+        names, place = np.unique(self.hashes(at, SAMPLE) >> np.uint64(64 - bits), return_inverse=True)
         doc = self.ids[self.doc_of(at)] if len(at) else at
         low, high = np.full(len(names), LAST), np.full(len(names), -LAST - 1)
         np.minimum.at(low, place, doc)
@@ -133,6 +133,11 @@ class Block:
         return names, place, self.ids[self.doc_of(at[first])]  # documents lie in the order of their ids
 
 
+def name_bits(names: int) -> int:
+    """Bits of a sample name, whole bytes: twelve more than it takes to number all names, so that chance repeats stay rare at every size."""
+    return min(64, 8 * -(-(max(names, 1).bit_length() + 12) // 8))
+
+
 def _edges(names: np.ndarray, buckets: int, bits: int) -> np.ndarray:
     """Where each bucket of ascending names begins; buckets are equal ranges of the upper 16 bits."""
     bucket = ((names >> np.uint64(bits - 16)) * np.uint64(buckets)) >> np.uint64(16)
@@ -141,43 +146,68 @@ def _edges(names: np.ndarray, buckets: int, bits: int) -> np.ndarray:
 
 def _packed(names: np.ndarray, bits: int) -> bytes:
     """Upper 16 bits first: ascending, so the shuffle's compression takes most of them away."""
-    low = names & np.uint64((1 << (bits - 16)) - 1)
-    parts = [(names >> np.uint64(bits - 16)).astype("<u2").tobytes(), low.astype("<u4").tobytes()]
-    return b"".join(parts + [(low >> np.uint64(32)).astype("<u2").tobytes()] * (bits > 48))
+    high = (names >> np.uint64(bits - 16)).astype("<u2")
+    return high.tobytes() + names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : (bits - 16) // 8].tobytes()
 
 
 def _unpacked(data: bytes, n: int, bits: int) -> np.ndarray:
-    names = np.frombuffer(data, "<u2", n).astype(np.uint64) << np.uint64(bits - 16)
-    names |= np.frombuffer(data, "<u4", n, 2 * n)
-    if bits > 48:
-        names |= np.frombuffer(data, "<u2", n, 6 * n).astype(np.uint64) << np.uint64(32)
-    return names
+    wide, rest = np.zeros((n, 8), np.uint8), (bits - 16) // 8
+    wide[:, :rest] = np.frombuffer(data, np.uint8, n * rest, 2 * n).reshape(n, rest)
+    return wide.view("<u8").ravel() | (np.frombuffer(data, "<u2", n).astype(np.uint64) << np.uint64(bits - 16))
+
+
+class IdTable:
+    """Ids as places in a block's ascending list of ids, in as few bits as the list needs."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = np.unique(ids)
+        gaps = np.diff(self.ids).astype(np.uint64)
+        width = next(w for w in (2, 4, 8) if not len(gaps) or int(gaps.max()) < 1 << 8 * w)
+        self.head = np.array([len(self.ids), width, self.ids[0] if len(self.ids) else 0], "<i8").tobytes() + gaps.astype(f"<u{width}").tobytes()
+        self.bits = max(1, (max(len(self.ids), 1) - 1).bit_length())
+
+    def pack(self, ids: np.ndarray) -> bytes:
+        place = np.searchsorted(self.ids, ids)
+        return self.head + np.packbits((place[:, None] >> np.arange(self.bits)) & 1).tobytes()
+
+    @staticmethod
+    def unpack(data: bytes, n: int) -> np.ndarray:
+        count, width, first = map(int, np.frombuffer(data, "<i8", 3))
+        gaps = np.frombuffer(data, f"<u{width}", max(count - 1, 0), 24)
+        ids = first + np.r_[np.int64(0), np.cumsum(gaps.astype(np.int64))]
+        bits = max(1, (max(count, 1) - 1).bit_length())
+        places = np.unpackbits(np.frombuffer(data, np.uint8, offset=24 + gaps.nbytes), count=n * bits).reshape(n, bits)
+        return ids[(places.astype(np.int64) << np.arange(bits)).sum(axis=1)]
 
 
-def name_submitter(buckets: int):
+def name_submitter(buckets: int, wide: int):
     """For applyInPandas over a block: its sample names by bucket, each with a bit: whether two documents have it."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        _, names, _, several = Block(rows).sample_names()
-        edges = _edges(names, buckets, 48)
+        _, names, _, several = Block(rows).sample_names(wide)
+        edges = _edges(names, buckets, wide)
         full = np.flatnonzero(np.diff(edges))
-        out = [(int(rows["block"].iloc[0]), int(k), int(b - a), _packed(names[a:b], 48), np.packbits(several[a:b]).tobytes()) for k in full for a, b in [edges[k : k + 2]]]
+        out = [(int(rows["block"].iloc[0]), int(k), int(b - a), _packed(names[a:b], wide), np.packbits(several[a:b]).tobytes()) for k in full for a, b in [edges[k : k + 2]]]
         return pd.DataFrame(out, columns=["block", "bucket", "n", "names", "extra"]).astype({"names": object, "extra": object})
 
     return run
 
 
-def name_bucket(rows: pd.DataFrame) -> pd.DataFrame:
+def name_bucket(wide: int):
     """For applyInPandas over a bucket: to each block, which of its names two documents have."""
-    sizes = rows["n"].to_numpy()
-    names = np.concatenate([_unpacked(d, n, 48) for d, n in zip(rows["names"], sizes, strict=True)])
-    several = np.concatenate([np.unpackbits(np.frombuffer(e, np.uint8), count=n) for e, n in zip(rows["extra"], sizes, strict=True)])
-    order = np.argsort(names, kind="stable")
-    ordered = names[order]
-    same = np.r_[False, ordered[1:] == ordered[:-1]]
-    yes = np.zeros(len(names), bool)
-    yes[order] = same | np.r_[same[1:], False]
-    return _replies(rows, sizes, yes | (several > 0), 0)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        sizes = rows["n"].to_numpy()
+        names = np.concatenate([_unpacked(d, n, wide) for d, n in zip(rows["names"], sizes, strict=True)])
+        several = np.concatenate([np.unpackbits(np.frombuffer(e, np.uint8), count=n) for e, n in zip(rows["extra"], sizes, strict=True)])
+        order = np.argsort(names, kind="stable")
+        ordered = names[order]
+        same = np.r_[False, ordered[1:] == ordered[:-1]]
+        yes = np.zeros(len(names), bool)
+        yes[order] = same | np.r_[same[1:], False]
+        return _replies(rows, sizes, yes | (several > 0), 0)
+
+    return run
 
 
 def _replies(rows: pd.DataFrame, sizes: np.ndarray, yes: np.ndarray, kind: int) -> pd.DataFrame:
@@ -195,28 +225,25 @@ def _answers(replies: pd.DataFrame, kind: int, names: np.ndarray, buckets: int,
     return yes
 
 
-def _suffixes_left(rows: pd.DataFrame, replies: pd.DataFrame, buckets: int) -> tuple[Block, np.ndarray]:
+def _suffixes_left(rows: pd.DataFrame, replies: pd.DataFrame, buckets: int, wide: int) -> tuple[Block, np.ndarray]:
     block = Block(rows)
-    at, names, place, _ = block.sample_names()
-    return block, block.suffixes(_answers(replies, 0, names, buckets, 48), at, place)
+    at, names, place, _ = block.sample_names(wide)
+    return block, block.suffixes(_answers(replies, 0, names, buckets, wide), at, place)
 
 
-def prefix_submitter(buckets: int):
+def prefix_submitter(buckets: int, wide: int):
     """For cogroup(text, replies): the block's prefix names by bucket, each with the smallest id that has it."""
 
     def run(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(rows):
-            block, at = _suffixes_left(rows, replies, buckets)
+            block, at = _suffixes_left(rows, replies, buckets, wide)
             names, _, first = block.prefixes(at)
             edges = _edges(names, buckets, 64)
-            base = int(first.min()) if len(first) else 0
-            above = (first - base).astype(np.uint64)
-            width = next(w for w in ("<u2", "<u4", "<u8") if not len(above) or int(above.max()) <= np.iinfo(w).max)
+            table = IdTable(first)
             for k in np.flatnonzero(np.diff(edges)):
                 a, b = edges[k : k + 2]
-                extra = np.array([base], "<i8").tobytes() + above[a:b].astype(width).tobytes()
-                out.append((int(rows["block"].iloc[0]), int(k), int(b - a), _packed(names[a:b], 64), extra))
+                out.append((int(rows["block"].iloc[0]), int(k), int(b - a), _packed(names[a:b], 64), table.pack(first[a:b])))
         return pd.DataFrame(out, columns=["block", "bucket", "n", "names", "extra"]).astype({"block": "int64", "bucket": "int32", "n": "int64", "names": object, "extra": object})
 
     return run
@@ -226,7 +253,7 @@ def prefix_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     """For applyInPandas over a suffix bucket: sorted once; to each block, whether a smaller id has a prefix."""
     sizes = rows["n"].to_numpy()
     names = np.concatenate([_unpacked(d, n, 64) for d, n in zip(rows["names"], sizes, strict=True)])
-    ids = np.concatenate([np.frombuffer(e, f"<u{(len(e) - 8) // n}", n, 8).astype(np.int64) + np.frombuffer(e, "<i8", 1) for e, n in zip(rows["extra"], sizes, strict=True)])
+    ids = np.concatenate([IdTable.unpack(e, n) for e, n in zip(rows["extra"], sizes, strict=True)])
     order = np.argsort(names, kind="stable")
     starts = np.flatnonzero(np.r_[True, names[order][1:] != names[order][:-1]])
     lowest = np.repeat(np.minimum.reduceat(ids[order], starts), np.diff(np.r_[starts, len(order)]))
@@ -238,13 +265,13 @@ def prefix_bucket(rows: pd.DataFrame) -> pd.DataFrame:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def cutter(buckets: int, with_text: bool):
+def cutter(buckets: int, wide: int, with_text: bool):
     """For cogroup(text, replies): the block's documents without the bytes that go."""
 
     def run(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(rows):
-            block, at = _suffixes_left(rows, replies, buckets)
+            block, at = _suffixes_left(rows, replies, buckets, wide)
             names, place, first = block.prefixes(at)
             gone = _answers(replies, 1, names, buckets, 64)[place] | (block.ids[block.doc_of(at)] > first[place]) if len(at) else np.zeros(0, bool)
             mark = np.zeros(len(block.data) + 1, dtype=np.int32)
@@ -289,15 +316,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", blo
     rows = alone.union(left.select("doc_id", "text")).withColumn("place", place).withColumn("block", F.floor(F.col("place") / block_rows))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     blocks = stage_table(rows, f"suffix_blocks_{uuid.uuid4().hex}", parts, "block")
-    buckets = int(min(1 << 16, max(16, -(-(total["bytes"] or 0) * len(COVER) // (V * bucket_names)))))
+    samples = (total["bytes"] or 0) * len(COVER) // V
+    wide, buckets = name_bits(samples), int(min(1 << 16, max(16, -(-samples // bucket_names))))
     submission = "block long, bucket int, n long, names binary, extra binary"
     of_block, texts = lambda df: df.groupBy("block"), blocks.select("block", "place", "doc_id", "text")
-    names = of_block(texts).applyInPandas(name_submitter(buckets), submission)
-    first_replies = stage(names.groupBy("bucket").applyInPandas(name_bucket, REPLY), "suffix-names")
-    prefixes = of_block(texts).cogroup(of_block(first_replies)).applyInPandas(prefix_submitter(buckets), submission)
+    names = of_block(texts).applyInPandas(name_submitter(buckets, wide), submission)
+    first_replies = stage(names.groupBy("bucket").applyInPandas(name_bucket(wide), REPLY), "suffix-names")
+    prefixes = of_block(texts).cogroup(of_block(first_replies)).applyInPandas(prefix_submitter(buckets, wide), submission)
     second_replies = stage(prefixes.groupBy("bucket").applyInPandas(prefix_bucket, REPLY), "suffix-prefixes")
     schema = f"place long, {RESULT}" + (", kept binary" if with_text else "")
-    cut = of_block(texts).cogroup(of_block(first_replies.union(second_replies))).applyInPandas(cutter(buckets, with_text), schema).drop("place")
+    cut = of_block(texts).cogroup(of_block(first_replies.union(second_replies))).applyInPandas(cutter(buckets, wide, with_text), schema).drop("place")
     if with_text:
         # A short copy keeps its bytes; they are its text, below LENGTH bytes.
         short = flagged.filter(F.col("maybe") & (F.octet_length("text") < LENGTH)).select("digest", F.col("text").cast("binary").alias("kept")).dropDuplicates(["digest"])
