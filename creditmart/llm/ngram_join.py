@@ -129,61 +129,101 @@ def signer(bands: int, rows: int) -> Callable:
     return run
 
 
-def candidates(group: pd.DataFrame) -> pd.DataFrame:
-    """For applyInPandas over a pair of blocks of a bucket: per class the partners whose first common band this is."""
-    band, i, j = (int(group[c].iloc[0]) for c in ("band", "i", "j"))
-    group = group.drop_duplicates("cid").sort_values("cid")
-    cids, block, bands = group["cid"].to_numpy(), group["block"].to_numpy(), np.stack(group["bands"].to_list())
-    rows = []
-    for x in range(len(cids)):
-        others = np.arange(x + 1, len(cids))
-        if i != j:
-            others = others[block[others] != block[x]]
-        if band and len(others):
-            others = others[~(bands[others, :band] == bands[x, :band]).any(axis=1)]
-        if len(others):
-            rows.append((cids[x], cids[others]))
-    wanted = sorted({int(c) for x, others in rows for c in (x, *others)})
-    partners = {int(x): o for x, o in rows}
-    return pd.DataFrame({
-        "bucket": group["bucket"].iloc[0], "i": i, "j": j, "cid": np.array(wanted, np.int64),
-        "partners": pd.Series([partners.get(c, np.zeros(0, np.int64)) for c in wanted], dtype=object),
-    })
+def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches of rows sorted by (bucket, i, j), cut between groups, with where the groups begin.
+
+    Most groups have two or three rows; taking many at once spares a call for each. A group is at most
+    two blocks, so what is held over from batch to batch is bounded.
+    """
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pd.concat([held, batch], ignore_index=True)
+        if len(batch):
+            starts = np.flatnonzero(_begins(batch))
+            held = batch.iloc[starts[-1] :].reset_index(drop=True)
+            if len(starts) > 1:
+                yield batch.iloc[: starts[-1]], starts[:-1]
+    if held is not None and len(held):
+        yield held, np.zeros(1, np.int64)
+
+
+def _begins(rows: pd.DataFrame) -> np.ndarray:
+    key = rows[["bucket", "i", "j"]].to_numpy(np.int64)
+    return np.r_[True, (key[1:] != key[:-1]).any(axis=1)]
+
+
+def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For mapInPandas over sorted pairs of blocks: per class the partners whose first common band this is."""
+    for rows, starts in _whole_groups(batches):
+        ends = np.r_[starts[1:], len(rows)]
+        cids, block, band = (rows[c].to_numpy(np.int64) for c in ("cid", "block", "band"))
+        apart = (rows["i"] != rows["j"]).to_numpy()
+        bands = np.stack(rows["bands"].to_list())
+        before = np.arange(bands.shape[1])
+        places: list[int] = []
+        partners: list[np.ndarray] = []
+        nobody = np.zeros(0, np.int64)
+        # Groups of two, all at once.
+        two = starts[ends - starts == 2]
+        met = ((bands[two] == bands[two + 1]) & (before < band[two, None])).any(axis=1) | (apart[two] & (block[two] == block[two + 1]))
+        for x in two[~met].tolist():
+            places += (x, x + 1)
+            partners += (cids[x + 1 : x + 2], nobody)
+        for a, b in zip(starts[ends - starts > 2].tolist(), ends[ends - starts > 2].tolist(), strict=True):
+            found: dict[int, np.ndarray] = {}
+            for x in range(a, b - 1):
+                fresh_pair = ~(bands[x + 1 : b, : band[a]] == bands[x, : band[a]]).any(axis=1)
+                if apart[a]:
+                    fresh_pair &= block[x + 1 : b] != block[x]
+                if fresh_pair.any():
+                    found[x] = x + 1 + np.flatnonzero(fresh_pair)
+            for x in sorted({*found, *(int(y) for others in found.values() for y in others)}):
+                places.append(x)
+                partners.append(cids[found[x]] if x in found else nobody)
+        out = rows.iloc[places][["bucket", "i", "j", "cid"]].reset_index(drop=True)
+        yield out.assign(partners=pd.Series(partners, dtype=object))
 
 
 def verifier(threshold: float) -> Callable:
-    """For applyInPandas over the same groups with shingle sets: links per class, and one edge of a spanning forest."""
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("cid")
-        sets = {int(c): np.frombuffer(s, dtype=np.uint64) for c, s in zip(group["cid"], group["shingles"], strict=True)}
-        sizes = dict(zip(group["cid"].astype(int), group["copies"].astype(int), strict=True))
-        links, root = dict.fromkeys(sets, 0), {c: c for c in sets}
-
-        def find(c: int) -> int:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
-        for x, partners in zip(group["cid"].astype(int), group["partners"], strict=True):
-            own = sets[x]
-            for y in map(int, partners):
-                other = sets[y]
-                if min(len(own), len(other)) < threshold * max(len(own), len(other)):
-                    continue
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                if both >= threshold * (len(own) + len(other) - both) - 1e-9:
-                    links[x] += sizes[y]
-                    links[y] += sizes[x]
-                    a, b = find(x), find(y)
-                    root[max(a, b)] = min(a, b)
-        linked = [c for c in sets if links[c]]
-        return pd.DataFrame({"cid": linked, "links": [links[c] for c in linked], "root": [find(c) for c in linked]}, dtype="int64")
+    """For mapInPandas over the same groups with shingle sets: links per class, and one edge of a spanning forest."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows, starts in _whole_groups(batches):
+            out: list[tuple[int, int, int]] = []
+            columns = (rows["cid"].tolist(), rows["copies"].tolist(), rows["partners"].tolist(), rows["shingles"].tolist())
+            for a, b in zip(starts.tolist(), np.r_[starts[1:], len(rows)].tolist(), strict=True):
+                out += _verified(threshold, *(c[a:b] for c in columns))
+            yield pd.DataFrame(out, columns=["cid", "links", "root"], dtype="int64")
 
     return run
 
 
+def _verified(threshold: float, cids: list, copies: list, partners: list, shingle_sets: list) -> list[tuple[int, int, int]]:
+    sets = {c: np.frombuffer(s, dtype=np.uint64) for c, s in zip(cids, shingle_sets, strict=True)}
+    sizes, links, root = dict(zip(cids, copies, strict=True)), dict.fromkeys(sets, 0), {c: c for c in sets}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    for x, others in dict(zip(cids, partners, strict=True)).items():
+        for y in map(int, others):
+            small, large = sorted((sets[x], sets[y]), key=len)
+            if len(small) < threshold * len(large):
+                continue
+            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+            both = int(np.count_nonzero(large[at] == small))
+            if both >= threshold * (len(small) + len(large) - both) - 1e-9:
+                links[x] += sizes[y]
+                links[y] += sizes[x]
+                a, b = find(x), find(y)
+                root[max(a, b)] = min(a, b)
+    return [(c, n, find(c)) for c, n in links.items() if n]
+
+
 def _shingler(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = _WordHashes()
     for batch in batches:
@@ -225,10 +265,11 @@ def link_classes(docs: DataFrame, key: str, text: str, threshold: float, recall:
     others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     in_pairs = members.join(classes.select("cid", "bands"), "cid").select("bucket", "band", "cid", "block", "bands", F.explode(others).alias("other"))
     pairs = in_pairs.select("bucket", "band", "cid", "block", "bands", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    wanted = stage(pairs.groupBy("bucket", "i", "j").applyInPandas(candidates, "bucket long, i long, j long, cid long, partners array<long>"), "join-candidates")
+    together = lambda df: df.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cid")
+    wanted = stage(together(pairs).mapInPandas(candidates, "bucket long, i long, j long, cid long, partners array<long>"), "join-candidates")
     sets = stage(_sets(docs, classes, wanted, key, text), "join-sets")
     with_sets = wanted.join(sets, "cid").join(classes.select("cid", "copies"), "cid")
-    links = stage(with_sets.groupBy("bucket", "i", "j").applyInPandas(verifier(threshold), "cid long, links long, root long"), "join-links")
+    links = stage(together(with_sets).mapInPandas(verifier(threshold), "cid long, links long, root long"), "join-links")
     components = connected_components(links.filter("cid <> root"), "cid", "root")
     least = F.min(F.struct(F.col("rep").isNull().alias("a"), F.col("rep").alias("b")))
     joined = (
