@@ -167,5 +167,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str
     costs one row per task; a ranking window would send them all to one task.
     """
     rest = [c for c in df.columns if c not in {*keys, *order}]
+    if not rest and not order:
+        return df.groupBy(*keys).agg(*exprs([f"count(1) AS {copies}"]))
     first = f"min(struct({', '.join((*order, *rest))})) AS _first"
     return df.groupBy(*keys).agg(*exprs([first, f"count(1) AS {copies}"])).select(*keys, "_first.*", copies)

@@ -19,6 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from creditmart import rules
 from creditmart.operators import evaluate as ev
 from creditmart.operators.features import check_no_leakage
 from creditmart.sources.stage import stage
@@ -54,6 +55,18 @@ RAW_ONLY = FeatureSet(
 
 # --- feature stages -------------------------------------------------------------------
 
+_FILLED = "_filled"
+
+
+def _fill(features: FeatureSet) -> SQLTransformer:
+    """Missing numbers take their defaults inside the pipeline, so a saved model fills them too."""
+    filled = (f"coalesce(CAST({c} AS double), {float(rules.FEATURE_DEFAULTS[c])}D) AS {c}{_FILLED}" for c in features.numeric)
+    return SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
+
+
+def _numbers(features: FeatureSet) -> list[str]:
+    return [c + _FILLED for c in features.numeric]
+
 
 def one_hot_features(features: FeatureSet) -> Pipeline:
     """Index (unseen values kept as an own slot), one-hot encode and assemble."""
@@ -62,10 +75,11 @@ def one_hot_features(features: FeatureSet) -> Pipeline:
     vector = [f"{c}_vec" for c in features.categorical]
     return Pipeline(
         stages=[
+            _fill(features),
             StringIndexer(inputCols=list(features.categorical), outputCols=index, handleInvalid="keep"),
             OneHotEncoder(inputCols=index, outputCols=vector, handleInvalid="keep"),
             VectorAssembler(
-                inputCols=[*vector, *features.numeric], outputCol="features", handleInvalid="keep"
+                inputCols=[*vector, *_numbers(features)], outputCol="features", handleInvalid="keep"
             ),
         ]
     )
@@ -83,6 +97,7 @@ def ordinal_features(features: FeatureSet) -> Pipeline:
     plain = ", ".join(f"{i} + 0.0D AS {c}" for i, c in zip(index, codes, strict=True))
     return Pipeline(
         stages=[
+            _fill(features),
             StringIndexer(
                 inputCols=list(features.categorical),
                 outputCols=index,
@@ -91,7 +106,7 @@ def ordinal_features(features: FeatureSet) -> Pipeline:
             ),
             SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"),
             VectorAssembler(
-                inputCols=[*features.numeric, *codes], outputCol="features", handleInvalid="keep"
+                inputCols=[*_numbers(features), *codes], outputCol="features", handleInvalid="keep"
             ),
         ]
     )
@@ -104,11 +119,11 @@ def feature_names(transformed: DataFrame, column: str = "features") -> list[str]
     values, which shifts all names after it.
     """
     groups = transformed.schema[column].metadata["ml_attr"]["attrs"].values()
-    slots = {a["idx"]: a["name"] for group in groups for a in group}
+    slots = {a["idx"]: a["name"].removesuffix(_FILLED) for group in groups for a in group}
     return [slots[i] for i in range(len(slots))]
 
 
-# --- classifiers ----------------------------------------------------------------------------
+# --- classifiers: fixed values --------------------------------------------------------------
 
 
 def logistic_regression(**overrides) -> LogisticRegression:
@@ -198,27 +213,38 @@ def fit_all(train: DataFrame, features: Pipeline, classifiers: dict[str, Estimat
         vectors.unpersist()
 
 
+_NAMES = ".features"
+
+
 def save_model(fitted: Fitted, folder: str) -> str:
+    """Save the pipeline, and the names of its feature slots beside it."""
     path = f"{folder.rstrip('/')}/{fitted.name}"
     fitted.pipeline.write().overwrite().save(path)
+    spark = SparkSession.active()
+    names = spark.createDataFrame(list(enumerate(fitted.feature_names)), "slot int, name string")
+    names.coalesce(1).write.mode("overwrite").parquet(f"{path}{_NAMES}")
     return path
 
 
 def load_model(path: str, name: str | None = None) -> Fitted:
-    pipeline = PipelineModel.load(path)
-    return Fitted(name or path.rstrip("/").rsplit("/", 1)[-1], pipeline, ())
+    path = path.rstrip("/")
+    names = SparkSession.active().read.parquet(f"{path}{_NAMES}").orderBy("slot").collect()
+    return Fitted(name or path.rsplit("/", 1)[-1], PipelineModel.load(path), tuple(r["name"] for r in names))
 
 
 # --- reports --------------------------------------------------------------------------------
 
 
 def _importance_table(spark: SparkSession, pairs: Sequence[tuple[str, float]], top: int) -> DataFrame:
-    """Ranked with a running total. There is one row per feature slot, so one task is enough."""
+    return rank_importance(spark.createDataFrame(list(pairs), "feature string, importance double"), top)
+
+
+def rank_importance(importances: DataFrame, top: int) -> DataFrame:
+    """``feature, importance`` ranked with a running total. There is one row per feature slot, so one task is enough."""
     ranked = Window.orderBy(F.desc("importance"), "feature")
     so_far = ranked.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        spark.createDataFrame(list(pairs), "feature string, importance double")
-        .withColumn("rank", F.row_number().over(ranked))
+        importances.withColumn("rank", F.row_number().over(ranked))
         .withColumn("cumulative", F.sum("importance").over(so_far))
         .where(F.col("rank") <= top)
     )

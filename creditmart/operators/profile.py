@@ -11,8 +11,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from creditmart import rules
+from creditmart import rules, schemas
 from creditmart.functions import exprs, field_rows, quote, rows_of
 from creditmart.functions import numbers as num
 from creditmart.functions import scalars as sc
@@ -24,10 +25,25 @@ _COUNT = f"{m.N} AS cnt"
 # --- schema --------------------------------------------------------------------------
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """Column names, types and positions: as many rows as the table has columns."""
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema, 1)]
-    schema = "position int, column_name string, data_type string, is_nullable boolean"
+#: Significant decimal digits of the numeric types, as databases report them.
+_PRECISION = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19, "float": 7, "double": 15}
+
+
+def schema_report(df: DataFrame, text_lengths: dict[str, int] | None = None) -> DataFrame:
+    """Column names, types and positions: as many rows as the table has columns.
+
+    ``max_length`` is the declared length of a text column, NULL where none is declared;
+    ``numeric_precision`` the digits of a numeric column.
+    """
+    lengths = schemas.TEXT_LENGTHS if text_lengths is None else text_lengths
+
+    def row(position: int, field: T.StructField) -> tuple:
+        kind = field.dataType.simpleString()
+        precision = field.dataType.precision if isinstance(field.dataType, T.DecimalType) else _PRECISION.get(kind)
+        return position, field.name, kind, field.nullable, lengths.get(field.name) if kind == "string" else None, precision
+
+    rows = [row(i, f) for i, f in enumerate(df.schema, 1)]
+    schema = "position int, column_name string, data_type string, is_nullable boolean, max_length int, numeric_precision int"
     return df.sparkSession.createDataFrame(rows, schema)
 
 
@@ -328,8 +344,8 @@ def feed_volumes(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
 def feed_compare(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
     """Range, mean and counts of comparable fields, feed by feed.
 
-    Only plain non-negative numbers count as valid for the text fields; a trailing
-    percent sign is accepted.
+    Only plain non-negative numbers count as valid for the text fields of rejected
+    applications; a trailing percent sign is accepted. The accepted score must be whole digits.
     """
 
     def plain(text: str) -> str:
@@ -340,7 +356,7 @@ def feed_compare(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
     acc = {
         "amount": num.to_number("loan_amnt"),
         "dti": num.to_number("dti"),
-        "credit_score": plain("fico_range_low"),
+        "credit_score": f"CASE WHEN {sc.conforms('fico_range_low', rules.PATTERN_INTEGER)} THEN {num.to_number('fico_range_low')} END",
     }
     both = rejected.selectExpr("'rejected' AS src", field_rows(rej)).unionByName(
         accepted.selectExpr("'accepted' AS src", field_rows(acc))
@@ -423,21 +439,30 @@ def state_ranking(geo: DataFrame) -> DataFrame:
 # --- row quality and reconciliation ----------------------------------------------------------
 
 
-def quality_flags(raw: DataFrame) -> DataFrame:
-    """One flag per check on every rejected application and the share of checks passed."""
+def quality_flags(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
+    """One flag per check on every application of both feeds, and the share of checks passed."""
     low, high = rules.DETAIL_DTI_RANGE
-    checks = {
-        "amount_ok": f"{num.to_number('loan_amnt_raw')} > 0",
-        "date_ok": f"{sc.application_day('application_date')} IS NOT NULL",
-        "dti_ok": sc.in_range(num.parse_percent("dti_raw"), low, high, keep_null=False),
-        "score_ok": f"{num.to_number('risk_score')} IS NOT NULL",
-        "state_ok": sc.valid_state("state"),
-        "employment_ok": sc.valid_employment("employment_length"),
-    }
-    passed = " + ".join(f"CAST({name} AS int)" for name in checks)
-    return raw.selectExpr(
-        "app_id", *(f"coalesce({test}, false) AS {name}" for name, test in checks.items())
-    ).selectExpr("*", f"round(({passed}) / {len(checks)}.0D, 4) AS quality_score")
+
+    def flags(raw: DataFrame, src: str, amount: str, day: str, dti: str, score: str, state: str, employment: str) -> DataFrame:
+        checks = {
+            "amount_ok": f"{num.to_number(amount)} > 0",
+            "date_ok": f"{day} IS NOT NULL",
+            "dti_ok": sc.in_range(dti, low, high, keep_null=False),
+            "score_ok": f"{num.to_number(score)} IS NOT NULL",
+            "state_ok": sc.valid_state(state),
+            "employment_ok": sc.valid_employment(employment),
+        }
+        passed = " + ".join(f"CAST({name} AS int)" for name in checks)
+        return raw.selectExpr(
+            f"'{src}' AS src", "app_id", *(f"coalesce({test}, false) AS {name}" for name, test in checks.items())
+        ).selectExpr("*", f"round(({passed}) / {len(checks)}.0D, 4) AS quality_score")
+
+    return flags(
+        rejected, "rejected", "loan_amnt_raw", sc.application_day("application_date"), num.parse_percent("dti_raw"),
+        "risk_score", "state", "employment_length",
+    ).unionByName(flags(
+        accepted, "accepted", "loan_amnt", sc.issue_month("issue_d"), num.to_number("dti"), "fico_range_low", "addr_state", "emp_length",
+    ))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creditmart import rules, schemas
 from creditmart.functions import scalars as sc
 from creditmart.operators import clean, evaluate, features, marts, models, profile, sampling, summaries
-from creditmart.plans import training
-from creditmart.plans.warehouse import ReportInputs, lookup_marts, reporting_marts
-from creditmart.sources import publish
+from creditmart.plans import training, warehouse
+from creditmart.plans.warehouse import ReportInputs, reporting_marts
+from creditmart.sources import files, publish
 from creditmart.sources.feeds import accepted_feed, feeds, rejected_feed, scored_applications, table
-from creditmart.sources.stage import stage
+from creditmart.sources.stage import stage, stage_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,9 +27,9 @@ PROFILED_ACCEPTED_NUMBERS = ("int_rate", "loan_amnt", "annual_inc", "dti", "fico
 PROFILED_ACCEPTED_CATEGORIES = (
     "loan_status", "grade", "sub_grade", "term", "home_ownership", "issue_d", "purpose",
 )
-PROFILED_ACCEPTED = (
-    "loan_amnt", "issue_d", "purpose", "addr_state", "emp_length", "dti", "zip_code", "grade",
-    "sub_grade", "loan_status", "int_rate", "annual_inc", "home_ownership", "fico_range_low", "term",
+# The supplied tables have no counterpart of three accepted columns, which feed no output.
+PROFILED_ACCEPTED = tuple(
+    c for c in schemas.ACCEPTED_COLUMNS if c not in ("verification_status", "installment", "funded_amnt")
 )
 TOP_VALUES = 20
 SAMPLE_ROWS = 1000
@@ -119,6 +121,43 @@ _on_detail("class_balance", sampling.class_balance)
 _on_detail("kpi_metrics", summaries.kpi_metrics)
 _on_detail("state_ranking", lambda d: profile.state_ranking(summaries.geo_stats(d)))
 
+# --- files -------------------------------------------------------------------------------
+
+
+@query
+def export_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail table exported as CSV and read again with its declared types."""
+    path = stage_folder(spark, "export")
+    files.export_csv(detail(spark, sf_dir).select(*schemas.DETAIL.names), path)
+    return files.read_detail_csv(spark, path)
+
+
+def _csv_copy(feed: DataFrame, columns: Sequence[str], name: str) -> str:
+    path = stage_folder(feed.sparkSession, name)
+    files.export_csv(feed.select(*columns), path)
+    return path
+
+
+@query
+def csv_rejected_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected feed as a CSV extract: read by position, cleaned, written as a layer, read back."""
+    raw = files.read_rejected_csv(spark, _csv_copy(rejected_feed(spark, sf_dir), schemas.REJECTED_COLUMNS, "rejected-csv"))
+    path = stage_folder(spark, "rejected-layer")
+    files.write_layer(clean.clean_rejected(raw), path)
+    return files.read_layer(spark, path)
+
+
+@query
+def csv_accepted_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the accepted feed, read by name."""
+    raw = files.read_accepted_csv(
+        spark, _csv_copy(accepted_feed(spark, sf_dir), PROFILED_ACCEPTED, "accepted-csv"), PROFILED_ACCEPTED
+    )
+    path = stage_folder(spark, "accepted-layer")
+    files.write_layer(clean.clean_accepted(raw), path)
+    return files.read_layer(spark, path)
+
+
 # --- reporting marts ----------------------------------------------------------------------
 
 for _name, _mart in reporting_marts().items():
@@ -157,13 +196,18 @@ def publish_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.conform(summary, "geo_lookup")
 
 
+@query
+def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared columns of a published table, lengths and precision included."""
+    return profile.schema_report(publish_conform(spark, sf_dir))
+
+
 @query
 def mart_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every published table, from feeds cleaned and staged once."""
-    inputs, rows = report_inputs(spark, sf_dir, staged=True), staged_detail(spark, sf_dir)
-    built = {name: mart.build(inputs) for name, mart in reporting_marts().items()}
-    built |= {name: mart.build(rows) for name, mart in lookup_marts().items()}
-    return profile.row_counts(built)
+    """Rows of every published table, counted in the files that were published."""
+    folder = stage_folder(spark, "published")
+    paths = warehouse.build_marts(*feeds(spark, sf_dir), folder) | warehouse.build_lookups(staged_detail(spark, sf_dir), folder)
+    return profile.row_counts({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
 # --- profiling ----------------------------------------------------------------------------
@@ -200,14 +244,19 @@ _on_feeds(
         {s: "_".join("".join(ch if ch.isalnum() else " " for ch in s.lower()).split()) for s in rules.RAW_STATUSES},
     ),
 )
-_on_feeds("quality_flags", lambda rej, acc: profile.quality_flags(rej))
+_on_feeds("quality_flags", profile.quality_flags)
+
+
+def _deduped(feed: DataFrame, src: str, columns: Sequence[str]) -> DataFrame:
+    """A feed with a seventh of its rows delivered twice, without the copies: rows equal in every column."""
+    twice = feed.unionByName(feed.where("app_id % 7 = 0"))
+    once = clean.dedupe(twice, keys=["app_id", *columns], order=[])
+    return once.selectExpr(f"'{src}' AS src", f"concat_ws('|', {', '.join(columns)}) AS row_key", "app_id", "n_copies")
+
+
 _on_feeds(
     "dedupe",
-    lambda rej, acc: clean.dedupe(
-        rej.select("zip_code", "state", "loan_title", "application_date", "app_id", "loan_amnt_raw"),
-        keys=["zip_code", "state", "loan_title"],
-        order=["application_date", "app_id"],
-    ),
+    lambda rej, acc: _deduped(rej, "rejected", PROFILED_REJECTED).unionByName(_deduped(acc, "accepted", PROFILED_ACCEPTED)),
 )
 
 
@@ -341,6 +390,32 @@ def auc_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.auc_rank(scored_applications(spark, sf_dir))
 
 
+# --- feature stages and importances -----------------------------------------------------------
+
+
+@query
+def feature_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indices, one-hot slots, alphabetical codes and filled numbers of all rows, fitted on the training part."""
+    split = stage(sampling.split_hash(detail(spark, sf_dir), "app_id"), "split")
+    train = split.where("split = 'train'")
+    one_hot = models.one_hot_features(models.RAW_ONLY).fit(train)
+    ordinal = models.ordinal_features(models.FeatureSet(("purpose",), ("dti",))).fit(train).transform(split)
+    slots = one_hot.transform(split).withColumns({"_purpose": vector_to_array("purpose_vec"), "_all": vector_to_array("features")})
+    return slots.selectExpr(
+        "app_id",
+        *(f"CAST({c}_idx AS int) AS {c}_idx" for c in models.RAW_ONLY.categorical),
+        "CAST(array_position(_purpose, 1.0D) AS int) - 1 AS purpose_slot",
+        "element_at(_all, -3) AS loan_amnt", "element_at(_all, -2) AS emp_length", "element_at(_all, -1) AS dti",
+    ).join(ordinal.selectExpr("app_id", "CAST(purpose_code AS int) AS purpose_code"), "app_id")
+
+
+@query
+def importance_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranking and running sum, as for a model's importances, of the applications per purpose."""
+    counts = summaries.purpose_stats(detail(spark, sf_dir))
+    return models.rank_importance(counts.selectExpr("purpose AS feature", "CAST(total_cnt AS double) AS importance"), 10)
+
+
 # --- models (no SQL form: iterative) -----------------------------------------------------------
 
 
@@ -351,6 +426,36 @@ def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("app_id", *schemas.FEATURES.names)
 
 
+@query
+def model_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw-only models of a planted signal, missing numbers included: what must hold of every fit.
+
+    A label is 1 where dti is below 20, a tenth of them flipped by key.
+    """
+    low = "CAST(coalesce(dti, 0) < 20 AS int)"
+    planted = detail(spark, sf_dir).withColumn("label", F.expr(f"CASE WHEN app_id % 10 = 0 THEN 1 - {low} ELSE {low} END"))
+    split = stage(sampling.split_hash(planted, "app_id"), "split")
+    train, test = (split.where(f"split = '{part}'").drop("split") for part in ("train", "test"))
+    fitted = models.fit_all(train, models.one_hot_features(models.RAW_ONLY), models.standard_classifiers())
+    folder = stage_folder(spark, "models")
+    n_train, n_test = train.count(), test.count()
+    rows = []
+    for name, model in fitted.items():
+        loaded = models.load_model(models.save_model(model, folder))
+        scored = stage(model.score(test).select("app_id", "label", "prob_1"), f"scored-{name}")
+        again = loaded.score(test).selectExpr("app_id AS again_id", "prob_1 AS again")
+        same = scored.join(again, F.expr("app_id = again_id AND prob_1 = again"), "left_semi")
+        explain = models.linear_importance if name == "LogisticRegression" else models.tree_importance
+        top = [r["feature"] for r in explain(spark, loaded).collect()]
+        rows.append(
+            evaluate.auc_rank(scored).selectExpr(f"'{name}' AS model", "auc_roc > 0.6 AS auc_ok")
+            .withColumn("same_rows", same.agg(F.count("*")).scalar())
+            .withColumn("n_slots", F.lit(len(loaded.feature_names)))
+            .withColumn("explained", F.lit(bool(top) and set(top) <= set(loaded.feature_names)))
+        )
+    return reduce(DataFrame.unionByName, rows).selectExpr("*", f"{n_train}L AS train_rows", f"{n_test}L AS test_rows")
+
+
 @query
 def model_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undersample, split, fit the three classifiers, compare on the test part."""

@@ -7,11 +7,9 @@ CSV extract, and ``app_id`` identifies the application.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from creditmart import rules
 from creditmart.functions import array_of
@@ -40,15 +38,9 @@ FEED_TITLES: tuple[str | None, ...] = (
 FEED_HOME: tuple[str, ...] = ("MORTGAGE", "RENT", "OWN", "ANY", "OTHER", "NONE")
 
 
-@cache
-def _schema_of(application_id: str, path: str) -> T.StructType:
-    return SparkSession.active().read.parquet(path).schema
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table. Its schema is looked up once per application, not once per query."""
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema_of(spark.sparkContext.applicationId, path)).parquet(path)
+    """A supplied table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(values: Iterable[str | None], position: str) -> str:

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,26 +92,12 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     return observed.get["rows"]
 
 
-# Beyond this many rows an export stays a folder of parts: one file means one task.
-SINGLE_FILE_ROWS = 1_000_000
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
+    """Headered CSV export, a folder of parts; returns its row count, observed while writing.
 
-
-def export_csv(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> bool:
-    """Headered CSV export; returns whether it is a single file.
-
-    The size check is a plain count: one partial row per task, where a ``limit`` of many
-    rows would gather that many from every task.
+    ``single_file`` is the caller's choice, whatever the size: one file means one task.
     """
-    small = df.count() <= single_file_rows
-    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).csv(path)
-    return small
-
-
-@contextmanager
-def cached(df: DataFrame):
-    """Hold a DataFrame in memory and on disk for the length of a ``with`` block."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
+    observed = Observation()
+    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
+    (counted.coalesce(1) if single_file else counted).write.mode("overwrite").option("header", True).csv(path)
+    return observed.get["rows"]

@@ -50,6 +50,9 @@ def _summaries() -> dict[str, str]:
         "dwd_rejected_clean": with_ctes("dwd_rej") + "SELECT * FROM dwd_rej",
         "dwd_accepted_clean": with_ctes("dwd_acc") + "SELECT * FROM dwd_acc",
         "dwd_combined": d + "SELECT * FROM dwd",
+        "export_csv_round_trip": d + "SELECT * EXCLUDE (app_id) FROM dwd",
+        "csv_rejected_clean": with_ctes("dwd_rej") + "SELECT * EXCLUDE (app_id) FROM dwd_rej",
+        "csv_accepted_clean": with_ctes("dwd_acc") + "SELECT * EXCLUDE (app_id) FROM dwd_acc",
         "dws_geo": d + geo,
         "publish_conform": d + geo,
         "dws_purpose": d
@@ -211,6 +214,10 @@ ACC_NUMBERS = """SELECT 'accepted' AS src, 'amount' AS field, TRY_CAST(loan_amnt
 INCOME_NUMBERS = " UNION ALL SELECT 'accepted', 'annual_inc', TRY_CAST(annual_inc AS DOUBLE) FROM acc"
 
 
+def _row_key(columns: tuple[str, ...]) -> str:
+    return f"concat_ws('|', {', '.join(columns)})"
+
+
 def _profiles() -> dict[str, str]:
     rej, acc, both = with_ctes("rej"), with_ctes("acc"), with_ctes("rej", "acc")
     share = rnd("cnt * 100.0::DOUBLE / sum(cnt) OVER ()", 2)
@@ -240,7 +247,7 @@ def _profiles() -> dict[str, str]:
       UNION ALL SELECT 'rejected', 'credit_score', {plain('risk_score')} FROM rej
       UNION ALL SELECT 'accepted', 'amount', TRY_CAST(loan_amnt AS DOUBLE) FROM acc
       UNION ALL SELECT 'accepted', 'dti', TRY_CAST(dti AS DOUBLE) FROM acc
-      UNION ALL SELECT 'accepted', 'credit_score', {plain('fico_range_low')} FROM acc"""
+      UNION ALL SELECT 'accepted', 'credit_score', CASE WHEN regexp_matches(fico_range_low, '^[0-9]+$') THEN TRY_CAST(fico_range_low AS DOUBLE) END FROM acc"""
     categories = ("loan_status", "grade", "sub_grade", "term", "home_ownership", "issue_d", "purpose")
     category_rows = " UNION ALL ".join(f"SELECT '{c}' AS field, {c} AS value FROM acc" for c in categories)
     numbers = ("int_rate", "loan_amnt", "annual_inc", "dti", "fico_range_low")
@@ -310,23 +317,29 @@ def _profiles() -> dict[str, str]:
             f"CAST(count(*) FILTER (loan_status = '{s}') AS BIGINT) AS \"{name}\"" for s, name in statuses.items()
         )
         + " FROM acc GROUP BY grade",
-        "quality_flags": rej
+        "quality_flags": both
         + f"""SELECT *, CAST(round(CAST((CAST(amount_ok AS INTEGER) + CAST(date_ok AS INTEGER)
             + CAST(dti_ok AS INTEGER) + CAST(score_ok AS INTEGER) + CAST(state_ok AS INTEGER)
             + CAST(employment_ok AS INTEGER)) / 6.0::DOUBLE AS DECIMAL(38,10)), 4) AS DOUBLE) AS quality_score
-          FROM (SELECT app_id, coalesce(TRY_CAST(loan_amnt_raw AS DOUBLE) > 0, false) AS amount_ok,
+          FROM (SELECT 'rejected' AS src, app_id, coalesce(TRY_CAST(loan_amnt_raw AS DOUBLE) > 0, false) AS amount_ok,
             TRY_STRPTIME(application_date, '%Y-%m-%d') IS NOT NULL AS date_ok,
             coalesce(TRY_CAST(replace(dti_raw, '%', '') AS DOUBLE) BETWEEN 0 AND 200, false) AS dti_ok,
             TRY_CAST(risk_score AS DOUBLE) IS NOT NULL AS score_ok,
             coalesce(state IN ({STATES}), false) AS state_ok,
             coalesce(employment_length IN ('< 1 year','1 year','2 years','3 years','4 years','5 years','6 years',
               '7 years','8 years','9 years','10+ years'), false) AS employment_ok
-            FROM rej)""",
-        "dedupe": rej
-        + f"""SELECT zip_code, state, loan_title, application_date, app_id, loan_amnt_raw, n_copies FROM (
-          SELECT *, CAST(count(*) OVER (PARTITION BY zip_code, state, loan_title) AS BIGINT) AS n_copies,
-          row_number() OVER (PARTITION BY zip_code, state, loan_title ORDER BY application_date, app_id) AS pos
-          FROM rej) WHERE pos = 1""",
+            FROM rej
+            UNION ALL SELECT 'accepted', app_id, coalesce(TRY_CAST(loan_amnt AS DOUBLE) > 0, false),
+            TRY_STRPTIME(issue_d, '%b-%Y') IS NOT NULL,
+            coalesce(TRY_CAST(dti AS DOUBLE) BETWEEN 0 AND 200, false), TRY_CAST(fico_range_low AS DOUBLE) IS NOT NULL,
+            coalesce(addr_state IN ({STATES}), false),
+            coalesce(emp_length IN ('< 1 year','1 year','2 years','3 years','4 years','5 years','6 years',
+              '7 years','8 years','9 years','10+ years'), false) FROM acc)""",
+        "dedupe": both
+        + f"""SELECT * FROM (SELECT 'rejected' AS src, {_row_key(REJECTED_PROFILE)} AS row_key, app_id, {N} AS n_copies
+          FROM (SELECT * FROM rej UNION ALL SELECT * FROM rej WHERE app_id % 7 = 0) GROUP BY ALL
+          UNION ALL SELECT 'accepted', {_row_key(ACCEPTED_PROFILE)}, app_id, {N}
+          FROM (SELECT * FROM acc UNION ALL SELECT * FROM acc WHERE app_id % 7 = 0) GROUP BY ALL)""",
         "quantiles_by_label": with_ctes("dwd", extra={"nums": label_numbers})
         + f"SELECT label, field, {quartiles} FROM nums GROUP BY label, field",
         "quantiles_by_feed": with_ctes("rej", "acc", extra={"nums": f"{REJ_NUMBERS} UNION ALL {ACC_NUMBERS}"})
@@ -495,5 +508,43 @@ def _evaluation() -> dict[str, str]:
     }
 
 
+def _models() -> dict[str, str]:
+    split = f"""SELECT *, CASE WHEN {_hash('42')} % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM dwd"""
+    train = "SELECT * FROM split WHERE split = 'train'"
+    index = ", ".join(
+        f"{c}_rank AS (SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS INTEGER) AS {c}_idx FROM train GROUP BY {c})"
+        for c in ("purpose", "addr_state", "zip_code")
+    )
+    seen = {c: f"CAST((SELECT count(*) FROM {c}_rank) AS INTEGER)" for c in ("purpose", "addr_state", "zip_code")}
+    indices = ", ".join(f"coalesce({c}_idx, {n}) AS {c}_idx" for c, n in seen.items())
+    return {
+        "feature_stages": with_ctes("dwd", extra={"split": split, "train": train})
+        + f""", {index}, codes AS (SELECT purpose, CAST(row_number() OVER (ORDER BY purpose) - 1 AS INTEGER) AS code
+            FROM (SELECT DISTINCT purpose FROM train))
+          SELECT app_id, {indices}, coalesce(purpose_idx, {seen['purpose']}) AS purpose_slot,
+          coalesce(code, {seen['purpose']}) AS purpose_code, loan_amnt, coalesce(emp_length, 0) AS emp_length, coalesce(dti, 0) AS dti
+          FROM split LEFT JOIN purpose_rank USING (purpose) LEFT JOIN addr_state_rank USING (addr_state)
+          LEFT JOIN zip_code_rank USING (zip_code) LEFT JOIN codes USING (purpose)""",
+        "importance_ranking": with_ctes("dwd")
+        + """SELECT feature, importance, CAST(rank AS INTEGER) AS rank, cumulative FROM (
+          SELECT purpose AS feature, CAST(count(*) AS DOUBLE) AS importance,
+          row_number() OVER (ORDER BY count(*) DESC, purpose) AS rank,
+          CAST(sum(count(*)) OVER (ORDER BY count(*) DESC, purpose ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cumulative
+          FROM dwd GROUP BY purpose) WHERE rank <= 10""",
+        "model_contract": with_ctes("dwd", extra={"split": split, "train": train})
+        + """SELECT model, true AS auc_ok, (SELECT count(*) FROM split WHERE split = 'test') AS same_rows,
+          (SELECT CAST(count(DISTINCT purpose) + count(DISTINCT addr_state) + count(DISTINCT zip_code) + 6 AS INTEGER) FROM train) AS n_slots,
+          true AS explained, (SELECT count(*) FROM train) AS train_rows, (SELECT count(*) FROM split WHERE split = 'test') AS test_rows
+          FROM (VALUES ('LogisticRegression'), ('RandomForest'), ('GBT')) AS m(model)""",
+        "schema_report": """SELECT * FROM (VALUES
+          (1, 'addr_state', 'string', true, 5, NULL::INTEGER), (2, 'total_cnt', 'bigint', false, NULL, 19),
+          (3, 'approved_cnt', 'bigint', false, NULL, 19), (4, 'rejected_cnt', 'bigint', false, NULL, 19),
+          (5, 'approval_rate', 'double', true, NULL, 15), (6, 'avg_loan_amnt', 'double', true, NULL, 15),
+          (7, 'avg_dti', 'double', true, NULL, 15), (8, 'avg_emp_length', 'double', true, NULL, 15),
+          (9, 'std_loan_amnt', 'double', true, NULL, 15)) AS t(
+          position, column_name, data_type, is_nullable, max_length, numeric_precision)""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return _summaries() | _marts() | _profiles() | _features_and_samples() | _evaluation()
+    return _summaries() | _marts() | _profiles() | _features_and_samples() | _evaluation() | _models()

@@ -7,10 +7,12 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import MEDIUM, SMALL
+from creditmart.plans import catalog
+from oracle import statements
 
 TABLES = ("orders", "customer", "documents")
-ORACLES = contract.oracle_sql()
-QUERIES = contract.queries()
+ORACLES = statements.oracle_sql()
+QUERIES = catalog.queries()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -28,6 +30,7 @@ def _sorted(rows):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(contract.oracle_sql()) and set(QUERIES) <= set(contract.queries())
     assert set(QUERIES) - set(ORACLES) == {"model_leaderboard", "tree_importance"}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+from pathlib import Path
 
 import pytest
 
@@ -11,7 +12,7 @@ from creditmart.operators import clean, summaries
 from creditmart.plans import catalog, warehouse
 from creditmart.sources import files, publish
 from creditmart.sources.feeds import accepted_feed, rejected_feed
-from creditmart.sources.stage import clear_stage, stage, stage_root
+from creditmart.sources.stage import clear_stage, stage, stage_root, staging
 
 HEADER = "Amount Requested,Application Date,Loan Title,Risk_Score,Debt-To-Income Ratio,Zip Code,State,Employment Length,Policy Code"
 DIRTY = [
@@ -66,13 +67,13 @@ def test_write_layer_counts_while_writing_and_overwrites(spark, tmp_path):
     assert files.read_layer(spark, path).count() == 3
 
 
-def test_export_is_one_file_only_when_small(spark, tmp_path):
+def test_export_is_one_file_only_when_asked(spark, tmp_path):
     def parts(p):
         return len(list(p.glob("part-*.csv")))
 
     df = spark.range(100).repartition(4)
-    assert files.export_csv(df, str(tmp_path / "a"), single_file_rows=100) is True
-    assert files.export_csv(df, str(tmp_path / "b"), single_file_rows=99) is False
+    assert files.export_csv(df, str(tmp_path / "a"), single_file=True) == 100
+    assert files.export_csv(df, str(tmp_path / "b")) == 100
     assert parts(tmp_path / "a") == 1 and parts(tmp_path / "b") == 4
 
 
@@ -83,11 +84,13 @@ def test_jdbc_options():
     assert (ranged["partitionColumn"], ranged["numPartitions"]) == ("id", "8")
 
 
-def test_cached_releases(spark):
-    df = spark.range(5)
-    with files.cached(df) as held:
-        assert held.is_cached
-    assert not df.is_cached
+def test_staging_shares_equal_plans_and_removes_them(spark):
+    with staging(spark):
+        a, b, c = (stage(spark.range(n), "shared") for n in (5, 5, 6))
+        assert a is b and c is not a and a.count() == 5
+        folder = Path(a.inputFiles()[0].removeprefix("file://")).parent
+        assert folder.exists()
+    assert not folder.exists()
 
 
 def test_stage_uses_the_named_folder_and_is_cleared(spark):
