@@ -46,18 +46,39 @@ def _for_join(table: RateTable, rates: DataFrame) -> DataFrame:
     return F.broadcast(rates) if table.bounded else stage(rates, f"rates-{table.key}")
 
 
+def rates_from_history(history: DataFrame) -> dict[str, DataFrame]:
+    """The rate tables by key, computed from labelled rows."""
+    return {
+        table.key: history.groupBy(table.key).agg(
+            *exprs([f"{m.RATE} AS {table.rate}", *(f"{text} AS {name}" for name, text in table.others)])
+        )
+        for table in RATE_TABLES
+    }
+
+
+def rates_from_summaries(geo: DataFrame, purpose: DataFrame, zips: DataFrame) -> dict[str, DataFrame]:
+    """The rate tables by key, read off written summaries or published lookups: nothing is aggregated again."""
+    return {
+        "addr_state": geo.selectExpr("addr_state", "approval_rate AS state_approval_rate", "avg_dti AS state_avg_dti"),
+        "purpose": purpose.selectExpr("purpose", "approval_rate AS purpose_approval_rate", "avg_loan_amnt AS purpose_avg_loan_amnt"),
+        "zip_code": zips.selectExpr("zip_code", "approval_rate AS zip_approval_rate"),
+    }
+
+
+def join_rates(rows: DataFrame, rates: dict[str, DataFrame]) -> DataFrame:
+    """Left-join rate tables and fill gaps. A key without a rate, or NULL, takes the default."""
+    for table in RATE_TABLES:
+        rows = rows.join(_for_join(table, rates[table.key]), on=table.key, how="left")
+    return rows.fillna(rules.FEATURE_DEFAULTS)
+
+
 def attach_rates(rows: DataFrame, history: DataFrame) -> DataFrame:
-    """Left-join the rate features computed from ``history`` onto ``rows`` and fill gaps.
+    """Join the rate features computed from ``history`` onto ``rows``.
 
-    A key never seen in ``history``, or NULL, finds no rate and takes the default. With
-    ``history`` the same as ``rows`` this is plain target encoding (labels leak into the
+    With ``history`` the same as ``rows`` this is plain target encoding (labels leak into the
     features); with a training part it is the leak-safe lookup for scoring new rows.
     """
-    for table in RATE_TABLES:
-        features = [f"{m.RATE} AS {table.rate}", *(f"{text} AS {name}" for name, text in table.others)]
-        rates = history.groupBy(table.key).agg(*exprs(features))
-        rows = rows.join(_for_join(table, rates), on=table.key, how="left")
-    return rows.fillna(rules.FEATURE_DEFAULTS)
+    return join_rates(rows, rates_from_history(history))
 
 
 def model_input(detail: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

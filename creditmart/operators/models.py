@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from creditmart import rules
 from creditmart.operators import evaluate as ev
 from creditmart.operators.features import check_no_leakage
-from creditmart.sources.stage import stage
+from creditmart.sources.stage import stage, stage_folder
 
 SEED = 42
 
@@ -193,6 +193,16 @@ class Fitted:
         )
 
 
+def _without_summary(model: Model) -> Model:
+    """The model as saved and loaded: a training summary holds the session, which cannot be sent
+    to tasks once anything in it has been observed."""
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = stage_folder(SparkSession.active(), "fitted")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def fit_all(train: DataFrame, features: Pipeline, classifiers: dict[str, Estimator]) -> dict[str, Fitted]:
     """Fit the feature stages once and every classifier on the same assembled vectors.
 
@@ -206,7 +216,7 @@ def fit_all(train: DataFrame, features: Pipeline, classifiers: dict[str, Estimat
     vectors.persist()
     try:
         return {
-            name: Fitted(name, PipelineModel([*feature_model.stages, clf.fit(vectors)]), names)
+            name: Fitted(name, PipelineModel([*feature_model.stages, _without_summary(clf.fit(vectors))]), names)
             for name, clf in classifiers.items()
         }
     finally:

@@ -321,10 +321,13 @@ def oof_target_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows with the rates of the training rows, as new rows would be scored."""
+    """Test rows with the rates of lookups published from the training rows, as new rows are scored."""
     split = stage(sampling.split_hash(detail(spark, sf_dir), "app_id"), "split")
     train, test = split.where("split = 'train'"), split.where("split = 'test'").drop("split")
-    return features.attach_rates(test, train).select("app_id", *schemas.FEATURES.names)
+    folder = stage_folder(spark, "lookups")
+    warehouse.build_lookups(train, folder)
+    rates = warehouse.read_rates(spark, folder, warehouse.LOOKUP_TABLES)
+    return features.join_rates(test, rates).select("app_id", *schemas.FEATURES.names)
 
 
 # --- sampling -------------------------------------------------------------------------------
@@ -420,10 +423,7 @@ def importance_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leak-safe feature rows: rates out of the training part only, all rows attached."""
-    split = sampling.split_hash(staged_detail(spark, sf_dir), "app_id")
-    rated = features.attach_rates(split, split.where("split = 'train'"))
-    return rated.select("app_id", *schemas.FEATURES.names)
+    return training.leak_safe_rows(staged_detail(spark, sf_dir), "app_id")
 
 
 @query

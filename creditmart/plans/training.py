@@ -5,9 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.base import Estimator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.operators import models, sampling
+from creditmart import schemas
+from creditmart.operators import clean, features as rate_features, models, sampling
+from creditmart.plans import warehouse
+from creditmart.sources import files
 from creditmart.sources.stage import stage
 
 
@@ -19,6 +22,29 @@ class TrainingRun:
     leaderboard: DataFrame
 
 
+def leak_safe_rows(detail: DataFrame, key: str) -> DataFrame:
+    """Feature rows of staged detail: rates out of the training part only, attached to all rows."""
+    split = sampling.split_hash(detail, key)
+    rated = rate_features.attach_rates(split, split.where("split = 'train'"))
+    return rated.select(key, *schemas.FEATURES.names)
+
+
+def train_from_files(spark: SparkSession, rejected_csv: str, accepted_csv: str, save_to: str, **options) -> TrainingRun:
+    """From the two extracts to saved models. ``options`` go to ``train_and_compare`` (and ``columns`` to the reader)."""
+    columns = options.pop("columns", schemas.ACCEPTED_COLUMNS)
+    rejected = files.with_row_key(files.read_rejected_csv(spark, rejected_csv), "r-")
+    accepted = files.with_row_key(files.read_accepted_csv(spark, accepted_csv, columns), "a-")
+    key = "row_key"
+    detail = stage(clean.combine(clean.clean_rejected(rejected, carry=[key]), clean.clean_accepted(accepted, carry=[key])), "detail")
+    return train_and_compare(leak_safe_rows(detail, key), key, save_to=save_to, **options)
+
+
+def score_new(rows: DataFrame, lookup_folder: str, model_path: str) -> DataFrame:
+    """Cleaned rows without labels, scored by a saved model with the published lookups."""
+    rates = warehouse.read_rates(rows.sparkSession, lookup_folder, warehouse.LOOKUP_TABLES)
+    return models.load_model(model_path).score(rate_features.join_rates(rows, rates))
+
+
 def train_and_compare(
     model_input: DataFrame,
     key: str,

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from creditmart import schemas
 from creditmart.operators import clean, features, marts, summaries
 from creditmart.sources import files, publish
 from creditmart.sources.stage import stage
@@ -84,11 +85,17 @@ def lookup_marts() -> dict[str, Mart]:
 
 
 def build_detail(raw_rejected: DataFrame, raw_accepted: DataFrame, folder: str) -> dict[str, int]:
-    """Write the detail layer; returns rows per table. The union reads the written parts."""
+    """Write the detail layer; returns rows per table. The union reads the written parts.
+
+    Feeds without an ``app_id`` get a ``row_key``, so every later table has a key.
+    """
     spark = raw_rejected.sparkSession
+    if "app_id" not in raw_rejected.columns:
+        raw_rejected, raw_accepted = files.with_row_key(raw_rejected, "r-"), files.with_row_key(raw_accepted, "a-")
+    key = [next(c for c in ("app_id", "row_key") if c in raw_rejected.columns)]
     counts = {
-        "rejected_clean": files.write_layer(clean.clean_rejected(raw_rejected), f"{folder}/rejected_clean"),
-        "accepted_clean": files.write_layer(clean.clean_accepted(raw_accepted), f"{folder}/accepted_clean"),
+        "rejected_clean": files.write_layer(clean.clean_rejected(raw_rejected, carry=key), f"{folder}/rejected_clean"),
+        "accepted_clean": files.write_layer(clean.clean_accepted(raw_accepted, carry=key), f"{folder}/accepted_clean"),
     }
     parts = [files.read_layer(spark, f"{folder}/{name}") for name in counts]
     counts["combined"] = files.write_layer(clean.combine(*parts), f"{folder}/combined")
@@ -108,8 +115,20 @@ def build_summaries(detail: DataFrame, folder: str) -> dict[str, int]:
     }
 
 
-def build_features(detail: DataFrame, folder: str) -> int:
-    return files.write_layer(features.model_input(detail), f"{folder}/model_input")
+def read_rates(spark: SparkSession, folder: str, names: tuple[str, str, str]) -> dict[str, DataFrame]:
+    """Rate tables from written state, purpose and zip tables."""
+    return features.rates_from_summaries(*(files.read_layer(spark, f"{folder}/{name}") for name in names))
+
+
+SUMMARY_TABLES = ("geo_stats", "purpose_stats", "zip_stats")
+LOOKUP_TABLES = ("geo_lookup", "purpose_lookup", "zip_lookup")
+
+
+def build_features(detail: DataFrame, summary_folder: str, folder: str) -> int:
+    """The feature table: detail rows joined with the written summaries. A row key of the detail is carried along."""
+    rated = features.join_rates(detail, read_rates(detail.sparkSession, summary_folder, SUMMARY_TABLES))
+    key = [c for c in ("row_key", "app_id") if c in detail.columns]
+    return files.write_layer(rated.select(*key, *schemas.FEATURES.names), f"{folder}/model_input")
 
 
 def build_marts(raw_rejected: DataFrame, raw_accepted: DataFrame, folder: str) -> dict[str, str]:
@@ -128,13 +147,22 @@ def build_lookups(detail: DataFrame, folder: str) -> dict[str, str]:
     }
 
 
+def publish_lookups(spark: SparkSession, summary_folder: str, folder: str) -> dict[str, str]:
+    """The lookups from summaries that are already written."""
+    orders = (mart.order_by for mart in lookup_marts().values())
+    return {
+        name: publish.publish_parquet(files.read_layer(spark, f"{summary_folder}/{summary}"), name, folder, order)
+        for name, summary, order in zip(LOOKUP_TABLES, SUMMARY_TABLES, orders, strict=True)
+    }
+
+
 def build_warehouse(raw_rejected: DataFrame, raw_accepted: DataFrame, folder: str) -> dict[str, int]:
     """All layers in order under ``folder``; returns the row counts of the written tables."""
     spark: SparkSession = raw_rejected.sparkSession
     counts = build_detail(raw_rejected, raw_accepted, f"{folder}/detail")
     detail = files.read_layer(spark, f"{folder}/detail/combined")
     counts |= build_summaries(detail, f"{folder}/summary")
-    counts["model_input"] = build_features(detail, f"{folder}/features")
+    counts["model_input"] = build_features(detail, f"{folder}/summary", f"{folder}/features")
     build_marts(raw_rejected, raw_accepted, f"{folder}/marts")
-    build_lookups(detail, f"{folder}/marts")
+    publish_lookups(spark, f"{folder}/summary", f"{folder}/marts")
     return counts

@@ -45,6 +45,18 @@ def read_detail_csv(spark: SparkSession, path: str, schema: T.StructType = schem
     return df.repartition(spark.sparkContext.defaultParallelism) if path.endswith(".gz") else df
 
 
+def with_row_key(df: DataFrame, prefix: str = "", name: str = "row_key") -> DataFrame:
+    """The rows with a stable key: a digest of all columns, and a number that tells full copies apart.
+
+    Copies are counted and dealt out again, so a row delivered very often costs one row per task.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    text = F.to_json(F.struct(*(c.cast("string").alias(f"c{i}") for i, c in enumerate(columns))))
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    numbered = counted.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
+    return numbered.select(F.concat(F.lit(prefix), F.sha2(text, 256), F.lit("-"), F.col("_copy")).alias(name), *columns)
+
+
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
