@@ -168,7 +168,7 @@ POST_APPROVAL_COLUMNS: tuple[str, ...] = (
 # --- fixed values: scoring thresholds reported ------------------------------------
 REPORT_THRESHOLDS: tuple[float, ...] = (0.3, 0.4, 0.5, 0.6, 0.7)
 
-# Share of missing values above which a column is flagged, in percent.
+# Share of missing values above which a column is flagged, in percent.
 MISSING_ALARM_PCT = 5.0
-# Upper ends of the missing-rate bands, in percent.
+# Upper ends of the missing-rate bands, in percent.
 MISSING_BANDS = (5.0, 50.0)

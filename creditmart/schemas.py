@@ -118,7 +118,3 @@ TEXT_LENGTHS: dict[str, int] = {
     "grade": 5, "loan_status": 30, "income_bucket": 15, "home_ownership": 20, "score_bucket": 10,
     "term": 20, "state_code": 5, "state_name": 50, "addr_state": 5, "zip_code": 5,
 }
-
-
-def all_text(columns: tuple[str, ...]) -> T.StructType:
-    return struct(**dict.fromkeys(columns, "string"))

@@ -1,4 +1,4 @@
-"""Common table expressions the oracle queries start from."""
+"""Common table expressions the oracle queries start from; the lists are fixed values, as in ``rules``."""
 
 from __future__ import annotations
 
