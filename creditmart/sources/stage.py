@@ -21,6 +21,7 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 _runs: list[dict] = []
+_tables: list[str] = []
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -63,6 +64,7 @@ def stage_table(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
     spark = df.sparkSession
     writer = df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, key)
     writer.option("path", stage_folder(spark, name)).saveAsTable(name)
+    _tables.append(name)
     return spark.table(name)
 
 
@@ -89,4 +91,6 @@ def staging(spark: SparkSession) -> Iterator[None]:
 
 def clear_stage(spark: SparkSession) -> bool:
     """Remove this application's staged tables; call it after the last action."""
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     return _delete(spark, _application_folder(spark))
