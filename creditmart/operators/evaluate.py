@@ -117,11 +117,16 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float] = rules.REPOR
 # Scores are ranked in 2**16 bins, each cut into 2**16 cells: resolution 2**-32.
 _BIN_BITS = 16
 _CELLS = 2 ** (2 * _BIN_BITS)
+# Cells grow with the distance from 0 and from 1, below, between and beyond them: rare-event probabilities,
+# near-certain ones and raw margins all spread. The place is -1..0 below 0, 0..2 inside, 2..3 above 1.
+_NEAR, _FAR = "ln(1 + {} * pow(2, 60)) / ln(1 + pow(2, 59))", "ln(1 + {} * pow(2, 60)) / 760"
+_SCORE_PLACE = (
+    f"CASE WHEN isnan(prob_1) THEN 3.0D WHEN prob_1 < 0 THEN -{_FAR.format('(-prob_1)')} WHEN prob_1 <= 0.5D THEN {_NEAR.format('prob_1')} "
+    f"WHEN prob_1 <= 1 THEN 2 - {_NEAR.format('(1 - prob_1)')} ELSE 2 + least({_FAR.format('(prob_1 - 1)')}, 1.0D) END"
+)
 # Never NULL by form, so that no join adds a filter to one reader of the score counts only
 # and all of them share one shuffle.
-_SCORE_CELL = (
-    f"coalesce(CAST(least(floor(greatest(least(prob_1, 1.0D), 0.0D) * {_CELLS}.0D), {_CELLS - 1}) AS bigint), 0L)"
-)
+_SCORE_CELL = f"coalesce(CAST(greatest(least(floor((({_SCORE_PLACE}) + 1) / 4 * {_CELLS}.0D), {_CELLS - 1}), 0) AS bigint), 0L)"
 
 
 def score_counts_below(scored: DataFrame) -> DataFrame:
@@ -129,8 +134,7 @@ def score_counts_below(scored: DataFrame) -> DataFrame:
 
     A running sum over all distinct scores would be one task, so it is taken in three
     nested steps: over coarse bins, over fine bins inside a coarse bin, and over the
-    distinct scores inside a fine bin. The bins only need to follow the score order, so a
-    score outside [0, 1] costs balance, not correctness.
+    distinct scores inside a fine bin. The bins only need to follow the score order.
     """
     scores = (
         scored.where("prob_1 IS NOT NULL")

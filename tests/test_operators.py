@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import rows
+from pyspark.sql import functions as F
 from creditmart import rules
 from creditmart.functions import scalars as sc
 from creditmart.operators import clean, evaluate, features, marts, profile, quantiles, sampling, summaries
@@ -330,3 +331,14 @@ def test_bad_hash_slices_never_appear(spark):
     df = spark.range(1000).selectExpr(f"{sc.hash_slice(sc.keyed_hash('s', 'id'), 1, 3)} AS h")
     low, high = df.selectExpr("min(h)", "max(h)").first()
     assert 0 <= low < high < 4096
+
+
+def test_scores_of_any_scale_spread_over_cells(spark):
+    tiny = spark.range(50_000).selectExpr("1e-16D * (1 + id) AS prob_1", "CAST(id % 3 = 0 AS int) AS label")
+    sure = spark.range(50_000).selectExpr("1 - 1e-13D * (1 + id) AS prob_1", "0 AS label")
+    margins = spark.range(50_000).selectExpr("(id - 25000) * 1.5D AS prob_1", "1 AS label")
+    for scores in (tiny, sure, margins):
+        cells = scores.distinct().groupBy(F.expr(evaluate._SCORE_CELL)).count().agg(F.max("count")).first()[0]
+        assert cells <= 64
+    placed = tiny.unionByName(sure).unionByName(margins).selectExpr("prob_1", f"{evaluate._SCORE_CELL} AS cell").orderBy("prob_1").collect()
+    assert all(a.cell <= b.cell for a, b in zip(placed, placed[1:], strict=False))
