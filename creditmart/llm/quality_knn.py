@@ -125,8 +125,9 @@ def votes(rows: np.ndarray, model: Model) -> np.ndarray:
 
 
 def scores(texts: pd.Series, model: Model, terms: _Terms) -> np.ndarray:
-    parts = [np.stack([vector(t, terms) for t in texts.iloc[i : i + BLOCK]]) for i in range(0, len(texts), BLOCK)]
-    return np.concatenate([votes(p, model) for p in parts]) if parts else np.zeros(0)
+    starts = range(0, len(texts), BLOCK)
+    parts = [votes(np.stack([vector(t, terms) for t in texts.iloc[i : i + BLOCK]]), model) for i in starts]
+    return np.concatenate(parts) if parts else np.zeros(0)
 
 
 def quality(docs: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
