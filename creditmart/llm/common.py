@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +19,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once a session: they need not find it by path."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        archive = f"{tempfile.mkdtemp(prefix='creditmart-code-')}/{package.name}-code"
+        context.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+
+
 def whole_text(text: str) -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
