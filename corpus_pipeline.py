@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from creditmart.llm import exact_dedup, mixing, ngram_join, packing, quality_knn
-from creditmart.llm.common import read
+from creditmart.llm.common import read, ship
 from creditmart.sources.stage import stage
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest-neighbour classifier rejects go. It is fitted on the labelled documents among the input."""
+    ship(spark)
     return quality_knn.keep_good(docs, quality_knn.fit(docs, read(spark, sf_dir, "labels")))
 
 
@@ -26,6 +27,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the one with the smallest id stays."""
+    ship(spark)
     return ngram_join.drop_near_duplicates(docs)
 
 
@@ -36,6 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: one row per piece of a document."""
+    ship(spark)
     return packing.pack(docs)
 
 
