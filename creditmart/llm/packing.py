@@ -3,8 +3,10 @@
 1. Each document becomes token ids with an end id. Its full windows are sequences of their own; the
    rest, shorter than a window, is packed. Document frequencies of all tokens are counted over all
    documents on the way (one row per token of the vocabulary and task, then summed).
-2. Rests are dealt over shards of bounded size. A shard holds a BM25 inverted index of its rests, with the
-   corpus-wide document frequencies and mean length.
+2. Rests are dealt over shards of bounded size by what they say, over the whole corpus (``locality``):
+   lexical neighbours share a shard wherever in the table they come from. A shard holds a BM25 inverted
+   index of its rests, with the corpus-wide document frequencies and mean length. A neighbour beyond a
+   cell's border is still missed; README has the measured recall by size.
 3. In a shard, the longest unused rest is the seed of a window. The index returns its unused
    neighbours, best first; they fill the window in that order, and the one that does not fit is cut to
    fill it exactly, its remainder staying in the index. What a shard has left at the end, less than one
@@ -12,8 +14,9 @@
 
 Defined cases: null, empty and blank texts have the end id alone; repeated rows are packed each;
 extra columns are not read. An empty table gives an empty result. Ties in score and length go by the
-order of (doc_id, row). Memory in a task: one document's ids, or one shard (``shard_pieces``
-pieces). Only the document frequencies, bounded by the vocabulary, are collected and broadcast.
+order of (doc_id, row). Memory in a task: one document's ids, or one cell (about four shards of
+``shard_pieces`` pieces). Collected and broadcast: the document frequencies and a projection, bounded by
+the vocabulary, and the trees of ``locality``.
 """
 
 from __future__ import annotations
@@ -27,11 +30,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditmart.llm import locality
 from creditmart.llm.common import whole_text
 from creditmart.llm.token_units import SOLID, UnitCache, has_other_space, load, public_path, word_encoder
 from creditmart.sources.stage import stage
 
 PIECE = "row long, doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
+WHOLE = ["row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "rest"]
+CELL_SHARDS = 64  # ids of shards kept for each cell, which has about four
 
 
 @dataclass(frozen=True)
@@ -155,28 +161,31 @@ def pack_shard(rests: list[np.ndarray], idf: np.ndarray, mean_length: float, how
         yield pieces
 
 
-def shard_packer(how: Packing, shared, keep_ids: bool) -> Callable:
-    """For applyInPandas over the pieces of a shard: the pieces with their sequence and place."""
+def cell_packer(how: Packing, shared, keep_ids: bool) -> Callable:
+    """For applyInPandas over the pieces of a cell: the pieces with their sequence and place."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         idf, mean_length, narrow = shared.value
-        shard, number, out = int(key[0]) << 32, 0, []
+        first, number, out = int(key[0]) * CELL_SHARDS, 0, []
         group = group.sort_values(["length", "doc_id", "row", "start"], ascending=[False, True, True, True], na_position="last")
-        whole = group["length"] == how.window
-        for row, doc_id, start, length, code, tokens, rest in group[whole].drop(columns=["shard"]).itertuples(index=False, name=None):
-            out.append((row, doc_id, start, length, code, tokens, shard + number, 0, rest))
-            number += 1
-        cut = group[~whole]
-        rests = [np.frombuffer(r, dtype=narrow) for r in cut["rest"]]
-        keys = list(zip(cut["row"], cut["doc_id"], cut["start"], cut["length"], cut["ids_crc32"], cut["doc_tokens"], strict=True))
-        for pieces in pack_shard(rests, idf, mean_length, how) if rests else ():
-            offset = 0
-            for rest, a, b in pieces:
-                row, doc_id, start, length, code, tokens = keys[rest]
-                ids = rests[rest][a:b]
-                out.append((row, doc_id, start + a, b - a, code if b - a == length else crc(ids), tokens, shard + number, offset, ids.tobytes() if keep_ids else None))
-                offset += b - a
+        whole = (group["length"] == how.window).to_numpy()
+        for row, doc_id, start, length, code, tokens, rest in group.loc[whole, WHOLE].itertuples(index=False, name=None):
+            out.append((row, doc_id, start, length, code, tokens, (first << 32) + number, 0, rest))
             number += 1
+        near = group[~whole]
+        parts = locality.halves(locality.vectors(near["vec"]), how.shard_pieces) if len(near) else []
+        for shard, part in enumerate(parts, first):
+            cut, number = near.iloc[part], 0
+            rests = [np.frombuffer(r, dtype=narrow) for r in cut["rest"]]
+            keys = list(zip(cut["row"], cut["doc_id"], cut["start"], cut["length"], cut["ids_crc32"], cut["doc_tokens"], strict=True))
+            for pieces in pack_shard(rests, idf, mean_length, how):
+                offset = 0
+                for rest, a, b in pieces:
+                    row, doc_id, start, length, code, tokens = keys[rest]
+                    ids = rests[rest][a:b]
+                    out.append((row, doc_id, start + a, b - a, code if b - a == length else crc(ids), tokens, (shard << 32) + number, offset, ids.tobytes() if keep_ids else None))
+                    offset += b - a
+                number += 1
         names = [*(f.split()[0] for f in PIECE.split(", ")), "sequence_id", "offset", "ids"]
         found = pd.DataFrame(out, columns=names).astype({"doc_id": object, "ids": object})
         if keep_ids:
@@ -191,7 +200,7 @@ def pack(docs: DataFrame, how: Packing = Packing(), key: str = "doc_id", text: s
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").cast("string").alias("doc_id"), whole_text(text).alias("text"))
     found = stage(rows.mapInPandas(tokeniser(how, with_ids), f"{PIECE}, rest binary, token int"), "pack-pieces")
     pieces = found.filter("token < 0").drop("token")
-    size = pieces.agg(F.count("*").alias("pieces"), F.count_if(F.col("start") == 0).alias("docs"), F.sum("length").alias("tokens")).first()
+    size = pieces.agg(F.count("*").alias("pieces"), F.count_if(F.col("start") == 0).alias("docs"), F.count_if(F.col("length") < how.window).alias("rests"), F.sum("length").alias("tokens")).first()
     counts = found.filter("token >= 0").groupBy("token").agg(F.sum("doc_tokens").alias("n")).toPandas()
     vocabulary = int(counts["token"].max()) + 1 if len(counts) else 1
     df = np.full(vocabulary, size["docs"], dtype=np.float64)
@@ -200,9 +209,11 @@ def pack(docs: DataFrame, how: Packing = Packing(), key: str = "doc_id", text: s
     path = how.tokenizer if "/" in how.tokenizer else public_path(how.tokenizer)
     narrow = "<u2" if max(load(path).get_vocab_size(with_added_tokens=True), how.end_id + 1) <= 1 << 16 else "<u4"
     shared = docs.sparkSession.sparkContext.broadcast((idf, (size["tokens"] or 0) / max(1, size["docs"]), narrow))
-    shards = max(1, -(-size["pieces"] // how.shard_pieces))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "doc_tokens", "row"), F.lit(shards)))
+    rests, whole = pieces.filter(F.col("length") < how.window), pieces.filter(F.col("length") >= how.window)
+    placed, cells = locality.cells(rests, size["rests"], locality.Weights(idf, shared, how.k1, how.b), how.shard_pieces)
+    dealt = F.pmod(F.xxhash64("doc_id", "start", "doc_tokens", "row"), F.lit(1 + (size["pieces"] - size["rests"]) // (4 * how.shard_pieces)))
+    placed = placed.unionByName(whole.select("*", (F.lit(cells) + dealt).alias("cell"), F.lit(None).cast("binary").alias("vec")))
     schema = f"{PIECE}, sequence_id long, offset long" + (", ids array<int>" if with_ids else "")
-    packed = dealt.groupBy("shard").applyInPandas(shard_packer(how, shared, with_ids), schema)
+    packed = placed.groupBy("cell").applyInPandas(cell_packer(how, shared, with_ids), schema)
     kind = docs.schema[key].dataType
     return packed.select(F.col("doc_id").cast(kind).alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids)

@@ -17,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import cases  # noqa: E402
 from conftest import MEDIUM, SMALL  # noqa: E402
 
-from creditmart.llm import mixing, packing, quality_knn, queries, token_counts, token_units, toxicity, warc  # noqa: E402
+from creditmart.llm import locality, mixing, packing, quality_knn, queries, token_counts, token_units, toxicity, warc  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -195,6 +195,43 @@ def test_packing_joins_lexical_neighbours():
     assert np.allclose(scores, tf)
 
 
+def test_packing_finds_neighbours_across_the_corpus(spark):
+    """Planted pairs, dealt over the table at random, meet in a shard although there are many shards."""
+    pick = random.Random(11)
+    words = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "bdgklmnprst"]
+    rows = []
+    for i in range(400):
+        topic = pick.sample(words, 25)
+        for k in (0, 1):
+            rows.append((1000 * k + i, " ".join(topic[:22] + pick.sample(words, 3)), "a"))
+    pick.shuffle(rows)
+    for fan in (locality.FAN, 4):  # one tree, and trees below trees
+        before, locality.cells.__defaults__ = locality.cells.__defaults__, (fan,)
+        try:
+            found = packing.pack(cases.table(spark, rows), packing.Packing(window=256, shard_pieces=16)).collect()
+        finally:
+            locality.cells.__defaults__ = before
+        shard = {}
+        for r in found:
+            shard.setdefault(r["doc_id"], set()).add(r["sequence_id"] >> 32)
+        assert len(set().union(*shard.values())) >= 40
+        assert sum(r["length"] for r in found) == sum({r["doc_id"]: r["doc_tokens"] for r in found}.values())
+        met = sum(bool(shard[i] & shard[1000 + i]) for i in range(400)) / 400
+        assert met >= 0.5  # by chance 1 in 50 would meet
+
+
+def test_copies_fill_cells_evenly():
+    ties = np.random.Generator(np.random.PCG64(2)).integers(0, 1 << 40, 4_000)
+    weights = locality.Weights(np.ones(50, np.float32), None, 1.2, 0.75)
+    rests = [np.array([1, 2, 3])] * 3_600 + [np.array([i % 40, 7, 9]) for i in range(400)]
+    basis = locality.projection(locality.weighted(rests, weights.idf, 3.0, 1.2, 0.75), len(rests), 50)
+    x = locality.projected(rests, ties, weights, 3.0, basis)
+    sizes = np.bincount(locality.leaf(x, locality.grow(x, 4)), minlength=16)
+    assert sizes.sum() == 4_000 and sizes.max() <= 500
+    assert [len(p) for p in locality.halves(x, 1_000)] == [1_000] * 4
+
+
+
 def test_toxic_pattern_grammar():
     machine = lambda *symbols: toxicity.pattern_of(toxicity.OUTPUTS[__import__("functools").reduce(lambda s, x: toxicity.STEPS[s][x], symbols, 0)])
     I, T, Y, N, R = toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT  # noqa: E741
