@@ -1,7 +1,8 @@
 """Quality classifier: nearest-neighbour voting in a latent semantic space.
 
 A document becomes a vector of hashed terms: its words, its word shapes (case, digits, the symbols and
-punctuation attached), immediate repetitions, and coarse bands of length and of word variety. Terms
+punctuation attached), immediate repetitions, and coarse bands of length and of word variety. A word is
+a run between white space; a run of more than 64 characters counts as consecutive words of 64. Terms
 weigh by the square root of their share, times inverse document frequency. A truncated singular value
 decomposition of the labelled sample gives ``rank`` latent dimensions. Every document is compared with
 all labelled vectors by exact cosine products, block by block, and its ``neighbours`` nearest vote,
@@ -38,6 +39,7 @@ SIZE = WORDS + SHAPES + BANDS
 SHARES = np.concatenate([np.full(WORDS, 0.3), np.full(SHAPES, 1.0), np.full(BANDS, 0.6)]).astype(np.float32)
 BLOCK = 256
 CACHE_SIZE = 300_000
+LONGEST = 64
 SHAPE = (re.compile(r"[^\W\d_]+"), re.compile(r"\d+"))
 
 
@@ -46,16 +48,15 @@ def _slot(text: str, size: int) -> int:
 
 
 class _Terms(dict):
-    """word -> its word slot and shape slot, packed."""
+    """word (of at most ``LONGEST`` characters) -> its word slot and shape slot, packed."""
 
     def __missing__(self, word: str) -> int:
-        letters = SHAPE[0].sub(lambda m: "A" if len(m[0]) > 1 and m[0].isupper() else "T" if m[0][0].isupper() else "a", word[:64])
+        letters = SHAPE[0].sub(lambda m: "A" if len(m[0]) > 1 and m[0].isupper() else "T" if m[0][0].isupper() else "a", word)
         shape = SHAPE[1].sub("0", letters)
-        value = _slot(word.lower()[:64], WORDS) * SHAPES + _slot(shape, SHAPES)
+        value = _slot(word.lower(), WORDS) * SHAPES + _slot(shape, SHAPES)
         if len(self) >= CACHE_SIZE:
             self.clear()
-        if len(word) <= 64:
-            self[word] = value
+        self[word] = value
         return value
 
 
@@ -63,9 +64,17 @@ def _band(name: str, share: float) -> int:
     return _slot(f"{name} {int(share * 10)}", BANDS)
 
 
+def words_of(text: str) -> list[str]:
+    """The runs between white space, those longer than ``LONGEST`` in consecutive pieces."""
+    words = text.split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+
+
 def vector(text: str, terms: _Terms) -> np.ndarray:
     """The term shares of a text; each family of terms has a length of its own."""
-    words = text.split()
+    words = words_of(text)
     n, found = len(words), np.zeros(SIZE, dtype=np.float32)
     if n == 0:
         found[WORDS + SHAPES + _slot("empty", BANDS)] = 1

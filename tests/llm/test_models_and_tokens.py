@@ -260,6 +260,16 @@ def test_quality_classifier(spark):
     assert good >= 0.95 and bad >= 0.8
 
 
+def test_every_character_of_a_long_word_counts():
+    vector = lambda text: quality_knn.vector(text, quality_knn._Terms()).tolist()
+    head = "日本語テキスト" * 10
+    assert vector(head + "これは良い文です") != vector(head + "ZZ99!!")
+    assert vector("ab" * 50_000) != vector("ab" * 50)
+    long = "".join(chr(0x4E00 + i) for i in range(640))
+    assert sum(x > 0 for x in vector(long)[: quality_knn.WORDS]) > 5
+    assert "".join(quality_knn.words_of(f"a {long} b")) == f"a{long}b"
+
+
 def test_nearest_neighbours_are_exact():
     random_ = np.random.Generator(np.random.PCG64(1))
     x = np.abs(random_.standard_normal((300, quality_knn.SIZE))).astype(np.float32)
