@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, mixing, ngram_join, packing, quality_knn, quality_rules, suffix_dedup, token_counts, toxicity, warc
+from creditmart.llm import exact_dedup, merkle, mixing, ngram_join, packing, quality_knn, quality_rules, suffix_dedup, token_counts, toxicity, warc
 from creditmart.llm.common import read, ship
 
 
@@ -53,6 +53,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_evidence(read(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,4 +67,8 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: _shipped(f) for f in (op1_suffix_dedup, op2_toxicity, op3_mixing, op4_ngram_join, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc, op9_quality_classifier, op10_packing)}
+    found = (
+        op1_suffix_dedup, op2_toxicity, op3_mixing, op4_ngram_join, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc,
+        op9_quality_classifier, op10_packing, op11_merkle,
+    )
+    return {f.__name__: _shipped(f) for f in found}
