@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.llm import exact_dedup, merkle, mixing, ngram_join, packing, quality_knn, quality_rules, runs, suffix_dedup, token_counts, toxicity, warc
+from creditmart.llm import bestfit, exact_dedup, merkle, mixing, ngram_join, packing, quality_knn, quality_rules, runs, suffix_dedup, token_counts, toxicity, warc
 from creditmart.llm.common import read, ship
 
 
@@ -57,6 +57,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_evidence(read(spark, sf_dir, "documents"))
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(read(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(read(spark, sf_dir, "documents"), planted=True)
 
@@ -73,6 +77,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_suffix_dedup, op2_toxicity, op3_mixing, op4_ngram_join, op5_token_counts, op6_exact_dedup, op7_quality_rules, op8_warc,
-        op9_quality_classifier, op10_packing, op11_merkle, op13_periodic_runs,
+        op9_quality_classifier, op10_packing, op11_merkle, op12_best_fit, op13_periodic_runs,
     )
     return {f.__name__: _shipped(f) for f in found}

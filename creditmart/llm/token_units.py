@@ -112,6 +112,17 @@ class UnitCache(dict):
         return value
 
 
+_kept: dict = {}
+
+
+def kept(make: Callable, *arguments):
+    """make(*arguments), made once in a worker process and kept there for its later tasks."""
+    key = (make.__name__, *arguments)
+    if key not in _kept:
+        _kept[key] = make(*arguments)
+    return _kept[key]
+
+
 def byte_counter(tokenizer) -> Callable[[str], int]:
     """Tokens of a keyed unit, for a byte-level tokenizer with the split pattern above."""
     import tiktoken
@@ -157,3 +168,18 @@ def word_encoder(tokenizer, capacity: int = 400_000) -> Callable[[str], bytes]:
         return packed(tokenizer.encode(unit, add_special_tokens=False).ids)
 
     return ids
+
+
+def document_encoder(path: str, capacity: int) -> Callable[[str], bytes]:
+    """Ids of a whole text as little-endian 32-bit numbers, for the word tokenizer at a path."""
+    tokenizer = load(path)
+    cache = UnitCache(word_encoder(tokenizer, capacity // 2), {}, capacity)
+
+    def encoded(text: str) -> bytes:
+        if has_other_space(text):
+            from array import array
+
+            return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(cache.__getitem__, text.split() if "\0" not in text else SOLID.findall(text)))
+
+    return encoded
