@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from creditmart import rules, schemas
 from creditmart.functions import scalars as sc
-from creditmart.operators import clean, evaluate, features, marts, models, profile, sampling, summaries
-from creditmart.plans import training, warehouse
+from creditmart.operators import clean, evaluate, features, marts, models, profile, rollups, sampling, states, summaries
+from creditmart.plans import refresh, training, warehouse
 from creditmart.plans.warehouse import ReportInputs, reporting_marts
 from creditmart.sources import files, publish
 from creditmart.sources.feeds import accepted_feed, feeds, rejected_feed, scored_applications, table
@@ -169,6 +169,44 @@ _on_reports("reject_customer", lambda i: summaries.reject_by_customer(i.rejected
 _on_reports("reject_product", lambda i: summaries.reject_by_product(i.rejected))
 
 
+# --- the same from mergeable states ---------------------------------------------------------
+
+
+def _on_states(name: str, build: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    _QUERIES[name] = lambda spark, sf_dir: build(*warehouse.feed_states(*feeds(spark, sf_dir)))
+
+
+def _on_detail_states(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    _QUERIES[name] = lambda spark, sf_dir: build(stage(states.detail_states(detail(spark, sf_dir)), "detail-states"))
+
+
+for _name, _rollup in warehouse.ROLLUPS.items():
+    _on_states(f"rollup_{_name}", _rollup)
+_on_states("rollup_reject_time", lambda rejected, accepted: rollups.reject_by_time(rejected))
+_on_states("rollup_reject_risk", lambda rejected, accepted: rollups.reject_by_risk(rejected))
+_on_states("rollup_reject_customer", lambda rejected, accepted: rollups.reject_by_customer(rejected))
+_on_states("rollup_reject_product", lambda rejected, accepted: rollups.reject_by_product(rejected))
+_on_states("exact_sums", lambda rejected, accepted: rollups.exact_sums(accepted))
+_on_detail_states("rollup_dws_geo", rollups.geo_stats)
+_on_detail_states("rollup_dws_purpose", rollups.purpose_stats)
+_on_detail_states("rollup_dws_zip", rollups.zip_stats)
+_on_detail_states("rollup_dws_emp", rollups.employment_stats)
+_on_detail_states("rollup_kpi", rollups.kpi_metrics)
+
+
+@query
+def refresh_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly trend of a store that was filled before half of two months' rows came, and then refreshed by these months."""
+    rejected, accepted = feeds(spark, sf_dir)
+    months = ["1995-03", "1997-11"]
+    late_rejected = "substring(application_date, 1, 7) IN ('1995-03', '1997-11') AND app_id % 2 = 0"
+    late_accepted = "issue_d IN ('Mar-1995', 'Nov-1997') AND app_id % 2 = 0"
+    folder = stage_folder(spark, "store")
+    refresh.load(rejected.where(f"NOT coalesce({late_rejected}, false)"), accepted.where(f"NOT coalesce({late_accepted}, false)"), folder)
+    refresh.refresh(rejected, accepted, months, folder)
+    return refresh.marts(rejected, accepted, folder)["trend_monthly"]
+
+
 @query
 def purpose_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     titled = rejected_feed(spark, sf_dir).transform(clean.with_purpose("loan_title"))

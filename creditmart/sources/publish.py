@@ -1,11 +1,11 @@
-"""Publishing: a result conformed to its declared schema, written over what was there."""
+"""Publishing: a result conformed to its declared schema, in place of what was there."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from creditmart import schemas
-from creditmart.sources import files
+from creditmart.sources import files, versions
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -24,10 +24,16 @@ def _within_length(table: str, column: str) -> str:
 
 
 def publish_parquet(df: DataFrame, name: str, folder: str, order_by: dict[str, bool] | None = None) -> str:
-    """Overwrite ``folder/name``: publishing twice does not double the rows."""
+    """A new version of ``folder/name``, and its folder. A write that fails leaves the rows before it in place."""
     path = f"{folder.rstrip('/')}/{name}"
-    files.sorted_by(conform(df, name), order_by or {}).write.mode("overwrite").parquet(path)
-    return path
+    written = versions.replace(files.sorted_by(conform(df, name), order_by or {}), path)
+    versions.vacuum(df.sparkSession, path)
+    return f"{path}/{written[versions.WHOLE]}"
+
+
+def read_published(spark: SparkSession, name: str, folder: str) -> DataFrame:
+    """The newest version of a published table."""
+    return versions.read(spark, f"{folder.rstrip('/')}/{name}", schemas.PUBLISHED[name])
 
 
 def publish_table(df: DataFrame, name: str, database: str) -> str:

@@ -546,5 +546,25 @@ def _models() -> dict[str, str]:
     }
 
 
+def _states() -> dict[str, str]:
+    """What is made of mergeable states equals what is made of the rows."""
+    direct = _summaries() | _marts()
+    same = {f"rollup_{name}": direct[name] for name in _mart_statements()} | {
+        "rollup_reject_time": direct["reject_time_rollup"],
+        "rollup_reject_risk": direct["reject_risk"],
+        "rollup_reject_customer": direct["reject_customer"],
+        "rollup_reject_product": direct["reject_product"],
+        "rollup_dws_geo": direct["dws_geo"],
+        "rollup_dws_purpose": direct["dws_purpose"],
+        "rollup_dws_zip": direct["dws_zip"],
+        "rollup_dws_emp": direct["dws_emp"],
+        "rollup_kpi": direct["kpi_metrics"],
+        "refresh_months": direct["trend_monthly"],
+    }
+    sums = ", ".join(f"CAST(sum(CAST({m} AS DECIMAL(38, 9))) AS VARCHAR) AS {m}_sum" for m in ("loan_amnt", "dti", "int_rate", "annual_inc"))
+    exact = f"SELECT addr_state, {N} AS cnt, {sums}, CAST(count(annual_inc) AS BIGINT) AS annual_inc_n FROM vacc GROUP BY addr_state"
+    return same | {"exact_sums": with_ctes("vacc") + exact}
+
+
 def oracle_sql() -> dict[str, str]:
-    return _summaries() | _marts() | _profiles() | _features_and_samples() | _evaluation() | _models()
+    return _states() | _summaries() | _marts() | _profiles() | _features_and_samples() | _evaluation() | _models()

@@ -129,7 +129,7 @@ def test_publishing_twice_does_not_double(spark, sf_dir, tmp_path):
     path = publish.publish_parquet(geo, "geo_lookup", str(tmp_path), order)
     first = spark.read.parquet(path).count()
     publish.publish_parquet(geo, "geo_lookup", str(tmp_path), order)
-    assert spark.read.parquet(path).count() == first > 0
+    assert publish.read_published(spark, "geo_lookup", str(tmp_path)).count() == first > 0
     spark.sql("CREATE DATABASE IF NOT EXISTS serving")
     assert spark.table(publish.publish_table(geo, "geo_lookup", "serving")).count() == first
 
@@ -140,6 +140,6 @@ def test_warehouse_build(spark, sf_dir, tmp_path):
     )
     assert counts["combined"] == counts["rejected_clean"] + counts["accepted_clean"]
     assert counts["model_input"] == counts["combined"]
-    trend = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/marts/trend_monthly").select("year", "month").collect()]
+    trend = [tuple(r) for r in publish.read_published(spark, "trend_monthly", f"{tmp_path}/marts").select("year", "month").collect()]
     assert trend == sorted(trend)
     assert len(list((tmp_path / "marts").iterdir())) == 18
