@@ -17,6 +17,7 @@ from creditmart.functions import exprs, rows_of
 from creditmart.functions import numbers as num
 from creditmart.functions import scalars as sc
 from creditmart.operators import measures as m
+from creditmart.sources.stage import stage
 
 # --- fixed values: salts and the 32-bit range a hash slice covers -----------------
 SPLIT_SALT = "42"
@@ -82,57 +83,72 @@ def _cutoff(counts: DataFrame, within: str, bucket: str, keep: Sequence[str]) ->
     )
 
 
+#: Hex digits a pass goes on by, digits of one digest, and rows that may be ranked in one place.
+_STEP, _DIGEST, BOUNDARY_ROWS = 3, 32, 65_536
+
+
+def _order_text(digits: int, columns: Sequence[str]) -> str:
+    """What rows are ordered by, as far as so many digits need it: the key's digest, then one of the whole row."""
+    if digits <= _DIGEST:
+        return "_digest"
+    return f"concat(_digest, md5(to_json(struct({', '.join(f'CAST({c} AS string) AS c{i}' for i, c in enumerate(columns))}))))"
+
+
+def _boundaries(hashed: DataFrame, wanted: DataFrame, group: str, columns: Sequence[str]) -> tuple[DataFrame, int]:
+    """``group, _cut, _quota``: the first digits of the rows where each quota is reached, what is left for it there; and how many digits.
+
+    Digits are added until those rows are few or all alike.
+    """
+    cells, digits, reach = wanted.selectExpr(group, "'' AS _cut", "_quota"), 0, _STEP
+    while True:
+        inside = hashed.selectExpr("*", f"{_order_text(reach, columns)} AS _order").join(F.broadcast(cells), on=group)
+        tally = exprs(["count(1) AS _c", "min(_order) < max(_order) AS _several"])
+        counts = (
+            inside.where(f"substring(_order, 1, {digits}) = _cut")
+            .groupBy(group, "_quota", F.expr(f"substring(_order, 1, {reach}) AS _next"))
+            .agg(*tally)
+        )
+        found = stage(_cutoff(counts, group, "_next", [group, "_next AS _cut", "_c", "_several"]), "sample-cells")
+        cells, digits = found.select(group, "_cut", "_quota"), reach
+        full = found.where(f"_c > {BOUNDARY_ROWS}").select("_several").collect()  # a row per group at most
+        alike = not any(r["_several"] for r in full)
+        if not full or digits >= 2 * _DIGEST or digits > _DIGEST and alike:
+            return cells, digits
+        # Where each of them has one key, the rest of its digest tells nothing apart: on to the row's.
+        reach = (_DIGEST if digits <= _DIGEST and alike else digits) + _STEP
+
+
 def mark_exactly(df: DataFrame, quotas: DataFrame, group: str, key: str, salt: str) -> DataFrame:
     """Add ``picked``: true for exactly ``quota`` rows of every group, in hash order of ``key``.
 
     ``quotas`` has one row ``(group, quota)`` per class, with ``quota`` at most the size
     of the group; no row in a group without quota is picked.
 
-    Two 4,096-way histograms of the hash find where each quota is reached. Rows below or
-    above that point are decided as they stream by; only the rows that share the same
-    first 24 hash bits with it are ranked. Identical rows are counted, not listed, so a
-    pile of copies at the boundary cannot overload the ranking, and since the order is by
-    content a recomputed task decides the same way.
+    4,096-way histograms of the hash find where each quota is reached, one for every three hex digits, until at most
+    ``BOUNDARY_ROWS`` rows of a group share the digits found, or only copies of one row do. Where the key's digits do not
+    tell rows apart, those of the whole row follow. Rows below or above that point are decided as they stream by; only
+    the rows at it are ranked. Identical rows are counted, not listed, so a pile of copies at the boundary cannot
+    overload the ranking, and since the order is by content a recomputed task decides the same way.
 
-    ``quotas`` is broadcast: it has one row per class. ``df`` is read four times, so stage
+    ``quotas`` is broadcast: it has one row per class. ``df`` is read three times as a rule, so stage
     it first when it is costly.
     """
     columns = df.columns
-    count = F.expr("count(1) AS _c")
-    hashed = df.selectExpr("*", f"{sc.keyed_hash(salt, key)} AS _digest").selectExpr(
-        "*", f"{sc.hash_slice('_digest', 1, 3)} AS _b1", f"{sc.hash_slice('_digest', 4, 3)} AS _b2"
-    )
-    wanted = quotas.selectExpr(group, "CAST(quota AS bigint) AS _quota")
-
-    first = _cutoff(
-        hashed.groupBy(group, "_b1").agg(count).join(F.broadcast(wanted), on=group),
-        group,
-        "_b1",
-        [group, "_b1 AS _cut1"],
-    )
-    second = _cutoff(
-        hashed.join(F.broadcast(first), on=group)
-        .where("_b1 = _cut1")
-        .groupBy(group, "_cut1", "_quota", "_b2")
-        .agg(count),
-        group,
-        "_b2",
-        [group, "_cut1", "_b2 AS _cut2"],
-    )
-
-    placed = hashed.join(F.broadcast(second), on=group, how="left")
-    boundary = "_b1 = _cut1 AND _b2 = _cut2"
-    below = "_b1 < _cut1 OR (_b1 = _cut1 AND _b2 < _cut2)"
+    hashed = df.selectExpr("*", f"{sc.keyed_hash(salt, key)} AS _digest")
+    cells, digits = _boundaries(hashed, quotas.selectExpr(group, "CAST(quota AS bigint) AS _quota"), group, columns)
+    ordered = hashed.selectExpr("*", f"{_order_text(digits, columns)} AS _order")
+    placed = ordered.join(F.broadcast(cells), on=group, how="left")
+    boundary, below = f"substring(_order, 1, {digits}) = _cut", f"substring(_order, 1, {digits}) < _cut"
     decided = placed.where(f"NOT coalesce({boundary}, false)").selectExpr(
         *columns, f"coalesce({below}, false) AS picked"
     )
 
-    order = f"PARTITION BY {group} ORDER BY _digest, {', '.join(columns)}"
+    order = f"PARTITION BY {group} ORDER BY _order, {', '.join(columns)}"
     taken = "greatest(least(_c, _quota - _before), 0)"
     ranked = (
         placed.where(boundary)
-        .groupBy(*columns, "_digest", "_quota")
-        .agg(count)
+        .groupBy(*columns, "_order", "_quota")
+        .agg(F.expr("count(1) AS _c"))
         .selectExpr(
             "*", f"sum(_c) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - _c AS _before"
         )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 from collections import Counter
 
 import pytest
@@ -165,9 +166,49 @@ def test_quantiles_with_outliers_infinities_and_a_hot_value(spark):
     assert [got.a, got.b, got.c] == [brute_disc(values, p) for p in (0.1, 0.5, 0.8)]
 
 
+def test_keys_of_doubles_are_their_bits(spark):
+    rng = random.Random(5)
+    values = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, math.nextafter(1.0, 0), math.nextafter(2.0, 3), 1.7976931348623157e308, float("inf")]
+    values += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(63)))[0] for _ in range(3000)] + [2.0**e for e in range(-1074, 1024, 7)]
+    values += [math.nextafter(2.0**e, 0) for e in range(-1000, 1024, 5)]
+    df = spark.createDataFrame([(v,) for v in values if v == v] + [(-v,) for v in values if v == v and v], "v double")
+    bits = lambda v: struct.unpack("<q", struct.pack("<d", abs(v)))[0] * (-1 if v < 0 else 1)
+    assert all(r["_k"] == bits(r["_v"]) for r in quantiles.keyed(df, [], "v").collect())
+    nan, inf = (quantiles.keyed(spark.sql(f"SELECT CAST('{v}' AS double) AS v"), [], "v").first()["_k"] for v in ("NaN", "Infinity"))
+    assert nan > inf
+
+
+def test_distinct_values_that_agree_in_their_leading_bits(spark):
+    """Two million distinct values in one narrow cell: passes go on until few are left to be ranked."""
+    df = spark.range(2_000_000).selectExpr("'a' AS g", "1 + id * power(2.0D, -52) AS v")
+    base = quantiles.keyed(df, ["g"], "v")
+    cells, shift = quantiles.refined(base, ["g"], [0.5], False)
+    assert shift <= 15 and cells.agg(F.max("_c")).first()[0] <= quantiles.CELL_ROWS
+    assert quantiles.exact_quantiles(df, ["g"], "v", {"p": 0.5}).first().p == 1 + 999_999 * 2.0**-52
+
+
+def test_copies_of_one_value_need_no_more_passes(spark):
+    df = spark.range(200_000).selectExpr("'a' AS g", "IF(id < 150000, 3.0D, id * 1.0D) AS v")
+    assert quantiles.refined(quantiles.keyed(df, ["g"], "v"), ["g"], [0.5], False)[1] == quantiles.SHIFTS[0]
+
+
 # --- sampling -------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("limit", [1, 40])
+def test_exact_sample_where_leading_digits_tie(spark, monkeypatch, limit):
+    """Rows whose first 24 bits, or whole key digests, agree: the boundary is refined by all that tells them apart."""
+    monkeypatch.setattr(sampling, "BOUNDARY_ROWS", limit)
+    monkeypatch.setattr(sampling.sc, "keyed_hash", lambda salt, key: f"concat('abcdef', substring(md5(CAST({key} % 50 AS string)), 1, 26))")
+    df = spark.range(300).selectExpr("id AS k", "id % 7 AS v", "0 AS g").unionByName(spark.range(60).selectExpr("3L AS k", "5L AS v", "0 AS g"))
+    quotas = spark.createDataFrame([(0, 117)], "g int, quota int")
+    marked = sampling.mark_exactly(df, quotas, "g", "k", "s")
+    found = sorted(tuple(r) for r in marked.collect())
+    assert sum(r[-1] for r in found) == 117 and sorted(r[:-1] for r in found) == sorted(tuple(r) for r in df.collect())
+    again = sampling.mark_exactly(df.repartition(5), quotas, "g", "k", "s")
+    assert sorted(tuple(r) for r in again.collect()) == found
+
+
 @pytest.mark.parametrize("ratio", [1, 2, 100])
 def test_exact_undersample_size(spark, ratio):
     detail = detail_rows(spark)
