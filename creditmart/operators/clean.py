@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from creditmart import rules
 from creditmart.functions import exprs
@@ -37,15 +38,17 @@ def with_purpose(source: str, target: str = "purpose") -> Callable[[DataFrame],
 # --- warehouse detail ------------------------------------------------------------
 
 
-def _detail(typed: DataFrame, label: int, carry: Sequence[str]) -> DataFrame:
-    low, high = rules.DETAIL_DTI_RANGE
-    valid = (
-        sc.valid_state("addr_state"),
-        sc.valid_employment("_employment"),
-        "loan_amnt IS NOT NULL",
-        sc.in_range("dti", low, high, keep_null=True),
-    )
-    return typed.where(" AND ".join(valid)).selectExpr(
+#: What a row of the detail table must satisfy: name -> test over the typed columns.
+DETAIL_RULES = {
+    "state": sc.valid_state("addr_state"),
+    "employment": sc.valid_employment("_employment"),
+    "amount": "loan_amnt IS NOT NULL",
+    "dti": sc.in_range("dti", *rules.DETAIL_DTI_RANGE, keep_null=True),
+}
+
+
+def _detail_columns(typed: DataFrame, label: int, carry: Sequence[str]) -> DataFrame:
+    return typed.selectExpr(
         *carry,
         "loan_amnt",
         f"{sc.purpose_of_key('_purpose_key')} AS purpose",
@@ -57,9 +60,12 @@ def _detail(typed: DataFrame, label: int, carry: Sequence[str]) -> DataFrame:
     )
 
 
-def clean_rejected(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Rejected applications: known state and employment, DTI missing or 0..200."""
-    typed = raw.selectExpr(
+def _detail(typed: DataFrame, label: int, carry: Sequence[str]) -> DataFrame:
+    return _detail_columns(typed.where(" AND ".join(DETAIL_RULES.values())), label, carry)
+
+
+def _typed_rejected(raw: DataFrame, carry: Sequence[str]) -> DataFrame:
+    return raw.selectExpr(
         *carry,
         f"{num.to_number('loan_amnt_raw')} AS loan_amnt",
         f"{sc.purpose_key('loan_title')} AS _purpose_key",
@@ -68,12 +74,10 @@ def clean_rejected(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         f"{num.parse_percent('dti_raw')} AS dti",
         f"{sc.zip_prefix('zip_code')} AS zip_code",
     )
-    return _detail(typed, label=0, carry=carry)
 
 
-def clean_accepted(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Accepted applications under the same rules; DTI carries no percent sign here."""
-    typed = raw.selectExpr(
+def _typed_accepted(raw: DataFrame, carry: Sequence[str]) -> DataFrame:
+    return raw.selectExpr(
         *carry,
         f"{num.to_number('loan_amnt')} AS loan_amnt",
         f"{sc.purpose_key('purpose')} AS _purpose_key",
@@ -82,7 +86,47 @@ def clean_accepted(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         f"{num.to_number('dti')} AS dti",
         f"{sc.zip_prefix('zip_code')} AS zip_code",
     )
-    return _detail(typed, label=1, carry=carry)
+
+
+def clean_rejected(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Rejected applications: known state and employment, DTI missing or 0..200."""
+    return _detail(_typed_rejected(raw, carry), label=0, carry=carry)
+
+
+def clean_accepted(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Accepted applications under the same rules; DTI carries no percent sign here."""
+    return _detail(_typed_accepted(raw, carry), label=1, carry=carry)
+
+
+# --- what cleaning drops --------------------------------------------------------------
+
+FAILED = "failed_rules"
+#: Bit i of the mask is set where the i-th rule fails; a test that is NULL fails, as in a filter.
+_MASK = " + ".join(f"IF(coalesce({test}, false), 0, {1 << i})" for i, test in enumerate(DETAIL_RULES.values()))
+
+
+def failed_rules(raw: DataFrame, accepted: bool, carry: Sequence[str] = ()) -> DataFrame:
+    """All rows of a feed, typed, with a bit mask of the detail rules they fail."""
+    typed = _typed_accepted(raw, carry) if accepted else _typed_rejected(raw, carry)
+    return typed.selectExpr("*", f"{_MASK} AS {FAILED}")
+
+
+def drop_counts(prefix: str = "") -> list[str]:
+    """Aggregates for ``observe``: rows, rows kept, and rows by the first rule they fail. The last ones add up to the first."""
+    first = {name: f"{FAILED} & {(2 << i) - 1} = {1 << i}" for i, name in enumerate(DETAIL_RULES)}
+    counts = {"rows": "true", "kept": f"{FAILED} = 0"} | {f"dropped_{name}": test for name, test in first.items()}
+    return [f"count_if({test}) AS {prefix}{name}" for name, test in counts.items()]
+
+
+def kept_detail(marked: DataFrame, accepted: bool, carry: Sequence[str] = ()) -> DataFrame:
+    """The detail rows of rows marked by :func:`failed_rules`."""
+    return _detail_columns(marked.where(f"{FAILED} = 0"), int(accepted), carry)
+
+
+def drop_reasons(raw: DataFrame, accepted: bool) -> DataFrame:
+    """Rows of a feed by the set of rules they fail: ``failed_rules, reasons, cnt``; 0 is the rows kept."""
+    names = ", ".join(f"IF({FAILED} & {1 << i} > 0, '{name}', NULL)" for i, name in enumerate(DETAIL_RULES))
+    return failed_rules(raw, accepted).groupBy(FAILED).agg(F.expr("count(1) AS cnt")).selectExpr(FAILED, f"concat_ws(',', {names}) AS reasons", "cnt")
 
 
 def combine(rejected: DataFrame, accepted: DataFrame) -> DataFrame:

@@ -129,8 +129,8 @@ _SCORE_PLACE = (
 _SCORE_CELL = f"coalesce(CAST(greatest(least(floor((({_SCORE_PLACE}) + 1) / 4 * {_CELLS}.0D), {_CELLS - 1}), 0) AS bigint), 0L)"
 
 
-def score_counts_below(scored: DataFrame) -> DataFrame:
-    """Distinct scores with their class counts and the counts of all smaller scores.
+def score_counts_below(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct scores with their class counts and the counts of all smaller scores, of all rows or by some columns.
 
     A running sum over all distinct scores would be one task, so it is taken in three
     nested steps: over coarse bins, over fine bins inside a coarse bin, and over the
@@ -138,30 +138,34 @@ def score_counts_below(scored: DataFrame) -> DataFrame:
     """
     scores = (
         scored.where("prob_1 IS NOT NULL")
-        .groupBy("prob_1")
+        .groupBy(*by, "prob_1")
         .agg(*exprs(["count_if(label = 1) AS pos", "count_if(label = 0) AS neg"]))
         .selectExpr("*", f"{_SCORE_CELL} AS _cell", f"shiftright({_SCORE_CELL}, {_BIN_BITS}) AS _bin")
     )
     totals = exprs(["sum(pos) AS pos", "sum(neg) AS neg"])
-    by_cell = scores.groupBy("_bin", "_cell").agg(*totals)
-    by_bin = by_cell.groupBy("_bin").agg(*totals)  # at most 65,536 rows
+    by_cell = scores.groupBy(*by, "_bin", "_cell").agg(*totals)
+    by_bin = by_cell.groupBy(*by, "_bin").agg(*totals)  # at most 65,536 rows, or so many for each group
 
     def before(within: str, order: str, name: str) -> tuple[str, str]:
+        within = ", ".join((*by, within))
         frame = f"(PARTITION BY {within} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         return f"sum(pos) OVER {frame} - pos AS pos_{name}", f"sum(neg) OVER {frame} - neg AS neg_{name}"
 
+    everything = ", ".join((*by, "1"))
     bins = by_bin.selectExpr(
+        *by,
         "_bin",
         *before("1", "_bin", "bins"),
-        "sum(pos) OVER (PARTITION BY 1) AS pos_total",
-        "sum(neg) OVER (PARTITION BY 1) AS neg_total",
+        f"sum(pos) OVER (PARTITION BY {everything}) AS pos_total",
+        f"sum(neg) OVER (PARTITION BY {everything}) AS neg_total",
     )
-    cells = by_cell.selectExpr("_bin", "_cell", *before("_bin", "_cell", "cells"))
+    cells = by_cell.selectExpr(*by, "_bin", "_cell", *before("_bin", "_cell", "cells"))
     ranked = scores.selectExpr("*", *before("_bin, _cell", "prob_1", "scores"))
     return (
-        ranked.join(cells, on=["_bin", "_cell"])
-        .join(F.broadcast(bins), on="_bin")
+        ranked.join(cells, on=[*by, "_bin", "_cell"])
+        .join(bins if by else F.broadcast(bins), on=[*by, "_bin"])
         .selectExpr(
+            *by,
             "prob_1",
             "pos",
             "neg",
@@ -173,8 +177,8 @@ def score_counts_below(scored: DataFrame) -> DataFrame:
     )
 
 
-def auc_rank(scored: DataFrame) -> DataFrame:
-    """Exact areas under the ROC and the precision-recall curve from per-score counts.
+def auc_rank(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Exact areas under the ROC and the precision-recall curve from per-score counts, of all rows or by some columns.
 
     ROC: the share of (positive, negative) pairs ranked correctly, ties counting half; the
     pairs are never formed. PR: trapezoids between neighbouring thresholds; the point
@@ -182,13 +186,13 @@ def auc_rank(scored: DataFrame) -> DataFrame:
     and the curve starts level with its first point.
     """
     points = (
-        score_counts_below(scored)
+        score_counts_below(scored, by)
         .selectExpr("*", "pos_total - pos_below AS tp", "neg_total - neg_below AS fp")
         .selectExpr("*", "tp / (tp + fp) AS prec", "try_divide(tp - pos, tp - pos + fp - neg) AS prec_before")
     )
     wins = "sum(CAST(pos AS double) * (neg_below + neg / 2))"
     area = "sum(try_divide(pos, pos_total) * (prec + coalesce(prec_before, prec)) / 2)"
-    return points.agg(
+    return points.groupBy(*by).agg(
         *exprs(
             [
                 "sum(pos) AS n_pos",

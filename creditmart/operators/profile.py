@@ -17,8 +17,10 @@ from creditmart import rules, schemas
 from creditmart.functions import exprs, field_rows, quote, rows_of
 from creditmart.functions import numbers as num
 from creditmart.functions import scalars as sc
+from creditmart.operators import heavy
 from creditmart.operators import measures as m
 from creditmart.operators import quantiles as qt
+from creditmart.sources.stage import stage
 
 _COUNT = f"{m.N} AS cnt"
 
@@ -30,21 +32,29 @@ _PRECISION = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19, "float": 7,
 
 
 def schema_report(df: DataFrame, text_lengths: dict[str, int] | None = None) -> DataFrame:
-    """Column names, types and positions: as many rows as the table has columns.
+    """The columns as declared, beside what their rows hold: one pass, and a row for each column.
 
-    ``max_length`` is the declared length of a text column, NULL where none is declared;
-    ``numeric_precision`` the digits of a numeric column.
+    ``max_length`` is the declared length of a text column, NULL where none is declared; ``numeric_precision`` the digits
+    of a numeric column. ``n_rows, n_null`` count; ``longest`` is the longest text, ``lowest, highest`` the range of a number.
     """
     lengths = schemas.TEXT_LENGTHS if text_lengths is None else text_lengths
-
-    def row(position: int, field: T.StructField) -> tuple:
-        kind = field.dataType.simpleString()
+    measured, rows = ["count(1) AS n_rows"], []
+    for i, field in enumerate(df.schema):
+        kind, name = field.dataType.simpleString(), f"`{field.name}`"
+        text, number = isinstance(field.dataType, T.StringType), isinstance(field.dataType, T.NumericType)
         precision = field.dataType.precision if isinstance(field.dataType, T.DecimalType) else _PRECISION.get(kind)
-        return position, field.name, kind, field.nullable, lengths.get(field.name) if kind == "string" else None, precision
-
-    rows = [row(i, f) for i, f in enumerate(df.schema, 1)]
-    schema = "position int, column_name string, data_type string, is_nullable boolean, max_length int, numeric_precision int"
-    return df.sparkSession.createDataFrame(rows, schema)
+        measured += [
+            f"count_if({name} IS NULL) AS null_{i}",
+            f"{f'max(length({name}))' if text else 'CAST(NULL AS int)'} AS long_{i}",
+            *(f"{f'CAST({f}({name}) AS double)' if number else 'CAST(NULL AS double)'} AS {f}_{i}" for f in ("min", "max")),
+        ]
+        length = lengths.get(field.name) if text else None
+        rows.append({
+            "position": str(i + 1), "column_name": quote(field.name), "data_type": quote(kind), "is_nullable": str(field.nullable).lower(),
+            "max_length": f"CAST({'NULL' if length is None else length} AS int)", "numeric_precision": f"CAST({precision or 'NULL'} AS int)",
+            "n_rows": "n_rows", "n_null": f"null_{i}", "longest": f"long_{i}", "lowest": f"min_{i}", "highest": f"max_{i}",
+        })
+    return df.agg(*exprs(measured)).selectExpr(rows_of(*rows))
 
 
 # --- missing values --------------------------------------------------------------------
@@ -99,16 +109,10 @@ def top_k(df: DataFrame, by: str, key: str, k: int) -> DataFrame:
 def pct_of_total(df: DataFrame, column: str, k: int) -> DataFrame:
     """The ``k`` most frequent values with their share of all rows in percent.
 
-    The grand total is a scalar subquery over the same groups. A window without
-    partitions would pull every distinct value, free text included, into one task.
+    Only values that can be among them are counted one by one (``operators.heavy``): free text has too many.
     """
-    groups = value_frequency(df, column)
-    total = groups.agg(F.sum("cnt")).scalar()
-    return (
-        top_k(groups, "cnt", column, k)
-        .withColumn("_total", total)
-        .selectExpr(column, "cnt", f"{num.percent('cnt', '_total')} AS pct")
-    )
+    values = stage(df.select(column), "values")
+    return heavy.top_k_values(values, column, k).selectExpr(column, "cnt", f"{num.percent('cnt', 'total')} AS pct")
 
 
 def top_values(values: DataFrame, k: int) -> DataFrame:

@@ -121,9 +121,47 @@ _on_detail("class_balance", sampling.class_balance)
 _on_detail("kpi_metrics", summaries.kpi_metrics)
 _on_detail("state_ranking", lambda d: profile.state_ranking(summaries.geo_stats(d)))
 
+@query
+def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each feed by the rules they fail; they add up to the feed."""
+    rejected, accepted = feeds(spark, sf_dir)
+    parts = (clean.drop_reasons(raw, is_accepted).withColumn("src", F.lit(src)) for src, raw, is_accepted in (("rejected", rejected, False), ("accepted", accepted, True)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def drop_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the cleaning pass counted on the way: rows, rows kept, and rows by the first rule they fail, beside the rows written."""
+    rows = []
+    for src, raw, is_accepted in (("rejected", rejected_feed(spark, sf_dir), False), ("accepted", accepted_feed(spark, sf_dir), True)):
+        folder = stage_folder(spark, f"{src}-counted")
+        counts = warehouse.build_counted_detail(raw, is_accepted, folder)
+        rows += [(src, name, n) for name, n in counts.items()] + [(src, "written", files.read_layer(spark, folder).count())]
+    return spark.createDataFrame(rows, "src string, figure string, cnt long")
+
+
 # --- files -------------------------------------------------------------------------------
 
 
+@query
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract in which some lines have an open quote, a field too many or too few: its rows, and the lines set aside."""
+    columns = schemas.REJECTED_COLUMNS
+    quoted = [f"concat('\"', replace(coalesce({c}, ''), '\"', ''), '\"')" for c in columns]
+    line = f"concat_ws(',', {', '.join(quoted)})"
+    broken = (
+        f"CASE WHEN app_id % 40 = 3 THEN concat(app_id, ',\"open,', {quoted[2]}) WHEN app_id % 40 = 7 THEN concat({line}, ',', app_id) "
+        f"WHEN app_id % 40 = 11 THEN concat(app_id, ',', {quoted[1]}) ELSE {line} END AS value"
+    )
+    folder = stage_folder(spark, "broken-csv")
+    rejected_feed(spark, sf_dir).selectExpr(broken).write.text(f"{folder}/extract")
+    rows, bad, counts = files.read_with_quarantine(spark, f"{folder}/extract", f"{folder}/parsed", columns, header=False)
+    both = rows.withColumns({"line": F.lit(None).cast("string"), "reason": F.lit(None).cast("string")}).unionByName(
+        bad.select("line", "reason"), allowMissingColumns=True
+    )
+    return both.withColumn("lines", F.lit(counts["lines"]).cast("long"))
+
+
 @query
 def export_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detail table exported as CSV and read again with its declared types."""
@@ -236,7 +274,7 @@ def publish_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The declared columns of a published table, lengths and precision included."""
+    """The declared columns of a published table, lengths and precision included, and what its rows hold."""
     return profile.schema_report(publish_conform(spark, sf_dir))
 
 
@@ -494,6 +532,32 @@ def model_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows).selectExpr("*", f"{n_train}L AS train_rows", f"{n_test}L AS test_rows")
 
 
+@query
+def boosting_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosting with an area-based stop on the planted signal of ``model_contract``: what must hold in each round.
+
+    The area of every round is computed again from the emitted margins, by ranks; the kept model's own margins must
+    be those of its best round.
+    """
+    low = "CAST(coalesce(dti, 0) < 20 AS int)"
+    planted = detail(spark, sf_dir).withColumn("label", F.expr(f"CASE WHEN app_id % 10 = 0 THEN 1 - {low} ELSE {low} END"))
+    flagged = stage(sampling.validation_flag(planted, "app_id"), "flagged")
+    run = models.boost_with_patience(flagged, models.one_hot_features(models.RAW_ONLY), rounds=12, patience=12, keep=["app_id"], maxDepth=3)
+    place = "rank() OVER (PARTITION BY round ORDER BY prob_1) + (count(1) OVER (PARTITION BY round, prob_1) - 1) / 2.0D"
+    by_ranks = (
+        run.margins.selectExpr("round", "label", f"{place} AS place").groupBy("round")
+        .agg(F.count("*").alias("n_rows"), F.expr("count_if(label = 1) AS n_pos"), F.expr("sum(CASE WHEN label = 1 THEN place END) AS places"))
+        .selectExpr("*", "(places - n_pos * (n_pos + 1) / 2.0D) / (CAST(n_pos AS double) * (n_rows - n_pos)) AS area")
+    )
+    told = spark.createDataFrame([(i, a, i <= run.best_round, max(run.areas[:i]) <= run.areas[run.best_round - 1]) for i, a in enumerate(run.areas, 1)],
+                                 "round int, told double, kept boolean, best_so_far boolean")
+    final = run.fitted.pipeline.transform(flagged.where("is_validation")).select("app_id", vector_to_array("rawPrediction")[1].alias("raw"))
+    # Spark's raw prediction of boosted trees is the margin itself.
+    same = run.margins.where(f"round = {run.best_round}").join(final, "app_id").where("abs(raw - prob_1) < 1e-9").agg(F.count("*")).scalar()
+    joined = by_ranks.join(told, "round").withColumn("same_margins", same)
+    return joined.selectExpr("CAST(round AS bigint) AS round", "n_rows", "n_pos", "abs(area - told) < 1e-6 AS area_agrees", "best_so_far", "same_margins")
+
+
 @query
 def model_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undersample, split, fit the three classifiers, compare on the test part."""

@@ -10,9 +10,10 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from creditmart import schemas
+from creditmart.functions import exprs
 from creditmart.operators import clean, features, marts, rollups, states, summaries
 from creditmart.sources import files, publish
 from creditmart.sources.stage import stage
@@ -103,6 +104,14 @@ def build_detail(raw_rejected: DataFrame, raw_accepted: DataFrame, folder: str)
     return counts
 
 
+def build_counted_detail(raw: DataFrame, accepted: bool, folder: str, carry: tuple[str, ...] = ()) -> dict[str, int]:
+    """Write one feed's detail rows; returns ``rows, kept`` and ``dropped_<rule>`` (by the first rule failed), counted in the same pass."""
+    observed = Observation()
+    marked = clean.failed_rules(raw, accepted, carry).observe(observed, *exprs(clean.drop_counts()))
+    clean.kept_detail(marked, accepted, carry).write.mode("overwrite").parquet(folder)
+    return observed.get
+
+
 def build_summaries(detail: DataFrame, folder: str) -> dict[str, int]:
     tables = {
         "geo_stats": (summaries.geo_stats, _by_count("addr_state")),

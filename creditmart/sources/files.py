@@ -36,6 +36,40 @@ def read_accepted_csv(
     return _csv(spark).csv(path).select(*columns)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def parsed_lines(spark: SparkSession, path: str, columns: Sequence[str], header: bool = True) -> DataFrame:
+    """A CSV extract as text columns by position, with the whole line in ``_corrupt_record`` where it does not parse.
+
+    A line has one record: a quote left open ends with its line and spoils no other.
+    """
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField(CORRUPT, T.StringType())])
+    return _csv(spark).option("header", header).schema(schema).option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def fault(line: str, columns: int) -> str:
+    """Why a line does not parse, as expression text: an open quote, or the number of fields."""
+    quotes = f"length({line}) - length(replace({line}, '\"', ''))"
+    outside = f"size(split(regexp_replace({line}, '\"[^\"]*\"', ''), ',', -1))"
+    return f"CASE WHEN ({quotes}) % 2 = 1 THEN 'open quote' WHEN {outside} < {columns} THEN 'too few fields' WHEN {outside} > {columns} THEN 'too many fields' ELSE 'unreadable' END"
+
+
+def read_with_quarantine(spark: SparkSession, source: str, folder: str, columns: Sequence[str], header: bool = True) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The rows of a CSV extract, the lines that are none (``file, line, reason``), and the counts ``lines, rows, quarantined``.
+
+    The extract is parsed once and written to ``folder`` in two parts, rows and quarantine, counted on the way.
+    """
+    observed = Observation()
+    counts = [F.count("*").alias("lines"), F.expr(f"count_if({CORRUPT} IS NULL) AS rows"), F.expr(f"count_if({CORRUPT} IS NOT NULL) AS quarantined")]
+    # The file's name is asked for on every row, so that the parser is not asked for the corrupt column alone.
+    lines = parsed_lines(spark, source, columns, header).select("*", F.input_file_name().alias("_file"), F.col(CORRUPT).isNotNull().alias("_bad"))
+    lines.observe(observed, *counts).write.mode("overwrite").partitionBy("_bad").parquet(folder)
+    held = spark.read.schema(lines.schema).parquet(folder)
+    bad = held.where("_bad").selectExpr("_file AS file", f"{CORRUPT} AS line", f"{fault(CORRUPT, len(columns))} AS reason")
+    return held.where("NOT _bad").select(*columns), bad, observed.get
+
+
 def read_detail_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.DETAIL) -> DataFrame:
     """An exported detail table with declared types: no inference pass, "012" stays text.
 

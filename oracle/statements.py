@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.base import (
+    EMPLOYMENT,
     STATE_NAMES,
     STATES,
     amount_band,
@@ -536,16 +537,80 @@ def _models() -> dict[str, str]:
           (SELECT CAST(count(DISTINCT purpose) + count(DISTINCT addr_state) + count(DISTINCT zip_code) + 6 AS INTEGER) FROM train) AS n_slots,
           true AS explained, (SELECT count(*) FROM train) AS train_rows, (SELECT count(*) FROM split WHERE split = 'test') AS test_rows
           FROM (VALUES ('LogisticRegression'), ('RandomForest'), ('GBT')) AS m(model)""",
-        "schema_report": """SELECT * FROM (VALUES
-          (1, 'addr_state', 'string', true, 5, NULL::INTEGER), (2, 'total_cnt', 'bigint', false, NULL, 19),
-          (3, 'approved_cnt', 'bigint', false, NULL, 19), (4, 'rejected_cnt', 'bigint', false, NULL, 19),
-          (5, 'approval_rate', 'double', true, NULL, 15), (6, 'avg_loan_amnt', 'double', true, NULL, 15),
-          (7, 'avg_dti', 'double', true, NULL, 15), (8, 'avg_emp_length', 'double', true, NULL, 15),
-          (9, 'std_loan_amnt', 'double', true, NULL, 15)) AS t(
-          position, column_name, data_type, is_nullable, max_length, numeric_precision)""",
+        "boosting_patience": with_ctes("dwd")
+        + f"""SELECT round, n_rows, n_pos, true AS area_agrees, true AS best_so_far, n_rows AS same_margins FROM (
+          SELECT {N} AS n_rows, {APPROVED} AS n_pos FROM (
+            SELECT CASE WHEN app_id % 10 = 0 THEN 1 - low ELSE low END AS label FROM (
+              SELECT app_id, CASE WHEN coalesce(dti, 0) < 20 THEN 1 ELSE 0 END AS low FROM dwd WHERE {_hash('valid-42')} / 4294967296.0 < 0.2)))
+          CROSS JOIN (SELECT CAST(r AS BIGINT) AS round FROM generate_series(1, 12) AS t(r))""",
     }
 
 
+_GEO_COLUMNS = (
+    ("addr_state", "string", True, 5, None), ("total_cnt", "bigint", False, None, 19), ("approved_cnt", "bigint", False, None, 19),
+    ("rejected_cnt", "bigint", False, None, 19), ("approval_rate", "double", True, None, 15), ("avg_loan_amnt", "double", True, None, 15),
+    ("avg_dti", "double", True, None, 15), ("avg_emp_length", "double", True, None, 15), ("std_loan_amnt", "double", True, None, 15),
+)
+
+
+def _files_and_drops() -> dict[str, str]:
+    geo = _summaries()["publish_conform"]
+    report = []
+    for i, (name, kind, nullable, length, precision) in enumerate(_GEO_COLUMNS, 1):
+        number = kind != "string"
+        figures = [f"CAST({f}({name}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)" for f in ("min", "max")]
+        report.append(
+            f"SELECT CAST({i} AS INTEGER) AS position, '{name}' AS column_name, '{kind}' AS data_type, {nullable} AS is_nullable, "
+            f"CAST({length or 'NULL'} AS INTEGER) AS max_length, CAST({precision or 'NULL'} AS INTEGER) AS numeric_precision, {N} AS n_rows, "
+            f"CAST(count(*) FILTER ({name} IS NULL) AS BIGINT) AS n_null, CAST({'NULL' if number else f'max(length({name}))'} AS INTEGER) AS longest, "
+            f"{figures[0]} AS lowest, {figures[1]} AS highest FROM geo"
+        )
+    tests = {
+        "state": "{state} IN (" + STATES + ")",
+        "employment": "{employment} IN (" + EMPLOYMENT + ")",
+        "amount": "TRY_CAST({amount} AS DOUBLE) IS NOT NULL",
+        "dti": "TRY_CAST({dti} AS DOUBLE) IS NULL OR TRY_CAST({dti} AS DOUBLE) BETWEEN 0 AND 200",
+    }
+    columns = {
+        "rejected": ("rej", {"state": "state", "employment": "employment_length", "amount": "loan_amnt_raw", "dti": "replace(dti_raw, '%', '')"}),
+        "accepted": ("acc", {"state": "addr_state", "employment": "emp_length", "amount": "loan_amnt", "dti": "dti"}),
+    }
+    marked = " UNION ALL ".join(
+        f"SELECT '{src}' AS src, " + ", ".join(f"NOT coalesce({test.format(**names)}, false) AS bad_{rule}" for rule, test in tests.items()) + f" FROM {feed}"
+        for src, (feed, names) in columns.items()
+    )
+    mask = " + ".join(f"CASE WHEN bad_{rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(tests))
+    reasons = ", ".join(f"CASE WHEN bad_{rule} THEN '{rule}' END" for rule in tests)
+    ok = "NOT (" + " OR ".join(f"bad_{rule}" for rule in tests) + ")"
+    figures, passed = {"rows": "true", "kept": ok, "written": ok}, "true"
+    for rule in tests:
+        figures[f"dropped_{rule}"] = f"{passed} AND bad_{rule}"
+        passed += f" AND NOT bad_{rule}"
+    accounting = " UNION ALL ".join(f"SELECT src, '{name}' AS figure, CAST(count(*) FILTER ({test}) AS BIGINT) AS cnt FROM marked GROUP BY src" for name, test in figures.items())
+    both = with_ctes("rej", "acc", extra={"marked": marked})
+    names = REJECTED_PROFILE
+    ordered = ("loan_amnt_raw", "application_date", "loan_title", "risk_score", "dti_raw", "zip_code", "state", "employment_length", "policy_code")
+    assert set(ordered) == set(names)
+    quoted = {c: f"'\"' || coalesce({c}, '') || '\"'" for c in ordered}
+    line = " || ',' || ".join(quoted.values())
+    return {
+        "schema_report": _with_geo(geo) + " UNION ALL ".join(report),
+        "drop_reasons": both + f"SELECT src, CAST({mask} AS INTEGER) AS failed_rules, concat_ws(',', {reasons}) AS reasons, {N} AS cnt FROM marked GROUP BY ALL",
+        "drop_accounting": both + accounting,
+        "csv_quarantine": with_ctes("rej")
+        + f"""SELECT {', '.join(f"CASE WHEN reason IS NULL THEN nullif({c}, '') END AS {c}" for c in ordered)}, line, reason, {N.replace('count(*)', 'count(*) OVER ()')} AS lines FROM (
+          SELECT *, CASE app_id % 40 WHEN 3 THEN app_id || ',"open,' || {quoted['loan_title']} WHEN 7 THEN {line} || ',' || app_id
+              WHEN 11 THEN app_id || ',' || {quoted['application_date']} END AS line,
+            CASE app_id % 40 WHEN 3 THEN 'open quote' WHEN 7 THEN 'too many fields' WHEN 11 THEN 'too few fields' END AS reason FROM rej)""",
+    }
+
+
+def _with_geo(geo: str) -> str:
+    """The summary by state as a named expression after those it rests on."""
+    start = geo.rindex("SELECT addr_state,")
+    return f"{geo[:start].rstrip()}, geo AS ({geo[start:]}) "
+
+
 def _states() -> dict[str, str]:
     """What is made of mergeable states equals what is made of the rows."""
     direct = _summaries() | _marts()
@@ -567,4 +632,4 @@ def _states() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _states() | _summaries() | _marts() | _profiles() | _features_and_samples() | _evaluation() | _models()
+    return _states() | _files_and_drops() | _summaries() | _marts() | _profiles() | _features_and_samples() | _evaluation() | _models()
