@@ -15,7 +15,8 @@ compressed) UTF-8 text cannot contain the magic. A damaged member with a sound h
 
 Files are opened with ``pyarrow.fs``, so the folder may be on any store it knows (local, HDFS, S3).
 Defined cases: null html is an empty payload; a null url is left out; a null page id is written as
-``none``, comes last among equal payloads, and reads back as null; rows that repeat both id and
+``none``, comes last among equal payloads, and reads back as null; ids keep their type,
+text percent-encoded in the archive; rows that repeat both id and
 payload of the response are responses too; extra columns are ignored; no rows give no archives and an
 empty result. Memory in a task is bounded by its largest record.
 """
@@ -31,8 +32,9 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditmart.llm.common import whole_text
 from creditmart.llm.exact_dedup import filter_bits, flag_repeats, repeat_filter
@@ -41,6 +43,7 @@ from creditmart.sources.stage import stage, stage_folder
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 20
 BATCH_BYTES = 1 << 24
+MAX_TASKS = 100_000  # beyond that a task reads several ranges
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = re.compile(rb"<urn:page:([^>]*)>")
@@ -63,6 +66,18 @@ def record(page: str, url: str | None, payload: bytes, digest: str, length: int,
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + payload + b"\r\n\r\n"
 
 
+def id_text(id_: Column, kind: T.DataType) -> Column:
+    """A page id as written: numbers as they are, any other text percent-encoded after ``=``; null is ``none``."""
+    text = id_.cast("string") if isinstance(kind, T.IntegralType) else F.concat(F.lit("="), F.url_encode(id_.cast("string")))
+    return F.coalesce(text, F.lit("none"))
+
+
+def id_of(text: Column, kind: T.DataType) -> Column:
+    """The page id, in its own type, of what :func:`id_text` wrote."""
+    found = text if isinstance(kind, T.IntegralType) else F.url_decode(F.substring(text, 2, 1 << 30))
+    return F.when(text != "none", found).cast(kind)
+
+
 def archive_writer(folder: str, archive_bytes: int, date: str, level: int) -> Callable:
     """For mapInPandas over (page, url, html, digest, length, refers_to): writes archives, yields a row for each."""
 
@@ -104,6 +119,7 @@ def write_warc(
     archive_bytes: int = 1 << 28, date: str = DATE, level: int = 6,
 ) -> DataFrame:
     """Write the pages; the manifest ``path, records, bytes`` of the archives."""
+    kind = pages.schema[key].dataType
     bare = pages.select(
         F.col(f"`{key}`").alias("id"), F.col(f"`{url}`").cast("string").alias("url"), whole_text(html).alias("html"),
         F.sha1(whole_text(html)).alias("digest"), F.octet_length(whole_text(html)).cast("long").alias("length"),
@@ -116,13 +132,13 @@ def write_warc(
     firsts = stage(
         flag_repeats(digests, "digest", bitmaps, bits, "maybe").filter(F.col("maybe") & large)
         .groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
-        .select(F.col("digest").alias("first_digest"), F.coalesce(F.col("first.b").cast("string"), F.lit("none")).alias("first")),
+        .select(F.col("digest").alias("first_digest"), id_text(F.col("first.b"), kind).alias("first")),
         "warc-firsts",
     )
-    page = F.coalesce(F.col("id").cast("string"), F.lit("none")).alias("page")
+    page = id_text(F.col("id"), kind).alias("page")
     flagged = flag_repeats(bare, "digest", bitmaps, bits, "maybe").withColumn("maybe", F.col("maybe") & large)
     alone = flagged.filter(~F.col("maybe")).select(page, "url", "html", "digest", "length", F.lit(None).cast("string").alias("refers_to"))
-    other = F.col("first") != F.coalesce(F.col("id").cast("string"), F.lit("none"))
+    other = F.col("first") != id_text(F.col("id"), kind)
     repeated = (
         flagged.filter("maybe").join(firsts, F.col("digest") == F.col("first_digest"), "left")
         .select(page, "url", F.when(other, F.lit("")).otherwise(F.col("html")).alias("html"), "digest", "length", F.when(other, F.col("first")).alias("refers_to"))
@@ -256,13 +272,14 @@ def read_warc(archives: DataFrame, split_bytes: int = 1 << 25, with_payload: boo
     """The records of archives (``path, bytes``), one row each; ``page`` and ``refers_to`` are the ids as text."""
     starts = archives.filter("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
     ranges = starts.select("path", "start", F.least(F.col("start") + split_bytes, F.col("bytes")).alias("end"))
-    spread = ranges.repartition(F.col("path"), F.col("start"))
+    # A stated number, because adaptive execution would merge such small rows into one task.
+    count = ranges.count()
+    spread = ranges.repartition(max(1, min(count, MAX_TASKS)))
     return spread.mapInPandas(range_reader(with_payload), FIELDS + (", payload binary" if with_payload else ""))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write the pages to a shared folder and read them back: ``page_id, payload_bytes, payload_digest, record_type, refers_to``."""
     archives = write_warc(pages, stage_folder(pages.sparkSession, "warc"))
-    found = read_warc(archives, with_payload=False)
-    number = lambda c: F.col(c).try_cast("long")
-    return found.select(number("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+    found, kind = read_warc(archives, with_payload=False), pages.schema["page_id"].dataType
+    return found.select(id_of(F.col("page"), kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", id_of(F.col("refers_to"), kind).alias("refers_to"))
