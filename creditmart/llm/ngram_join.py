@@ -241,7 +241,9 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str, text
     rows = docs.select(id_.alias("id"), whole_text(text).alias("text"))
     near = flag_repeats(rows, "id", stage(slots_as_bitmaps(needed, F.coalesce(F.col("rep").cast("string"), F.lit("none")), bits), "join-bitmaps"), bits, "maybe")
     joined = near.filter("maybe").join(needed, F.col("id") == F.coalesce(F.col("rep").cast("string"), F.lit("none")))
-    return joined.select("cid", "digest", "text").mapInPandas(_shingler, "cid long, shingles binary")
+    sets = joined.select("cid", "digest", "text").mapInPandas(_shingler, "cid long, shingles binary")
+    # Rows that repeat their class's id (or lack one) give its set again.
+    return sets.groupBy("cid").agg(F.first("shingles").alias("shingles"))
 
 
 def link_classes(docs: DataFrame, key: str, text: str, threshold: float, recall: float, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:

@@ -138,3 +138,22 @@ def test_empty_tables(spark):
     assert ngram_join.ngram_join(none).count() == 0
     assert ngram_join.drop_near_duplicates(none).count() == 0
     assert quality_rules.quality_rules(none, cases.labels(spark, [])).count() == 0
+
+
+def test_rows_without_ids_give_one_set_a_class(spark, monkeypatch):
+    """Copies that share an id, or have none, do not multiply what is compared; ids are part of the answer all the same."""
+    from creditmart.llm import ngram_join
+
+    base = cases.prose(60, 1)
+    near = base.split()
+    near[30] = "changed"
+    rows = [(None, base, "a")] * 150 + [(7, base, "a")] * 50 + [(None, " ".join(near), "b"), (9, cases.prose(60, 2), "a"), (None, None, None), (None, "", None)]
+    seen = []
+    inner = ngram_join._sets
+    monkeypatch.setattr(ngram_join, "_sets", lambda *a: seen.append(inner(*a)) or seen[-1])
+    found = ngram_join.ngram_join(cases.table(spark, rows)).collect()
+    assert seen[0].count() == 2
+    links, groups = cases.shingle_links(rows)
+    want = sorted((repr(rows[x][0]), links[x]) for x in range(len(rows)))
+    assert sorted((repr(r["doc_id"]), r["n_links"]) for r in found) == want
+    assert {r["class_id"] for r in found if r["copies"] == 200} == {7}
