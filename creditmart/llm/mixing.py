@@ -20,7 +20,7 @@ words by weight, no source gets more than ``cap`` times its size, and what is ov
 again by weight among those below. Defined cases: null or blank texts have size 0 and are taken 0
 times; a source without words has target 0; an empty table gives an empty result; repeated rows
 and ids are separate documents; extra columns are carried by ``mix_documents`` whatever their names.
-Results do not depend on partitioning, except that rows equal in id and size may swap places.
+Results do not depend on partitioning, except that rows equal in id, size and text may swap places.
 
 Bounds: the driver holds one row per source (at most ``MAX_SOURCES``, else an error) and one draw
 per shard and source (at most ``MAX_SHARDS`` shards: larger mixes get larger shards).
@@ -53,7 +53,7 @@ class Mix:
     shard_blocks: int = 4_096
     cap: int = 3
     seed: int = 7
-    bucket_rows: int = 4_096
+    bucket_rows: int = 1_024
 
 
 def word_count(text: str) -> Column:
@@ -118,15 +118,18 @@ def permuted(index: Column, size: Column, key: Column) -> Column:
     return F.aggregate(F.transform(rounds, lambda k: F.pmod(k, size)), index, swap)
 
 
-def _placed(sized: DataFrame, rows: int, mix: Mix) -> DataFrame:
-    """``sized`` with ``start``: the words before the document in its source."""
-    buckets = max(1, -(-rows // mix.bucket_rows))
-    dealt = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)))
+def _placed(sized: DataFrame, mix: Mix) -> DataFrame:
+    """``sized`` with ``start``: the words before the document in its source.
+
+    A source has as many buckets as its rows need; a text's hash deals and orders rows that agree in id and size.
+    """
+    buckets = F.greatest(F.ceil(F.col("rows") / mix.bucket_rows), F.lit(1))
+    dealt = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "text_hash"), buckets))
     totals = dealt.groupBy("s", "bucket").agg(F.sum("size").alias("words"))
     before = totals.select(
         "s", "bucket", (F.sum("words").over(Window.partitionBy("s").orderBy("bucket")) - F.col("words")).alias("before")
     )
-    inside = Window.partitionBy("s", "bucket").orderBy("doc_id", "size", "row")
+    inside = Window.partitionBy("s", "bucket").orderBy("doc_id", "size", "text_hash", "row")
     dealt = dealt.withColumn("within", F.sum("size").over(inside) - F.col("size"))
     return dealt.join(before, ["s", "bucket"]).withColumn("start", F.col("before") + F.col("within"))
 
@@ -145,8 +148,8 @@ def _pieces(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     targets = share_out(sizes, weights(len(found)), mix.cap)
     plan = [slots_for(n, t, mix.block_words) for n, t in zip(sizes, targets, strict=True)]
     sources = spark.createDataFrame(
-        [(r["source"], i, r["n"], t, *p) for i, (r, t, p) in enumerate(zip(found, targets, plan, strict=True))],
-        "source string, s int, source_size long, target double, blocks long, slots long, cut long",
+        [(r["source"], i, r["n"], r["rows"], t, *p) for i, (r, t, p) in enumerate(zip(found, targets, plan, strict=True))],
+        "source string, s int, source_size long, rows long, target double, blocks long, slots long, cut long",
     )
     counts = np.array([p[1] for p in plan], dtype=np.int64)
     per_shard = max(mix.shard_blocks, -(-int(counts.sum()) // MAX_SHARDS))
@@ -164,13 +167,12 @@ def _pieces(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
         slots.withColumn("block", block)
         .groupBy("s", "block").agg(F.count_if(~last).alias("whole"), F.max(F.when(last, F.col("cut")).otherwise(0)).alias("partial"))
     )
-    rows = sum(r["rows"] for r in found)
-    named = sized.join(F.broadcast(sources.select("source", "s")), sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
+    named = sized.join(F.broadcast(sources.select("source", "s", "rows")), sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     size = mix.block_words
     end = F.col("start") + F.col("size")
     blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / size), F.floor((end - 1) / size)))
     pieces = (
-        _placed(named, rows, mix)
+        _placed(named, mix)
         .select("row", "doc_id", "size", "s", "start", F.explode(F.coalesce(blocks, F.array(-1 - F.col("row")))).alias("block"))
         .withColumn("low", F.when(F.col("size") > 0, F.greatest(F.col("start"), F.col("block") * size) - F.col("block") * size))
         .withColumn("high", F.when(F.col("size") > 0, F.least(end, (F.col("block") + 1) * size) - F.col("block") * size))
@@ -183,7 +185,7 @@ def _pieces(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
 def _sized(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     return docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("doc_id"),
-        F.col(f"`{source}`").cast("string").alias("source"), word_count(text).alias("size"),
+        F.col(f"`{source}`").cast("string").alias("source"), word_count(text).alias("size"), F.xxhash64(whole_text(text)).alias("text_hash"),
     )
 
 
@@ -210,7 +212,7 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text:
     kept = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
     sized = kept.select(
         F.col(row).alias("row"), F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"),
-        word_count(text).alias("size"),
+        word_count(text).alias("size"), F.xxhash64(whole_text(text)).alias("text_hash"),
     )
     _, pieces = _pieces(stage(sized, "mix-sizes"), mix)
     # Spans of words, counted from the document's start, with the number of times each is taken.

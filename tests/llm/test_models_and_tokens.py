@@ -96,6 +96,22 @@ def test_mix_meets_its_targets(spark):
     assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, found), key=repr)
 
 
+def test_mix_of_rows_alike_in_id_and_size(spark):
+    """Rows without an id and of one length are dealt by their texts; a large source has more buckets than a small one."""
+    from pyspark.sql import functions as F
+
+    rows = [(None, f"w{i} x y z", "a") for i in range(3000)] + [(i, f"b{i}", "b") for i in range(20)]
+    mix = mixing.Mix(block_words=64, shard_blocks=64, bucket_rows=100)
+    sized = mixing._sized(cases.table(spark, rows), "doc_id", "text", "source").withColumns({"s": F.lit(0), "rows": F.lit(3000)})
+    sizes = [r["n"] for r in mixing._placed(sized, mix).groupBy("bucket").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 30 and max(sizes) < 200
+    found = mixing.mix_counts(cases.table(spark, rows), mix).collect()
+    by_target: dict = {}
+    for r in found:
+        by_target[r["target"]] = by_target.get(r["target"], 0) + r["taken"]
+    assert len(found) == len(rows) and all(abs(n - t) <= 0.5 for t, n in by_target.items())
+
+
 def test_mixed_documents_hold_the_words_taken(spark):
     rows = [r for r in cases.texts() if r[0] != 5]
     docs = cases.table(spark, rows)
@@ -152,6 +168,24 @@ def test_warc_splits_own_each_record_once(spark, tmp_path, split):
     assert not any(r["record_type"] == "revisit" for r in found)  # equal payloads are all shorter than min_bytes
 
 
+def test_warc_ids_keep_their_type(spark):
+    ids = ["a b", "none", "x>y", None, "é", "", "12"]
+    df = spark.createDataFrame([(i, "u", "<p>same</p>" if k < 3 else str(k)) for k, i in enumerate(ids)], "page_id string, url string, html string")
+    found = {r["page_id"]: r for r in warc.round_trip(df).collect()}
+    assert set(found) == set(ids)
+    assert {i: found[i]["refers_to"] for i in ("a b", "none", "x>y")} == {"a b": None, "none": "a b", "x>y": "a b"}
+
+
+def test_warc_ranges_are_read_by_many_tasks(spark, tmp_path):
+    from pyspark import TaskContext
+
+    _, df = pages(spark)
+    archives = warc.write_warc(df, str(tmp_path / "w"), archive_bytes=1 << 20)
+    found = warc.read_warc(archives, split_bytes=1500)
+    busy = found.mapInPandas(lambda batches: (b.assign(task=TaskContext.get().partitionId())[["task"]] for b in batches), "task int").distinct().count()
+    assert found.count() == df.count() and busy > 5
+
+
 def test_warc_false_magic_and_damage():
     member = lambda data: zlib.compress(data, 0, 31)
     record = warc.record("1", "u", b"p" * 50, warc.base32(b"\0" * 20), 50, None, warc.DATE)
