@@ -50,7 +50,7 @@ class BestFit:
     tokenizer: str = "word_bpe_49k.json"
     window: int = 4_096
     end_id: int = 1
-    cache_size: int = 600_000
+    cache_size: int = 1_000_000
 
 
 class Supply:

@@ -37,12 +37,19 @@ class Weights:
     b: float
 
 
+def counted(rests: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rest, token, how often) of every token of every rest, in this order, and the rests' lengths."""
+    lengths = np.array([len(r) for r in rests])
+    tokens = np.concatenate([np.sort(r, kind="stable") for r in rests])  # 16-bit ids are sorted digit by digit
+    new = np.r_[True, tokens[1:] != tokens[:-1]]
+    new[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
+    at = np.flatnonzero(new)
+    return np.repeat(np.arange(len(rests)), lengths)[at], tokens[at].astype(np.int64), np.diff(np.r_[at, len(tokens)]), lengths
+
+
 def weighted(rests: list[np.ndarray], idf: np.ndarray, mean_length: float, k1: float, b: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rest, token, weight) of every token of every rest; the weights of a rest have length 1."""
-    lengths = np.array([len(r) for r in rests])
-    keys = np.repeat(np.arange(len(rests)), lengths) * len(idf) + np.concatenate(rests).astype(np.int64)
-    keys, tf = np.unique(keys, return_counts=True)
-    rest, token = np.divmod(keys, len(idf))
+    rest, token, tf, lengths = counted(rests)
     weight = idf[token] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths[rest] / max(mean_length, 1e-9)))
     norm = np.sqrt(np.bincount(rest, weight**2, len(rests)))
     return rest, token, (weight / np.maximum(norm, 1e-9)[rest]).astype(np.float32)
@@ -74,7 +81,8 @@ def projection(cells: tuple[np.ndarray, np.ndarray, np.ndarray], rests: int, tok
 def projected(rests: list[np.ndarray], ties: np.ndarray, weights: Weights, mean_length: float, basis: np.ndarray) -> np.ndarray:
     """The vectors of rests, of length 1, with the coordinate that breaks ties."""
     rest, token, weight = weighted(rests, weights.idf, mean_length, weights.k1, weights.b)
-    found = _sums(rest, weight, basis, token, len(rests))
+    edges = np.searchsorted(rest, np.arange(len(rests) + 1)).tolist()
+    found = np.stack([weight[a:b] @ basis[token[a:b]] for a, b in zip(edges, edges[1:], strict=False)])
     found /= np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-9)
     return np.column_stack([found, JITTER * ((ties & 0xFFFF) / 65_536 - 0.5)]).astype(np.float16).astype(np.float32)
 

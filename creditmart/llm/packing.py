@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from creditmart.llm import locality
 from creditmart.llm.common import whole_text
-from creditmart.llm.token_units import SOLID, UnitCache, has_other_space, load, public_path, word_encoder
+from creditmart.llm.token_units import document_encoder, kept, load, public_path
 from creditmart.sources.stage import stage
 
 PIECE = "row long, doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
@@ -50,7 +50,7 @@ class Packing:
     shard_pieces: int = 1_024
     k1: float = 1.2
     b: float = 0.75
-    cache_size: int = 800_000
+    cache_size: int = 1_000_000
 
 
 def crc(ids: np.ndarray) -> int:
@@ -66,29 +66,32 @@ def tokeniser(how: Packing, keep_ids: bool) -> Callable:
     names = [*(f.split()[0] for f in PIECE.split(", ")), "rest", "token"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = load(path)
-        cache = UnitCache(word_encoder(tokenizer), {}, how.cache_size)
+        encoded = kept(document_encoder, path, how.cache_size)
         end = np.array([how.end_id], dtype="<u4").tobytes()
-        seen = np.zeros(max(tokenizer.get_vocab_size(with_added_tokens=True), how.end_id + 1), dtype=np.int64)
+        seen = np.zeros(max(kept(load, path).get_vocab_size(with_added_tokens=True), how.end_id + 1), dtype=np.int64)
         narrow = "<u2" if len(seen) <= 1 << 16 else "<u4"
+        # Document frequencies: a mark for each token of a document, added up in bytes for 255 documents at a time.
+        mark, marked, documents = np.zeros(len(seen), np.uint8), np.zeros(len(seen), np.uint8), 0
 
-        def encoded(text: str) -> bytes:
-            if has_other_space(text):
-                return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-            return b"".join(map(cache.__getitem__, text.split() if "\0" not in text else SOLID.findall(text)))
-
-        for batch in batches:
+        for batch in (whole.iloc[i : i + 1_000] for whole in batches for i in range(0, max(1, len(whole)), 1_000)):
             rows = []
             for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"], strict=True):
                 packed = encoded(text) + end
                 ids = np.frombuffer(packed, dtype="<u4")
-                seen[np.unique(ids)] += 1
+                mark[ids] = 1
+                marked += mark
+                mark[ids] = 0
+                documents += 1
+                if documents % 255 == 0:
+                    seen += marked
+                    marked[:] = 0
                 for start in range(0, len(ids), how.window):
                     piece = ids[start : start + how.window]
                     whole = len(piece) == how.window
                     rest = None if whole and not keep_ids else piece.astype(narrow).tobytes()
                     rows.append((row, doc_id, start, len(piece), zlib.crc32(packed[4 * start : 4 * (start + len(piece))]), len(ids), rest, -1))
             yield pd.DataFrame(rows, columns=names).astype({"rest": object, "doc_id": object})
+        seen += marked
         tokens = np.flatnonzero(seen)
         if len(tokens):
             yield pd.DataFrame({"row": 0, "doc_id": None, "start": 0, "length": 0, "ids_crc32": 0, "doc_tokens": seen[tokens], "rest": None, "token": tokens})
@@ -100,11 +103,7 @@ class Index:
     """A BM25 inverted index of the rests of one shard; scores of used rests count for nothing."""
 
     def __init__(self, rests: list[np.ndarray], idf: np.ndarray, mean_length: float, how: Packing):
-        lengths = np.array([len(r) for r in rests])
-        docs = np.repeat(np.arange(len(rests)), lengths)
-        terms, self.rest_terms = np.concatenate(rests).astype(np.int64), []
-        cells, tf = np.unique(docs * len(idf) + terms, return_counts=True)
-        docs, terms = np.divmod(cells, len(idf))
+        docs, terms, tf, lengths = locality.counted(rests)
         useful = idf[terms] > 0  # a term in most documents does not tell them apart
         docs, terms, tf = docs[useful], terms[useful], tf[useful]
         norm = how.k1 * (1 - how.b + how.b * lengths / max(mean_length, 1e-9))

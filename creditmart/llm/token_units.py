@@ -139,8 +139,11 @@ def byte_counter(tokenizer) -> Callable[[str], int]:
     return count
 
 
-def word_encoder(tokenizer, capacity: int = 400_000) -> Callable[[str], bytes]:
-    """Ids of a non-white unit as little-endian 32-bit numbers, for the word tokenizer."""
+def word_cache(tokenizer, capacity: int = 400_000) -> UnitCache:
+    """Non-white unit -> its ids as little-endian 32-bit numbers, for the word tokenizer.
+
+    Many units differ only in case or punctuation; their words have entries of their own, so that each is merged once.
+    """
     from array import array
     from sys import byteorder
 
@@ -156,24 +159,30 @@ def word_encoder(tokenizer, capacity: int = 400_000) -> Callable[[str], bytes]:
             out.byteswap()
         return out.tobytes()
 
-    # Many units differ only in case or punctuation; their words share an entry here.
-    words = UnitCache(lambda word: packed(merge(word.encode() + WORD_END)), {}, capacity)
-
     def ids(unit: str) -> bytes:
-        if PLAIN.fullmatch(unit) and not any(a in unit for a in added):
+        if unit.isascii() and unit.isalpha():
             low = unit.lower()
-            if low.isascii() and low.isalpha():
-                return words[low]
-            return b"".join(map(words.__getitem__, WORD_PATTERN.findall(low)))
+            return packed(merge(low.encode() + WORD_END)) if low == unit else cache[low]
+        if PLAIN.fullmatch(unit) and not any(a in unit for a in added):
+            words = WORD_PATTERN.findall(unit.lower())
+            if words == [unit]:
+                return packed(merge(unit.encode() + WORD_END))
+            return b"".join(map(cache.__getitem__, words))
         return packed(tokenizer.encode(unit, add_special_tokens=False).ids)
 
-    return ids
+    cache = UnitCache(ids, {}, capacity)
+    return cache
+
+
+def word_encoder(tokenizer, capacity: int = 400_000) -> Callable[[str], bytes]:
+    """The same as a function."""
+    return word_cache(tokenizer, capacity).__getitem__
 
 
 def document_encoder(path: str, capacity: int) -> Callable[[str], bytes]:
     """Ids of a whole text as little-endian 32-bit numbers, for the word tokenizer at a path."""
-    tokenizer = load(path)
-    cache = UnitCache(word_encoder(tokenizer, capacity // 2), {}, capacity)
+    tokenizer = kept(load, path)
+    cache = word_cache(tokenizer, capacity)
 
     def encoded(text: str) -> bytes:
         if has_other_space(text):
