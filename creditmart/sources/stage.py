@@ -4,8 +4,8 @@ A staged table is written once as Parquet in a folder that the whole cluster sha
 so later passes scan only the columns they need, Catalyst knows the size when it picks a join, and
 a lost executor costs a re-read rather than a recomputation.
 
-The folder is ``spark.checkpoint.dir``, or one below the session's warehouse folder where that is
-unset. Staged tables live until ``clear_stage``, or the end of a ``with staging(spark):`` block
+The folder is ``spark.checkpoint.dir``. Where that is unset and the session is a local one, it is
+below the session's warehouse folder; on a cluster that may be a disk others do not see, so it is an error. Staged tables live until ``clear_stage``, or the end of a ``with staging(spark):`` block
 for those made in it; within such a block, staging the same plan twice writes one table.
 """
 
@@ -25,9 +25,17 @@ _tables: list[str] = []
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The folder the session names for checkpoints, else one in its warehouse folder."""
+    """The folder the session names for checkpoints; for a local session without one, a folder in its warehouse."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
-    return configured or f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/_stage"
+    if configured:
+        return configured
+    return local_root(spark.sparkContext.master, spark.conf.get(WAREHOUSE_SETTING))
+
+
+def local_root(master: str, warehouse: str) -> str:
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that the driver and all executors share")
+    return f"{warehouse.rstrip('/')}/_stage"
 
 
 def _application_folder(spark: SparkSession) -> str:
@@ -65,6 +73,8 @@ def stage_table(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
     writer = df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, key)
     writer.option("path", stage_folder(spark, name)).saveAsTable(name)
     _tables.append(name)
+    if _runs:
+        _runs[-1]["tables"].append(name)
     return spark.table(name)
 
 
@@ -79,12 +89,15 @@ def staging(spark: SparkSession) -> Iterator[None]:
 
     Results must be written or collected before the block ends.
     """
-    run: dict = {"paths": [], "staged": []}
+    run: dict = {"paths": [], "staged": [], "tables": []}
     _runs.append(run)
     try:
         yield
     finally:
         _runs.remove(run)
+        for name in run["tables"]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            _tables.remove(name)
         for path in run["paths"]:
             _delete(spark, path)
 

@@ -6,13 +6,14 @@ import gzip
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from creditmart import schemas
 from creditmart.operators import clean, summaries
 from creditmart.plans import catalog, warehouse
 from creditmart.sources import files, publish
 from creditmart.sources.feeds import accepted_feed, rejected_feed
-from creditmart.sources.stage import clear_stage, stage, stage_root, staging
+from creditmart.sources.stage import clear_stage, local_root, stage, stage_root, stage_table, staging
 
 HEADER = "Amount Requested,Application Date,Loan Title,Risk_Score,Debt-To-Income Ratio,Zip Code,State,Employment Length,Policy Code"
 DIRTY = [
@@ -143,3 +144,17 @@ def test_warehouse_build(spark, sf_dir, tmp_path):
     trend = [tuple(r) for r in publish.read_published(spark, "trend_monthly", f"{tmp_path}/marts").select("year", "month").collect()]
     assert trend == sorted(trend)
     assert len(list((tmp_path / "marts").iterdir())) == 18
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert local_root("local[4]", "/w/") == "/w/_stage" == local_root("local", "/w")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            local_root(master, "/w")
+
+
+def test_bucketed_tables_end_with_their_block(spark):
+    with staging(spark):
+        table = stage_table(spark.range(100).withColumn("b", F.col("id") % 4), "bucketed_for_a_test", 4, "b")
+        assert table.count() == 100 and spark.catalog.tableExists("bucketed_for_a_test")
+    assert not spark.catalog.tableExists("bucketed_for_a_test")
