@@ -223,7 +223,10 @@ def pieces_of(how: BestFit) -> Callable:
     names = [f.split()[0] for f in PIECE.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = kept(document_encoder, path, how.cache_size)
+        with kept(document_encoder, path, how.cache_size) as encode:
+            yield from pieces(batches, encode)
+
+    def pieces(batches: Iterator[pd.DataFrame], encode: Callable[[str], bytes]) -> Iterator[pd.DataFrame]:
         end = np.array([how.end_id], dtype="<u4").tobytes()
         task, numbers = TaskContext.get().partitionId(), [0] * (how.window + 1)
         step = 4 * how.window

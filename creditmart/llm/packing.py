@@ -66,9 +66,12 @@ def tokeniser(how: Packing, keep_ids: bool) -> Callable:
     names = [*(f.split()[0] for f in PIECE.split(", ")), "rest", "token"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoded = kept(document_encoder, path, how.cache_size)
+        with kept(document_encoder, path, how.cache_size) as encoded:
+            yield from pieces(batches, encoded)
+
+    def pieces(batches: Iterator[pd.DataFrame], encoded: Callable[[str], bytes]) -> Iterator[pd.DataFrame]:
         end = np.array([how.end_id], dtype="<u4").tobytes()
-        seen = np.zeros(max(kept(load, path).get_vocab_size(with_added_tokens=True), how.end_id + 1), dtype=np.int64)
+        seen = np.zeros(max(encoded.vocabulary, how.end_id + 1), dtype=np.int64)
         narrow = "<u2" if len(seen) <= 1 << 16 else "<u4"
         # Document frequencies: a mark for each token of a document, added up in bytes for 255 documents at a time.
         mark, marked, documents = np.zeros(len(seen), np.uint8), np.zeros(len(seen), np.uint8), 0

@@ -13,9 +13,13 @@ compares both on the words of the test tables.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+import threading
+import time
 from collections.abc import Callable
+from contextlib import contextmanager
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -113,14 +117,37 @@ class UnitCache(dict):
 
 
 _kept: dict = {}
+_users, _released = 0, 0.0
+IDLE_SECONDS = 3.0
 
 
+@contextmanager
 def kept(make: Callable, *arguments):
-    """make(*arguments), made once in a worker process and kept there for its later tasks."""
+    """make(*arguments), made once in a worker process and kept there for tasks that soon follow.
+
+    What is kept goes when no task of the worker has used any of it for ``IDLE_SECONDS``: Spark's workers outlive a query, and their
+    memory is then wanted for others.
+    """
+    global _users, _released
     key = (make.__name__, *arguments)
     if key not in _kept:
         _kept[key] = make(*arguments)
-    return _kept[key]
+    _users += 1
+    try:
+        yield _kept[key]
+    finally:
+        _users -= 1
+        if not _users:
+            _released = time.monotonic()
+            timer = threading.Timer(IDLE_SECONDS, _drop, (_released,))
+            timer.daemon = True
+            timer.start()
+
+
+def _drop(released: float) -> None:
+    if not _users and released == _released:  # nothing has been used since
+        _kept.clear()
+        gc.collect()  # encoders and their caches name each other
 
 
 def byte_counter(tokenizer) -> Callable[[str], int]:
@@ -180,8 +207,8 @@ def word_encoder(tokenizer, capacity: int = 400_000) -> Callable[[str], bytes]:
 
 
 def document_encoder(path: str, capacity: int) -> Callable[[str], bytes]:
-    """Ids of a whole text as little-endian 32-bit numbers, for the word tokenizer at a path."""
-    tokenizer = kept(load, path)
+    """Ids of a whole text as little-endian 32-bit numbers, for the word tokenizer at a path; it has the size of the ``vocabulary``."""
+    tokenizer = load(path)
     cache = word_cache(tokenizer, capacity)
 
     def encoded(text: str) -> bytes:
@@ -191,4 +218,5 @@ def document_encoder(path: str, capacity: int) -> Callable[[str], bytes]:
             return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(cache.__getitem__, text.split() if "\0" not in text else SOLID.findall(text)))
 
+    encoded.vocabulary = tokenizer.get_vocab_size(with_added_tokens=True)
     return encoded
