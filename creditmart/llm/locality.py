@@ -19,12 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart.sources.stage import stage
 
 RANK, FAN, SAMPLE, JITTER = 64, 1_024, 16_384, 1e-3
+PART = 1 << 15  # cells of the sample that the driver multiplies at a time
 
 
 @dataclass(frozen=True)
@@ -56,26 +58,38 @@ def weighted(rests: list[np.ndarray], idf: np.ndarray, mean_length: float, k1: f
 
 
 def _sums(group: np.ndarray, weight: np.ndarray, rows: np.ndarray, index: np.ndarray, size: int) -> np.ndarray:
-    """For ascending groups: the sums of weight x rows[index], for a part of the cells at a time."""
+    """The sums of weight x rows[index] by group, for a part of the cells at a time."""
     out = np.zeros((size, rows.shape[1]), dtype=np.float32)
-    for i in range(0, len(group), 1 << 17):
-        part = group[i : i + (1 << 17)]
+    for i in range(0, len(group), PART):
+        order = i + np.argsort(group[i : i + PART], kind="stable")
+        part = group[order]
         starts = np.r_[0, np.flatnonzero(np.diff(part)) + 1]
-        out[part[starts]] += np.add.reduceat(rows[index[i : i + (1 << 17)]] * weight[i : i + (1 << 17), None], starts)
+        out[part[starts]] += np.add.reduceat(rows[index[order]] * weight[order, None], starts)
     return out
 
 
+def sampled(ids: list[np.ndarray], weights: Weights, mean_length: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``weighted`` of a whole sample, in narrow types and for a few rests at a time: the driver holds it."""
+    found = []
+    for i in range(0, len(ids), 512):
+        rest, token, weight = weighted(ids[i : i + 512], weights.idf, mean_length, weights.k1, weights.b)
+        found.append(((rest + i).astype(np.int32), token.astype(np.int32), weight))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def projection(cells: tuple[np.ndarray, np.ndarray, np.ndarray], rests: int, tokens: int) -> np.ndarray:
     """The main directions of the sample in the space of tokens, by subspace iteration."""
     rest, token, weight = cells
-    by_token = np.argsort(token, kind="stable")
-    basis = np.random.Generator(np.random.PCG64(7)).standard_normal((tokens, RANK)).astype(np.float32)
+    random, basis = np.random.Generator(np.random.PCG64(7)), np.empty((tokens, RANK), dtype=np.float32)
+    for i in range(0, tokens, 4_096):
+        basis[i : i + 4_096] = random.standard_normal((min(4_096, tokens - i), RANK))
     for _ in range(3):
         image = np.linalg.qr(_sums(rest, weight, basis, token, rests))[0]
-        basis = _sums(token[by_token], weight[by_token], image, rest[by_token], tokens)
+        basis = _sums(token, weight, image, rest, tokens)
         if basis.shape[1] < RANK:
             basis = np.pad(basis, ((0, 0), (0, RANK - basis.shape[1])))
-    return (basis / np.maximum(np.linalg.norm(basis, axis=0), 1e-9)).astype(np.float32)
+    basis /= np.maximum(np.linalg.norm(basis, axis=0), 1e-9)
+    return basis
 
 
 def projected(rests: list[np.ndarray], ties: np.ndarray, weights: Weights, mean_length: float, basis: np.ndarray) -> np.ndarray:
@@ -144,9 +158,13 @@ def cells(rests: DataFrame, n: int, weights: Weights, shard_pieces: int, fan: in
     sample = rests.filter(share(SAMPLE)).select("rest", tie.alias("tie")).toPandas().sort_values("tie")
     basis, tree = np.zeros((len(weights.idf), RANK), np.float32), np.zeros((0, RANK + 2), np.float32)
     if levels[0] and len(sample):
-        ids = [np.frombuffer(r, dtype=narrow) for r in sample["rest"]]
-        basis = projection(weighted(ids, weights.idf, mean_length, weights.k1, weights.b), len(ids), len(weights.idf))
-        tree = grow(projected(ids, sample["tie"].to_numpy(), weights, mean_length, basis), levels[0])
+        ids, ties = [np.frombuffer(r, dtype=narrow) for r in sample["rest"]], sample["tie"].to_numpy()
+        del sample
+        pa.default_memory_pool().release_unused()
+        basis = projection(sampled(ids, weights, mean_length), len(ids), len(weights.idf))
+        x = np.concatenate([projected(ids[i : i + 512], ties[i : i + 512], weights, mean_length, basis) for i in range(0, len(ids), 512)])
+        tree = grow(x, levels[0])
+        del ids, x
     context, k1, b = rests.sparkSession.sparkContext, weights.k1, weights.b
     sent = context.broadcast((basis, tree))
 
