@@ -81,3 +81,13 @@ def test_fitting_uses_them_where_there_are_slots(prepared, monkeypatch):
     assert len(used) == 2
     models.fit_all(rows, models.ordinal_features(models.RAW_ONLY), {"GBT": small["GBT"]})
     assert len(used) == 2
+
+
+def test_boosting_goes_on_from_the_trees_that_are_there(prepared, monkeypatch):
+    rows = prepared[0].select("label", *models.RAW_ONLY.columns).withColumn("is_validation", F.expr("pmod(xxhash64(loan_amnt, dti, zip_code, purpose), 4) = 0"))
+    grown = []
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda *_: pytest.fail("fitted by a number a slot and row"))
+    monkeypatch.setattr(slot_trees.Grower, "_grow", lambda self, trees, f=slot_trees.Grower._grow: grown.append(trees) or f(self, trees))
+    run = models.boost_with_patience(rows, models.one_hot_features(models.RAW_ONLY), rounds=9, patience=4, maxDepth=2)
+    assert sum(grown) == run.rounds <= 9  # 8 rounds first, then one more if need be, none twice
+    assert run.fitted.classifier.getNumTrees == run.best_round
