@@ -91,3 +91,10 @@ def test_boosting_goes_on_from_the_trees_that_are_there(prepared, monkeypatch):
     run = models.boost_with_patience(rows, models.one_hot_features(models.RAW_ONLY), rounds=9, patience=4, maxDepth=2)
     assert sum(grown) == run.rounds <= 9  # 8 rounds first, then one more if need be, none twice
     assert run.fitted.classifier.getNumTrees == run.best_round
+
+
+def test_rows_without_a_label_are_refused(prepared):
+    transformed, blocks = prepared
+    for label in ("NULL", "2"):
+        with pytest.raises(ValueError, match="labels must be 0 or 1"):
+            slot_trees.Grower(models.boosted_trees(), transformed.withColumn("label", F.expr(f"CASE WHEN dti < 1 THEN {label} ELSE label END")), blocks)
